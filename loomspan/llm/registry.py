@@ -6,7 +6,9 @@ from importlib import import_module
 
 #: query name -> module of this package that holds query() and, where SQL can say it, ORACLE_SQL
 MODULES = {
+    "op7_piece_tokens": "piece_tokens",
     "op8_quality_classifier": "quality_classifier",
+    "op10_near_duplicates": "near_duplicates",
 }
 
 
