@@ -126,7 +126,10 @@ def fit(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_
     kept = F.lit(False)
     for k, s in share.items():
         kept = kept | ((F.col("quality") == k) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(s * (1 << 20))))
-    sample = known.where(kept).join(documents.select("doc_id", "text"), "doc_id").select("doc_id", "text", "quality").toPandas()
+    chosen = known.where(kept)
+    if chosen.count() <= 4 * rows_per_class * len(counts):  # else labels repeat ids, and the join is left to the planner
+        chosen = F.broadcast(chosen)
+    sample = documents.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "quality").toPandas()
     sample = sample.sort_values(["doc_id", "quality"], kind="stable").drop_duplicates(["doc_id", "quality", "text"])
     quality = sample["quality"].to_numpy()
     weights = np.array([1 / max(share[q], 1e-9) for q in quality])
