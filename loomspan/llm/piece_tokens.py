@@ -52,16 +52,17 @@ class PieceTokenizer:
         self.ids = {p: i for i, p in enumerate(self.pieces) if i not in special}
         self.score = {p: model.get_score(i) for p, i in self.ids.items()}
         self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
-            self.automaton.add_word(piece, piece)
+        for piece, i in self.ids.items():
+            self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
         crossing = any(MARK in p.lstrip(MARK) for p in self.ids)
         newline = any("\n" in p for p in self.ids)
         body = "[^%s]" if newline else "[^%s\n]"
         self.units = None if crossing else re.compile(f"{MARK}*{body % MARK}+|{MARK}+|\n")
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.alone: dict[str, bool] = {}
-        self.known: dict[str, tuple[str, int, str]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.alone: dict[int, bool] = {}
+        self.traces: dict[int, tuple[list[float], list[str], list[str]]] = {}
+        self.known = _Units(self._learn)
 
     def merged(self, text: str) -> list[str]:
         """Plain merging: the best pair first, the leftmost of equals."""
@@ -77,47 +78,86 @@ class PieceTokenizer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _stands(self, piece: str) -> bool:
-        ok = self.alone.get(piece)
-        if ok is None:
-            ok = self.alone[piece] = self.merged(piece) == [piece]
+    def _stands(self, piece: int) -> bool:
+        ok = self.alone[piece] = self.merged(self.pieces[piece]) == [self.pieces[piece]]
         return ok
 
-    def _fits(self, left: str, right: str) -> bool:
-        ok = self.pairs.get((left, right))
-        if ok is None:
-            if len(self.pairs) > 2_000_000:
-                self.pairs.clear()
-            ok = self.pairs[left, right] = self.merged(left + right) == [left, right]
-        return ok
+    def _merges(self, piece: int) -> tuple[list[float], list[str], list[str]]:
+        """The scores of a piece's merges in their order, and before each (and at the end) its first and its
+        last part."""
+        parts, scores, firsts, lasts = list(self.pieces[piece]), [], [], []
+        while True:
+            firsts.append(parts[0])
+            lasts.append(parts[-1])
+            if len(parts) == 1:
+                found = self.traces[piece] = scores, firsts, lasts
+                return found
+            best, at = None, -1
+            for i in range(len(parts) - 1):
+                s = self.score.get(parts[i] + parts[i + 1])
+                if s is not None and (best is None or s > best):
+                    best, at = s, i
+            scores.append(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def last_tokens(self, unit: str) -> list[str | None]:
-        """For each prefix (by its length) the last token; None where a character is not in the vocabulary."""
-        ending: dict[int, list[str]] = {}
-        for end, piece in self.automaton.iter(unit):
-            ending.setdefault(end + 1, []).append(piece)
-        last: list[str | None] = [None] * (len(unit) + 1)
-        for end in range(1, len(unit) + 1):
-            for piece in sorted(ending.get(end, ()), key=len, reverse=True):
-                start = end - len(piece)
-                left = last[start]
-                if self._stands(piece) if left is None else self._fits(left, piece):
-                    # None at start > 0 is a character outside the vocabulary, across which nothing merges
-                    last[end] = piece
+    def _fits(self, left: int, right: int) -> bool:
+        """Whether no merge crosses from left into right while both are put together from characters, each
+        merge in its turn: the better score first, of equals the one further left."""
+        ok = self._alone(right) and self._alone(left)
+        if ok:
+            (sa, _, last), (sb, first, _) = self.traces.get(left) or self._merges(left), self.traces.get(right) or self._merges(right)
+            i, j, score, low = 0, 0, self.score, float("-inf")
+            while True:
+                a, b = sa[i] if i < len(sa) else low, sb[j] if j < len(sb) else low
+                across = score.get(last[i] + first[j])
+                if across is not None and across > a and across >= b:
+                    ok = False
+                    break
+                if a == b == low:
                     break
+                if a >= b:
+                    i += 1
+                else:
+                    j += 1
+        if len(self.pairs) > 2_000_000:
+            self.pairs.clear()
+        self.pairs[left << 32 | right] = ok
+        return ok
+
+    def _alone(self, piece: int) -> bool:
+        ok = self.alone.get(piece)
+        return self._stands(piece) if ok is None else ok
+
+    def last_tokens(self, unit: str) -> list[int]:
+        """For each prefix (by its length) the id of its last token; -1 where a character is not in the
+        vocabulary."""
+        last, pairs = [-1] * (len(unit) + 1), self.pairs
+        for end, (piece, size) in self.automaton.iter(unit):
+            end += 1
+            if last[end] >= 0:
+                continue
+            left = last[end - size]
+            if left < 0:  # the start, or a character outside the vocabulary, across which nothing merges
+                ok = self._alone(piece)
+            else:
+                ok = pairs.get(left << 32 | piece)
+                if ok is None:
+                    ok = self._fits(left, piece)
+            if ok:
+                last[end] = piece
         return last
 
     def encode_unit(self, unit: str) -> list[int]:
         last, end, out = self.last_tokens(unit), len(unit), []
         while end:
             piece = last[end]
-            if piece is None:
+            if piece < 0:
                 data = unit[end - 1].encode()
                 out.extend(self.id_of_byte.get(b, self.unknown) for b in reversed(data)) if self.id_of_byte else out.append(self.unknown)
                 end -= 1
             else:
-                out.append(self.ids[piece])
-                end -= len(piece)
+                out.append(piece)
+                end -= len(self.pieces[piece])
         return out[::-1]
 
     def split(self, text: str) -> list[str]:
@@ -154,22 +194,32 @@ class PieceTokenizer:
 
     def _learn(self, unit: str) -> tuple[str, int, str]:
         ids = self.encode_unit(unit)
-        found = ",".join(map(str, ids)), len(ids), self.spell(ids)
-        if len(unit) <= _CACHED_LEN:
-            if len(self.known) >= _CACHE_MAX:
-                self.known.clear()
-            self.known[unit] = found
-        return found
+        bytes_ = self.byte_of
+        plain = not any(i in bytes_ or i == self.unknown for i in ids)
+        return ",".join(map(str, ids)), len(ids), "".join([self.pieces[i] for i in ids]).replace(MARK, " ") if plain else self.spell(ids)
 
     def round_trip(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, the ids as decimals joined by commas, and the text decoded from them."""
         units = self.split(text or "")
         if not units:
             return 0, "", ""
-        get, learn = self.known.get, self._learn
-        found = [get(u) or learn(u) for u in units]
-        decoded = "".join([x[2] for x in found])
-        return sum([x[1] for x in found]), ",".join([x[0] for x in found]), decoded[1:]
+        ids, sizes, texts = zip(*map(self.known.__getitem__, units), strict=True)
+        return sum(sizes), ",".join(ids), "".join(texts)[1:]
+
+
+class _Units(dict):
+    """Units already worked out; emptied when full. Long units are not kept."""
+
+    def __init__(self, learn) -> None:
+        self.learn = learn
+
+    def __missing__(self, unit: str) -> tuple[str, int, str]:
+        found = self.learn(unit)
+        if len(unit) <= _CACHED_LEN:
+            if len(self) >= _CACHE_MAX:
+                self.clear()
+            self[unit] = found
+        return found
 
 
 def _utf8(data: bytes) -> str:

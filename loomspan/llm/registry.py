@@ -6,9 +6,11 @@ from importlib import import_module
 
 #: query name -> module of this package that holds query() and, where SQL can say it, ORACLE_SQL
 MODULES = {
+    "op1_url_filter": "url_filter",
     "op4_suffix_dedup": "suffix_dedup",
     "op7_piece_tokens": "piece_tokens",
     "op8_quality_classifier": "quality_classifier",
+    "op9_source_mixing": "source_mixing",
     "op10_near_duplicates": "near_duplicates",
 }
 

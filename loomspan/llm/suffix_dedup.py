@@ -70,7 +70,7 @@ class Batch:
         s = stretches(self.data, self.offsets)
         doc = self.ids[s.doc]
         whole = s.whole >> np.uint64(24) << np.uint64(24)
-        order = np.lexsort((doc, whole, s.gram))
+        order = _ordered(s.gram, whole, doc)
         gram, whole, doc = s.gram[order], whole[order], doc[order]
         fresh = np.append(True, (gram[1:] != gram[:-1]) | (whole[1:] != whole[:-1]))[: len(gram)]
         return gram, whole, doc, s.first[order], s.last[order], fresh
@@ -84,7 +84,7 @@ class Batch:
         by_start = np.argsort(starts, kind="stable")
         starts, owner = starts[by_start], owner[by_start]
         hashes = window_hashes(self.data, starts)
-        order = np.lexsort((owner, hashes))
+        order = _ordered(hashes, owner)
         hashes = hashes[order]
         fresh = np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)]
         return starts, owner, order, hashes, fresh
@@ -99,6 +99,19 @@ def _send(batch: int, gram: np.ndarray, whole: np.ndarray | None, doc: np.ndarra
             yield {"shard": shard, "batch": batch, "n": int(b - a), "gram": _pack(np.diff(gram[a:b], prepend=np.uint64(0))), "whole": None if whole is None else _pack(whole[a:b], _TOP), "doc": _pack(doc[a:b])}
 
 
+def _ordered(gram: np.ndarray, *ties: np.ndarray, kind: str | None = None) -> np.ndarray:
+    """Order by gram, then by ties (the first of them leads). Few grams are equal, so only those are sorted
+    by more than one key; kind "stable" is quick where gram is made of sorted runs."""
+    order = np.argsort(gram, kind=kind)
+    g = gram[order]
+    same = g[1:] == g[:-1]
+    tied = np.flatnonzero(np.append(same, False) | np.append(False, same)) if len(g) else np.zeros(0, np.int64)
+    if len(tied):
+        part = order[tied]
+        order[tied] = part[np.lexsort((*(t[part] for t in reversed(ties)), gram[part]))]
+    return order
+
+
 class Family:
     """Levels of (gram, whole, smallest document), each sorted; sizes fall at least by half from level to level."""
 
@@ -109,21 +122,23 @@ class Family:
         new = gram, whole, doc
         while self.levels and len(self.levels[-1][0]) < 2 * len(new[0]):
             g, w, d = (np.concatenate(x) for x in zip(self.levels.pop(), new, strict=True))
-            order = np.lexsort((d, w, g))
+            order = _ordered(g, w, d, kind="stable")
             g, w, d = g[order], w[order], d[order]
             keep = np.append(True, (g[1:] != g[:-1]) | (w[1:] != w[:-1]))[: len(g)]
             new = g[keep], w[keep], d[keep]
         self.levels.append(new)
 
     def close(self) -> None:
-        """Prepare the levels for scans: entries by one joined key, and for each gram the range of what it has."""
+        """Prepare the levels for scans: for each gram its range of entries and what they span, and a joined
+        key of the entries of grams that have several."""
         self.scan = []
         for g, w, d in self.levels:
-            joined = _joined(g, w)
-            order = np.argsort(joined)
             start = np.flatnonzero(np.append(True, g[1:] != g[:-1])[: len(g)])
-            ends = np.append(start[1:], len(g)) - 1
-            self.scan.append((joined[order], d[order], g[start], w[start], w[ends], np.minimum.reduceat(d, start), np.maximum.reduceat(d, start)))
+            size = np.diff(start, append=len(g))
+            many = np.flatnonzero(np.repeat(size > 1, size))
+            joined = _joined(g[many], w[many])
+            order = np.argsort(joined)
+            self.scan.append((g[start], w[start], w[start + size - 1], np.minimum.reduceat(d, start), np.maximum.reduceat(d, start), size, joined[order], d[many][order]))
 
     def flags(self, gram: np.ndarray, whole: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """_SETTLED: a smaller document has the entry. _OPEN: it is the entry's first document, and other
@@ -132,16 +147,20 @@ class Family:
         least = np.full(n, _NO_ID)
         wmin, wmax = np.full(n, np.iinfo(np.uint64).max, np.uint64), np.zeros(n, np.uint64)
         dmin, dmax = np.full(n, _NO_ID), np.full(n, np.iinfo(np.int64).min)
-        joined = _joined(gram, whole)
-        for keys, docs, g, w0, w1, d0, d1 in self.scan:
-            at = np.minimum(np.searchsorted(keys, joined), len(keys) - 1)
-            hit = keys[at] == joined
-            least[hit] = np.minimum(least[hit], docs[at[hit]])
+        for g, w0, w1, d0, d1, size, joined, docs in self.scan:
             at = np.minimum(np.searchsorted(g, gram), len(g) - 1)
             hit = np.flatnonzero(g[at] == gram)
             at = at[hit]
             wmin[hit], wmax[hit] = np.minimum(wmin[hit], w0[at]), np.maximum(wmax[hit], w1[at])
             dmin[hit], dmax[hit] = np.minimum(dmin[hit], d0[at]), np.maximum(dmax[hit], d1[at])
+            one = (size[at] == 1) & (w0[at] == whole[hit])
+            least[hit[one]] = np.minimum(least[hit[one]], d0[at[one]])
+            many = hit[size[at] > 1]
+            if len(many):
+                key = _joined(gram[many], whole[many])
+                at = np.minimum(np.searchsorted(joined, key), len(joined) - 1)
+                ok = joined[at] == key
+                least[many[ok]] = np.minimum(least[many[ok]], docs[at[ok]])
         out = np.where(least < doc, _SETTLED, 0).astype(np.uint8)
         out[(out == 0) & (wmin != wmax) & (dmin != dmax)] = _OPEN
         return out
