@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import uuid
 
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: Bytes in one Arrow batch handed to Python, so that long texts do not pile up.
 BATCH_BYTES = 8 << 20
+_LIBC = ctypes.CDLL("libc.so.6") if sys.platform == "linux" else None
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -39,15 +42,16 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def stage(df: DataFrame, name: str, codec: str = "zstd", file_rows: int = 0) -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends there, and a lost
-    executor takes nothing with it. Shuffle files of the writing query are removed at its end."""
+    executor takes nothing with it. Shuffle files of the writing query are removed at its end. file_rows: most
+    rows in a file, for rows so large that a reader should not take many at once."""
     spark = df.sparkSession
     path = new_path(spark, name)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.option("compression", codec).parquet(path)
+        df.write.option("compression", codec).option("maxRecordsPerFile", file_rows).parquet(path)
     finally:
         if before is None:
             spark.conf.unset(_CLEANUP)
@@ -72,6 +76,13 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null"))) % n
 
 
+def release() -> None:
+    """Give freed memory back to the system, so that workers which wait do not hold it."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All UTF-8 bytes of a string column and the n + 1 offsets into them; nulls are empty."""
     column = column.cast(pa.large_string()).fill_null("")

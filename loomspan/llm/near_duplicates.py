@@ -4,11 +4,12 @@ A document's set holds its distinct runs of five words. One permutation (sigma)
 a second (pi) is applied after a circular shift by k = 0..127, and the smallest value for each k is coordinate k
 of the signature. Bands of four coordinates give candidates, which are confirmed on the full sets.
 
-Texts with equal sets are one class, held by its smallest document. In each band bucket the class with the
-smallest document is the pivot, and every other class of the bucket is a candidate with it. What the confirmed
-links leave in different components of one bucket is then compared as well: there, blocks of the bucket are
-compared by signature bytes, inside tasks, and pairs that may reach the threshold are confirmed. So every pair of
-classes that shares a bucket is either confirmed, refuted, or inside one component already; there is no cap.
+Texts with equal sets are one class, held by its smallest document. The smallest class of a band bucket is its
+pivot; a class is first held against the pivots of its buckets, and the likeliest by signature is confirmed. That
+joins most of what belongs together with one pair for each class. Then, round by round, buckets whose classes are
+not yet in one component are compared block by block, inside tasks, by signature; each class outside the block
+pair's commonest component proposes its k likeliest partners in other components, k growing from round to round,
+until every pair of classes that shares a bucket is confirmed, refuted, or inside one component. There is no cap.
 
 Defined results: a null or empty text, or one of white space only, has an empty set and is linked with nothing;
 fewer than five words are one shingle; rows with equal doc_id and different texts are linked by having one id;
@@ -26,15 +27,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm.common import bound_batches, read_documents, stage
+from loomspan.llm.common import bound_batches, drop_path, read_documents, stage
 from loomspan.llm.components import components
 
 WORDS, THRESHOLD_PERCENT = 5, 75
 HASHES, BAND = 128, 4
-#: Members of one block when a bucket is compared by signatures; a bucket of n gives about (n / BLOCK)^2 / 2 tasks' rows.
+#: Members of one block when a bucket is compared by signatures.
 BLOCK = 512
 #: Share of equal signature bytes below which a pair is not confirmed: five standard deviations under 0.75.
 SKETCH_FLOOR = 0.55
+#: 64-bit words of the filter that goes before the join of texts with candidates: 16 MB at most.
+FILTER_WORDS = 1 << 20
 _SPLIT = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _CACHE_MAX = 400_000
@@ -136,11 +139,20 @@ def sketch(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(_sketched, _SKETCH_SCHEMA)
 
 
+def _marked(ids: DataFrame) -> DataFrame:
+    """A one-hash filter of column id: 64-bit words by number. At most FILTER_WORDS rows, whatever the input."""
+    h = F.pmod(F.xxhash64("id"), F.lit(FILTER_WORDS * 64))
+    return ids.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
+
+
 def _confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """Of the pairs a, b (documents), those whose full sets reach the threshold."""
-    spark = pairs.sparkSession
-    ids = pairs.selectExpr("a id").union(pairs.selectExpr("b id")).distinct()
-    texts = documents.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
+    ids = stage(pairs.selectExpr("a id").union(pairs.selectExpr("b id")).distinct(), "ids")
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_WORDS * 64))
+    texts = documents.select("doc_id", "text", F.shiftright(h, 6).alias("word"), h.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+    # The filter keeps most other texts from being shuffled; the join that follows is exact.
+    texts = texts.join(F.broadcast(_marked(ids)), "word").where(F.call_function("shiftright", F.col("bits"), F.col("bit")).bitwiseAND(F.lit(1)) == 1)
+    texts = texts.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
 
     def shingled(batches):
         make = Shingler()
@@ -150,74 +162,104 @@ def _confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
 
     sets = stage(texts.mapInArrow(shingled, "doc_id bigint, s array<bigint>"), "sets", codec="lz4")
     # A document in many pairs is copied once for 64 of them, so that no key gathers them all.
-    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts"))
+    degree = stage(pairs.groupBy("a").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts")), "degree")
     dealt = pairs.join(degree, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
     left = sets.join(degree, sets.doc_id == degree.a).select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("s").alias("sa"))
     both = dealt.select("a", "b", "part").join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b").join(left, ["a", "part"])
     inter = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - inter
-    return stage(both.where(100 * inter >= THRESHOLD_PERCENT * union).select("a", "b"), "confirmed")
+    out = stage(both.where(100 * inter >= THRESHOLD_PERCENT * union).select("a", "b").distinct(), "confirmed")
+    drop_path(pairs.sparkSession, sets.staged_path)
+    return out
 
 
-def _compare(batches):
-    """Rows of two blocks (ids, sizes, components, sketches): the pairs in different components that may reach
-    the threshold."""
+def _alike(batches):
+    """Pairs with both sizes and sketches: those that may reach the threshold, and how alike they look."""
     for batch in batches:
-        found_a, found_b = [], []
-        for row in batch.to_pylist():
-            x, y = row["x"], row["y"]
-            ax, ay = (np.array([m["id"] for m in v], np.int64) for v in (x, y))
-            sx, sy = (np.array([m["size"] for m in v], np.int64) for v in (x, y))
-            cx, cy = (np.array([m["component"] for m in v], np.int64) for v in (x, y))
-            kx, ky = (np.frombuffer(b"".join(m["sketch"] for m in v), np.uint8).reshape(len(v), HASHES) for v in (x, y))
-            for i in range(len(ax)):
-                near = np.flatnonzero((cy != cx[i]) & (100 * np.minimum(sy, sx[i]) >= THRESHOLD_PERCENT * np.maximum(sy, sx[i])))
-                if row["same"]:
-                    near = near[near > i]
-                near = near[(ky[near] == kx[i]).mean(axis=1) >= SKETCH_FLOOR] if len(near) else near
-                found_a.append(np.full(len(near), ax[i]))
-                found_b.append(ay[near])
-        a, b = (np.concatenate([np.zeros(0, np.int64), *v]) for v in (found_a, found_b))
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-
-def _rest(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of classes in one bucket and different components, by blocks of the bucket."""
-    spark = members.sparkSession
-    named = members.join(labels, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").selectExpr("bucket", "int(ceil(n / double(%d))) blocks" % BLOCK)
-    open_ = stage(named.join(mixed, "bucket").select("bucket", "blocks", F.struct("id", "size", "component", "sketch").alias("m")).withColumn("block", F.pmod(F.xxhash64("m.id"), F.col("blocks")).cast("int")), "open")
-    if open_.isEmpty():
-        return spark.createDataFrame([], "a bigint, b bigint")
-    blocks = stage(open_.groupBy("bucket", "block").agg(F.first("blocks").alias("blocks"), F.sort_array(F.collect_list("m")).alias("ms")), "blocks")
+        na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
+        ka, kb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, HASHES) for c in ("ka", "kb"))
+        alike = (ka == kb).mean(axis=1)
+        ok = pa.array((100 * np.minimum(na, nb) >= THRESHOLD_PERCENT * np.maximum(na, nb)) & (alike >= SKETCH_FLOOR))
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok), pa.array(alike).filter(ok)], names=["a", "b", "alike"])
+
+
+def _compare(k: int):
+    """Rows of two blocks of members: for each member outside the commonest component, its k likeliest partners
+    in other components."""
+
+    def run(batches):
+        for batch in batches:
+            found = [[], [], []]
+            for row in batch.to_pylist():
+                sides = [row["x"]] if row["same"] else [row["x"], row["y"]]
+                ids, size, comp = ([np.array([m[f] for m in v], np.int64) for v in sides] for f in ("id", "size", "component"))
+                look = [np.frombuffer(b"".join(m["sketch"] for m in v), np.uint8).reshape(len(v), HASHES) for v in sides]
+                names, counts = np.unique(np.concatenate(comp), return_counts=True)
+                if len(names) == 1:
+                    continue
+                main = names[counts.argmax()]
+                for me in range(len(sides)):
+                    other = me if row["same"] else 1 - me
+                    for i in np.flatnonzero(comp[me] != main):
+                        near = np.flatnonzero((comp[other] != comp[me][i]) & (100 * np.minimum(size[other], size[me][i]) >= THRESHOLD_PERCENT * np.maximum(size[other], size[me][i])))
+                        alike = (look[other][near] == look[me][i]).mean(axis=1)
+                        best = np.lexsort((ids[other][near], -alike))[:k]
+                        best = best[alike[best] >= SKETCH_FLOOR]
+                        for out, v in zip(found, (np.full(len(best), ids[me][i]), ids[other][near[best]], alike[best]), strict=True):
+                            out.append(v)
+            a, b, alike = (np.concatenate([np.zeros(0, t), *v]) for v, t in zip(found, (np.int64, np.int64, np.float64), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(alike)], names=["me", "other", "alike"])
+
+    return run
+
+
+def _proposals(members: DataFrame, looks: DataFrame, labels: DataFrame, k: int) -> DataFrame:
+    """me, other, alike: up to k for each class, from buckets that hold several components."""
+    named = members.select("bucket", "id").join(labels, F.col("id") == F.col("node"), "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    mixed = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").selectExpr("bucket", f"int(ceil(n / double({BLOCK}))) blocks")
+    open_ = named.join(mixed, "bucket").join(looks, "id").select("bucket", "blocks", F.struct("id", "size", "component", "sketch").alias("m")).withColumn("block", F.pmod(F.xxhash64("m.id"), F.col("blocks")).cast("int"))
+    blocks = stage(open_.groupBy("bucket", "block").agg(F.first("blocks").alias("blocks"), F.collect_list("m").alias("ms")), "blocks")
     left = blocks.select("bucket", F.col("block").alias("i"), F.col("ms").alias("x"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
     right = blocks.select("bucket", F.col("block").alias("j"), F.col("ms").alias("y"))
-    return left.join(right, ["bucket", "j"]).select("x", "y", (F.col("i") == F.col("j")).alias("same")).mapInArrow(_compare, "a bigint, b bigint").distinct()
+    pairs = left.join(right, ["bucket", "j"]).select("x", "y", (F.col("i") == F.col("j")).alias("same")).mapInArrow(_compare(k), "me bigint, other bigint, alike double").distinct()
+    return stage(pairs.selectExpr("*", "row_number() over (partition by me order by alike desc, other) place").where(f"place <= {k}"), "proposals")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of documents."""
+    spark = documents.sparkSession
     known = stage(sketch(documents.where("doc_id is not null")), "sketch")
-    classes = stage(known.where("set_hash is not null").groupBy("set_hash").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.count("*").alias("copies")), "classes")
-    # A class is looked up by its smallest document; if that id has several texts, by text as well.
-    held = known.select("doc_id", "set_hash", "bands", "sketch").join(classes.select("set_hash", "id", "size"), "set_hash").where("doc_id = id").dropDuplicates(["set_hash"])
-    rows = held.select("id", "size", "sketch", F.explode("bands").alias("bucket"))
-    full = rows.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    members = stage(rows.join(full.select("bucket", "pivot"), "bucket").select("bucket", "pivot", "id", "size", "sketch"), "members")
-    sizes = members.select("id", "size", "sketch").distinct()
+    classes = stage(known.where("set_hash is not null").groupBy("set_hash").agg(F.min("doc_id").alias("id")), "classes")
+    # A class is looked up by its smallest document; if that id has several texts, by any of them.
+    held = known.join(classes, "set_hash").where("doc_id = id").dropDuplicates(["set_hash"]).select("id", F.col("n_shingles").alias("size"), "bands", "sketch")
+    held = stage(held, "held")
+    looks = held.select("id", "size", "sketch")
+    rows = held.select("id", F.explode("bands").alias("bucket"))
+    full = rows.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("top")).where("pivot < top")
+    members = stage(rows.join(full.select("bucket", "pivot"), "bucket").select("bucket", "pivot", "id").distinct(), "members")
     star = members.where("id <> pivot").selectExpr("pivot a", "id b").distinct()
-    a, b = sizes.selectExpr("id a", "size na", "sketch ka"), sizes.selectExpr("id b", "size nb")
-    near = star.join(a.drop("ka"), "a").join(b, "b").where(f"100 * least(na, nb) >= {THRESHOLD_PERCENT} * greatest(na, nb)").select("a", "b")
-    links = _confirm(stage(near.distinct(), "star"), documents)
+    star = star.join(looks.selectExpr("id b", "size nb", "sketch kb"), "b").join(looks.selectExpr("id a", "size na", "sketch ka"), "a")
+    star = star.select("a", "b", "na", "nb", "ka", "kb").mapInArrow(_alike, "a bigint, b bigint, alike double")
+    tried = stage(star.groupBy("b").agg(F.max_by("a", F.struct("alike", -F.col("a"))).alias("a")).select("a", "b"), "star")
+    links = _confirm(tried, documents)
     # Rows that share a doc_id are one document.
-    copies = known.where("set_hash is not null").join(classes.select("set_hash", "id"), "set_hash").where("doc_id <> id").selectExpr("id a", "doc_id b")
+    copies = known.where("set_hash is not null").join(classes, "set_hash").where("doc_id <> id").selectExpr("id a", "doc_id b")
     shared = copies.join(classes.selectExpr("id b"), "b", "left_semi").select("a", "b")
-    links = links.union(shared)
-    labels = components(links)
-    rest = stage(_rest(members, labels), "rest")
-    if not rest.isEmpty():
-        labels = components(links.union(_confirm(rest, documents)))
-    top = classes.select("set_hash", "id").join(labels, F.col("id") == F.col("node"), "left").select("set_hash", F.coalesce("component", "id").alias("component_id"))
+    links = stage(links.union(shared), "links")
+    labels, k = components(links), 1
+    while True:
+        proposed = _proposals(members, looks, labels, k)
+        fresh = stage(proposed.selectExpr("least(me, other) a", "greatest(me, other) b").distinct().join(tried.selectExpr("least(a, b) a", "greatest(a, b) b"), ["a", "b"], "left_anti"), "fresh")
+        if not fresh.isEmpty():
+            tried = stage(tried.union(fresh), "tried")
+            more = _confirm(fresh, documents)
+            if not more.isEmpty():
+                links = stage(links.union(more), "links")
+                labels = components(links)
+        elif proposed.where(f"place >= {k}").isEmpty():
+            break
+        k *= 8
+    top = classes.join(labels, F.col("id") == F.col("node"), "left").select("set_hash", F.coalesce("component", "id").alias("component_id"))
     top = stage(top, "tops")
     out = known.select("doc_id", "n_shingles", "set_hash").join(top, "set_hash", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -15,6 +15,7 @@ extra columns pass through; texts of any length are encoded whole; a model with
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from functools import cache
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loomspan.llm.common import bound_batches, read_documents
 
 MARK = "▁"
-_CACHE_MAX, _CACHED_LEN = 300_000, 48
+_CACHE_MAX, _CACHED_LEN = 500_000, 48
 
 
 def default_model() -> str:
@@ -53,7 +54,7 @@ class PieceTokenizer:
         self.score = {p: model.get_score(i) for p, i in self.ids.items()}
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
-            self.automaton.add_word(piece, (i, len(piece)))
+            self.automaton.add_word(piece, (i, len(piece) - 1))
         self.automaton.make_automaton()
         crossing = any(MARK in p.lstrip(MARK) for p in self.ids)
         newline = any("\n" in p for p in self.ids)
@@ -62,6 +63,7 @@ class PieceTokenizer:
         self.pairs: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
         self.traces: dict[int, tuple[list[float], list[str], list[str]]] = {}
+        self.names = [str(i) for i in range(len(self.pieces))]
         self.known = _Units(self._learn)
 
     def merged(self, text: str) -> list[str]:
@@ -101,10 +103,11 @@ class PieceTokenizer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def _fits(self, left: int, right: int) -> bool:
-        """Whether no merge crosses from left into right while both are put together from characters, each
-        merge in its turn: the better score first, of equals the one further left."""
-        ok = self._alone(right) and self._alone(left)
-        if ok:
+        """Whether right can follow left: no merge crosses while both are put together from characters, each
+        merge in its turn, the better score first and of equals the one further left. left is -1 at the start
+        and after a character outside the vocabulary, across which nothing merges."""
+        ok = self._alone(right) and (left < 0 or self._alone(left))
+        if ok and left >= 0:
             (sa, _, last), (sb, first, _) = self.traces.get(left) or self._merges(left), self.traces.get(right) or self._merges(right)
             i, j, score, low = 0, 0, self.score, float("-inf")
             while True:
@@ -121,7 +124,7 @@ class PieceTokenizer:
                     j += 1
         if len(self.pairs) > 2_000_000:
             self.pairs.clear()
-        self.pairs[left << 32 | right] = ok
+        self.pairs[left * len(self.pieces) + right] = ok
         return ok
 
     def _alone(self, piece: int) -> bool:
@@ -131,20 +134,15 @@ class PieceTokenizer:
     def last_tokens(self, unit: str) -> list[int]:
         """For each prefix (by its length) the id of its last token; -1 where a character is not in the
         vocabulary."""
-        last, pairs = [-1] * (len(unit) + 1), self.pairs
-        for end, (piece, size) in self.automaton.iter(unit):
-            end += 1
-            if last[end] >= 0:
-                continue
-            left = last[end - size]
-            if left < 0:  # the start, or a character outside the vocabulary, across which nothing merges
-                ok = self._alone(piece)
-            else:
-                ok = pairs.get(left << 32 | piece)
+        last, pairs, many = [-1] * (len(unit) + 1), self.pairs, len(self.pieces)
+        for end, (piece, before) in self.automaton.iter(unit):
+            if last[end + 1] < 0:
+                left = last[end - before]
+                ok = pairs.get(left * many + piece)
                 if ok is None:
                     ok = self._fits(left, piece)
-            if ok:
-                last[end] = piece
+                if ok:
+                    last[end + 1] = piece
         return last
 
     def encode_unit(self, unit: str) -> list[int]:
@@ -193,10 +191,20 @@ class PieceTokenizer:
         return text[1:] if first is not None and self.pieces[first].startswith(MARK) else text
 
     def _learn(self, unit: str) -> tuple[str, int, str]:
-        ids = self.encode_unit(unit)
-        bytes_ = self.byte_of
-        plain = not any(i in bytes_ or i == self.unknown for i in ids)
-        return ",".join(map(str, ids)), len(ids), "".join([self.pieces[i] for i in ids]).replace(MARK, " ") if plain else self.spell(ids)
+        last, pieces, names, end, out = self.last_tokens(unit), self.pieces, self.names, len(unit), []
+        if last.count(-1) > 1:  # characters that become bytes
+            ids = self.encode_unit(unit)
+            return ",".join(map(str, ids)), len(ids), self.spell(ids)
+        spelt = []
+        while end:
+            piece = last[end]
+            text = pieces[piece]
+            out.append(names[piece])
+            spelt.append(text)
+            end -= len(text)
+        out.reverse()
+        spelt.reverse()
+        return ",".join(out), len(out), "".join(spelt).replace(MARK, " ")
 
     def round_trip(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, the ids as decimals joined by commas, and the text decoded from them."""
@@ -208,15 +216,17 @@ class PieceTokenizer:
 
 
 class _Units(dict):
-    """Units already worked out; emptied when full. Long units are not kept."""
+    """Units already worked out. When full, what was used since the last time it was full stays within reach.
+    Long units are not kept."""
 
     def __init__(self, learn) -> None:
-        self.learn = learn
+        self.learn, self.older = learn, {}
 
     def __missing__(self, unit: str) -> tuple[str, int, str]:
-        found = self.learn(unit)
+        found = self.older.get(unit) or self.learn(unit)
         if len(unit) <= _CACHED_LEN:
             if len(self) >= _CACHE_MAX:
+                self.older = dict(self)
                 self.clear()
             self[unit] = found
         return found
@@ -272,11 +282,15 @@ def digest(documents: DataFrame, keep: list[str], model_file: str | None = None)
         tok, sha = tokenizer(path), hashlib.sha256
         for batch in batches:
             n, ids, texts = [], [], []
-            for text in batch.column("text").to_pylist():
-                count, joined, decoded = tok.round_trip(text)
-                n.append(count)
-                ids.append(sha(joined.encode()).hexdigest())
-                texts.append(sha(decoded.encode()).hexdigest())
+            gc.disable()  # many small objects live on, and none of them in cycles
+            try:
+                for text in batch.column("text").to_pylist():
+                    count, joined, decoded = tok.round_trip(text)
+                    n.append(count)
+                    ids.append(sha(joined.encode()).hexdigest())
+                    texts.append(sha(decoded.encode()).hexdigest())
+            finally:
+                gc.enable()
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return given.mapInArrow(run, f"{schema}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

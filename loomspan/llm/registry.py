@@ -7,6 +7,7 @@ from importlib import import_module
 #: query name -> module of this package that holds query() and, where SQL can say it, ORACLE_SQL
 MODULES = {
     "op1_url_filter": "url_filter",
+    "op3_warc": "warc",
     "op4_suffix_dedup": "suffix_dedup",
     "op7_piece_tokens": "piece_tokens",
     "op8_quality_classifier": "quality_classifier",

@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.llm.anchors import SPAN, stretches, window_hashes
-from loomspan.llm.common import bound_batches, drop_path, read_documents, stage, text_bytes
+from loomspan.llm.common import bound_batches, read_documents, release, stage, text_bytes
 
 #: Bytes of text in a batch; a longer document is a batch of its own.
-BATCH = 8 << 20
+BATCH = 4 << 20
 _NO_ID = np.iinfo(np.int64).max
 _SENT = "shard int, batch bigint, n bigint, gram binary, whole binary, doc binary"
 _TOLD = "batch bigint, step int, shard int, flags binary"
@@ -217,6 +217,7 @@ def _suffix_rows(shards: int):
             for r in chunk.to_pylist():
                 gram, whole, doc, _, _, fresh = Batch(r["ids"], r["lengths"], r["text"]).suffixes()
                 yield pa.RecordBatch.from_pylist(list(_send(r["batch"], gram[fresh], whole[fresh], doc[fresh], shards)), schema=_SENT_ARROW)
+                release()
 
     return run
 
@@ -236,6 +237,8 @@ def _matched(step: int):
             family.add(gram, whole, doc)
             parts.append((r["batch"], r["shard"], gram, whole, doc))
         family.close()
+        del rows
+        release()
         for batch, shard, *entry in parts:
             flags = zstandard.ZstdCompressor(level=3).compress(family.flags(*entry).tobytes())
             yield pa.RecordBatch.from_pydict({"batch": pa.array([batch]), "step": pa.array([step], pa.int32()), "shard": pa.array([shard], pa.int32()), "flags": pa.array([flags], pa.binary())})
@@ -258,6 +261,7 @@ def _window_rows(shards: int):
             flags = _flags(right.to_pylist(), 1, len(entries))
             _, owner, order, hashes, new = batch.windows(entries[flags == _OPEN], first, last, doc)
             out += _send(r["batch"], hashes[new], None, owner[order][new], shards)
+            release()
         return pa.Table.from_pylist(out, schema=_SENT_ARROW)
 
     return run
@@ -304,7 +308,9 @@ def _cut(schema: pa.Schema):
             with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(r["rest"])) as stream:
                 rest = stream.read_all()
             columns = [*rest.columns, pa.array(np.diff(batch.offsets)), pa.array(np.diff(total)), pa.array(np.diff(runs).astype(np.int64)), spans, kept]
-            tables.append(pa.table([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema))
+            table = pa.table([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+            tables += [table.slice(i, 256) for i in range(0, len(table), 256)]
+            release()
         return pa.concat_tables(tables) if tables else schema.empty_table()
 
     return run
@@ -316,7 +322,7 @@ def remove_repeats(documents: DataFrame, keep: list[str]) -> DataFrame:
     bound_batches(spark)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     given = documents.select(*dict.fromkeys(["doc_id", "text", *keep]))
-    batches = stage(given.mapInArrow(_batched(keep), _BATCH), "batches", codec="uncompressed")
+    batches = stage(given.mapInArrow(_batched(keep), _BATCH), "batches", codec="uncompressed", file_rows=4)
     sent = batches.mapInArrow(_suffix_rows(shards), _SENT)
     told = stage(sent.repartitionById(shards, F.col("shard")).mapInArrow(_matched(1), _TOLD), "flags")
     blobs = batches.groupBy("batch")
