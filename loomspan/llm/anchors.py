@@ -13,7 +13,7 @@ import numpy as np
 
 SPAN, GRAM = 50, 24
 #: Window starts worked on at once; positions inside a block fit the low bits of a key.
-BLOCK, POSITION_BITS = 1 << 19, 20
+BLOCK, POSITION_BITS = 1 << 17, 18
 _RANDOM = np.random.default_rng(20240607).integers(0, 1 << 64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = {n: np.uint64(pow(_BASE, n, 1 << 64)) for n in (1, 2, 4, 8, 16)}

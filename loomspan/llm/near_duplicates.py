@@ -5,11 +5,12 @@ a second (pi) is applied after a circular shift by k = 0..127, and the smallest
 of the signature. Bands of four coordinates give candidates, which are confirmed on the full sets.
 
 Texts with equal sets are one class, held by its smallest document. The smallest class of a band bucket is its
-pivot; a class is first held against the pivots of its buckets, and the likeliest by signature is confirmed. That
-joins most of what belongs together with one pair for each class. Then, round by round, buckets whose classes are
-not yet in one component are compared block by block, inside tasks, by signature; each class outside the block
-pair's commonest component proposes its k likeliest partners in other components, k growing from round to round,
-until every pair of classes that shares a bucket is confirmed, refuted, or inside one component. There is no cap.
+pivot; each class is first held against the pivots of its buckets, and the likeliest by signature is confirmed. That
+joins most of what belongs together with one pair for each class. Buckets that overlap make a group; where a group's
+classes are not all in one component by then, those outside its largest component are compared with all others,
+block by block: signatures leave out what cannot reach the threshold, full sets decide, and a task reports no more
+links than join the components it has seen. So every pair of classes that shares a bucket is confirmed, refuted, or
+inside one component. There is no cap; groups of more than GROUP classes are compared bucket by bucket instead.
 
 Defined results: a null or empty text, or one of white space only, has an empty set and is linked with nothing;
 fewer than five words are one shingle; rows with equal doc_id and different texts are linked by having one id;
@@ -32,8 +33,8 @@ from loomspan.llm.components import components
 
 WORDS, THRESHOLD_PERCENT = 5, 75
 HASHES, BAND = 128, 4
-#: Members of one block when a bucket is compared by signatures.
-BLOCK = 512
+#: Classes in one block of a group, about, and in a group that is compared as a whole.
+BLOCK, GROUP = 256, 100_000
 #: Share of equal signature bytes below which a pair is not confirmed: five standard deviations under 0.75.
 SKETCH_FLOOR = 0.55
 #: 64-bit words of the filter that goes before the join of texts with candidates: 16 MB at most.
@@ -145,9 +146,9 @@ def _marked(ids: DataFrame) -> DataFrame:
     return ids.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
 
 
-def _confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """Of the pairs a, b (documents), those whose full sets reach the threshold."""
-    ids = stage(pairs.selectExpr("a id").union(pairs.selectExpr("b id")).distinct(), "ids")
+def _sets(ids: DataFrame, documents: DataFrame) -> DataFrame:
+    """doc_id and its set s (array<bigint>) of the documents in column id."""
+    ids = stage(ids.distinct(), "ids")
     h = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_WORDS * 64))
     texts = documents.select("doc_id", "text", F.shiftright(h, 6).alias("word"), h.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
     # The filter keeps most other texts from being shuffled; the join that follows is exact.
@@ -158,9 +159,14 @@ def _confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
         make = Shingler()
         for batch in batches:
             rows = [make(t).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "s"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "s"])
+
+    return stage(texts.mapInArrow(shingled, "doc_id bigint, s array<bigint>"), "sets", codec="lz4")
 
-    sets = stage(texts.mapInArrow(shingled, "doc_id bigint, s array<bigint>"), "sets", codec="lz4")
+
+def _confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+    """Of the pairs a, b (documents), those whose full sets reach the threshold."""
+    sets = _sets(pairs.selectExpr("a id").union(pairs.selectExpr("b id")), documents)
     # A document in many pairs is copied once for 64 of them, so that no key gathers them all.
     degree = stage(pairs.groupBy("a").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts")), "degree")
     dealt = pairs.join(degree, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
@@ -183,46 +189,76 @@ def _alike(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok), pa.array(alike).filter(ok)], names=["a", "b", "alike"])
 
 
-def _compare(k: int):
-    """Rows of two blocks of members: for each member outside the commonest component, its k likeliest partners
-    in other components."""
-
-    def run(batches):
-        for batch in batches:
-            found = [[], [], []]
-            for row in batch.to_pylist():
-                sides = [row["x"]] if row["same"] else [row["x"], row["y"]]
-                ids, size, comp = ([np.array([m[f] for m in v], np.int64) for v in sides] for f in ("id", "size", "component"))
-                look = [np.frombuffer(b"".join(m["sketch"] for m in v), np.uint8).reshape(len(v), HASHES) for v in sides]
-                names, counts = np.unique(np.concatenate(comp), return_counts=True)
-                if len(names) == 1:
-                    continue
-                main = names[counts.argmax()]
-                for me in range(len(sides)):
-                    other = me if row["same"] else 1 - me
-                    for i in np.flatnonzero(comp[me] != main):
-                        near = np.flatnonzero((comp[other] != comp[me][i]) & (100 * np.minimum(size[other], size[me][i]) >= THRESHOLD_PERCENT * np.maximum(size[other], size[me][i])))
-                        alike = (look[other][near] == look[me][i]).mean(axis=1)
-                        best = np.lexsort((ids[other][near], -alike))[:k]
-                        best = best[alike[best] >= SKETCH_FLOOR]
-                        for out, v in zip(found, (np.full(len(best), ids[me][i]), ids[other][near[best]], alike[best]), strict=True):
-                            out.append(v)
-            a, b, alike = (np.concatenate([np.zeros(0, t), *v]) for v, t in zip(found, (np.int64, np.int64, np.float64), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(alike)], names=["me", "other", "alike"])
-
-    return run
-
-
-def _proposals(members: DataFrame, looks: DataFrame, labels: DataFrame, k: int) -> DataFrame:
-    """me, other, alike: up to k for each class, from buckets that hold several components."""
-    named = members.select("bucket", "id").join(labels, F.col("id") == F.col("node"), "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    mixed = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").selectExpr("bucket", f"int(ceil(n / double({BLOCK}))) blocks")
-    open_ = named.join(mixed, "bucket").join(looks, "id").select("bucket", "blocks", F.struct("id", "size", "component", "sketch").alias("m")).withColumn("block", F.pmod(F.xxhash64("m.id"), F.col("blocks")).cast("int"))
-    blocks = stage(open_.groupBy("bucket", "block").agg(F.first("blocks").alias("blocks"), F.collect_list("m").alias("ms")), "blocks")
-    left = blocks.select("bucket", F.col("block").alias("i"), F.col("ms").alias("x"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
-    right = blocks.select("bucket", F.col("block").alias("j"), F.col("ms").alias("y"))
-    pairs = left.join(right, ["bucket", "j"]).select("x", "y", (F.col("i") == F.col("j")).alias("same")).mapInArrow(_compare(k), "me bigint, other bigint, alike double").distinct()
-    return stage(pairs.selectExpr("*", "row_number() over (partition by me order by alike desc, other) place").where(f"place <= {k}"), "proposals")
+def _compare(batches):
+    """Rows of two blocks x and y of members (id, component, sketch, set): links between different components of
+    members of x and members of y, as many as it takes to join what is linked."""
+    for batch in batches:
+        found_a, found_b = [], []
+        for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+            (ia, ca, ka, sa), (ib, cb, kb, sb) = _members(x), _members(y)
+            size = np.array([len(v) for v in sb], np.int64)
+            joined: dict[int, int] = {}
+
+            def top(c: int, joined: dict[int, int] = joined) -> int:
+                while c in joined:
+                    c = joined[c]
+                return c
+
+            for i in range(len(ia)):
+                n = len(sa[i])
+                near = np.flatnonzero((cb != ca[i]) & (100 * np.minimum(size, n) >= THRESHOLD_PERCENT * np.maximum(size, n)))
+                alike = (kb[near] == ka[i]).mean(axis=1)
+                near = near[np.argsort(-alike, kind="stable")[: int((alike >= SKETCH_FLOOR).sum())]]
+                for at in range(0, len(near), 64):
+                    some = [j for j in near[at : at + 64].tolist() if top(int(cb[j])) != top(int(ca[i]))]
+                    if not some:
+                        continue
+                    flat = np.concatenate([sb[j] for j in some])
+                    place = np.minimum(np.searchsorted(sa[i], flat), n - 1)
+                    common = np.add.reduceat(sa[i][place] == flat, np.cumsum([0, *(size[j] for j in some[:-1])]), dtype=np.int64)
+                    for j, inter in zip(some, common.tolist(), strict=True):
+                        p, q = top(int(cb[j])), top(int(ca[i]))
+                        if p != q and 100 * inter >= THRESHOLD_PERCENT * (n + int(size[j]) - inter):
+                            joined[max(p, q)] = min(p, q)
+                            found_a.append(int(ia[i]))
+                            found_b.append(int(ib[j]))
+        yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
+
+
+def _members(block: pa.Scalar):
+    """Ids, components, sketches and sets of a block."""
+    v = block.values
+    sets, offsets = v.field("s").flatten().to_numpy(), v.field("s").offsets.to_numpy()
+    offsets = offsets - offsets[0]
+    look = np.frombuffer(b"".join(v.field("sketch").to_pylist()), np.uint8).reshape(len(v), HASHES)
+    return v.field("id").to_numpy(), v.field("component").to_numpy(), look, [np.sort(sets[p:q].view(np.uint64)) for p, q in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
+def _rest(members: DataFrame, looks: DataFrame, labels: DataFrame, documents: DataFrame) -> DataFrame:
+    """Links between classes of one group that are in different components."""
+    spark = members.sparkSession
+    groups = components(members.selectExpr("pivot a", "id b")).selectExpr("node id", "component grp")
+    named = groups.join(labels, F.col("id") == F.col("node"), "left").select("id", "grp", F.coalesce("component", "id").alias("component"))
+    counted = named.groupBy("grp", "component").agg(F.count("*").alias("n")).groupBy("grp").agg(F.sum("n").alias("n"), F.count("*").alias("parts"))
+    mixed = counted.where("parts > 1").select("grp", (F.col("n") > GROUP).alias("large"))
+    open_ = stage(named.join(mixed, "grp").select("id", "grp", "large", "component"), "open")
+    if open_.isEmpty():
+        return spark.createDataFrame([], "a bigint, b bigint")
+    # the key of a group: its own number, or each bucket's if it is large
+    keyed = open_.where("not large").select(F.struct(F.lit(0).alias("kind"), F.col("grp").alias("of")).alias("key"), "id", "component")
+    large = open_.where("large").join(members.select("bucket", "id"), "id").select(F.struct(F.lit(1).alias("kind"), F.col("bucket").alias("of")).alias("key"), "id", "component")
+    keyed = stage(keyed.union(large), "keyed")
+    sizes = keyed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"))
+    sizes = stage(sizes.selectExpr("key", "main", f"int(ceil(n / double({BLOCK}))) blocks", f"int(ceil((n - most) / double({BLOCK}))) outer").where("outer > 0"), "sizes")
+    sets = _sets(keyed.select("id"), documents)
+    full = keyed.join(sizes, "key").join(looks.select("id", "sketch"), "id").join(sets, F.col("id") == F.col("doc_id"))
+    full = stage(full.select("key", "main", "blocks", "outer", F.struct("id", "component", "sketch", "s").alias("m")), "full", codec="lz4")
+    place = F.xxhash64("m.id")
+    every = full.groupBy("key", F.pmod(place, "blocks").alias("j")).agg(F.first("outer").alias("outer"), F.collect_list("m").alias("y"))
+    outside = full.where("m.component <> main").groupBy("key", F.pmod(place, "outer").cast("int").alias("i")).agg(F.collect_list("m").alias("x"))
+    pairs = every.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("outer") - 1))).join(outside, ["key", "i"]).select("x", "y")
+    return stage(pairs.mapInArrow(_compare, "a bigint, b bigint"), "rest")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -246,19 +282,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     copies = known.where("set_hash is not null").join(classes, "set_hash").where("doc_id <> id").selectExpr("id a", "doc_id b")
     shared = copies.join(classes.selectExpr("id b"), "b", "left_semi").select("a", "b")
     links = stage(links.union(shared), "links")
-    labels, k = components(links), 1
-    while True:
-        proposed = _proposals(members, looks, labels, k)
-        fresh = stage(proposed.selectExpr("least(me, other) a", "greatest(me, other) b").distinct().join(tried.selectExpr("least(a, b) a", "greatest(a, b) b"), ["a", "b"], "left_anti"), "fresh")
-        if not fresh.isEmpty():
-            tried = stage(tried.union(fresh), "tried")
-            more = _confirm(fresh, documents)
-            if not more.isEmpty():
-                links = stage(links.union(more), "links")
-                labels = components(links)
-        elif proposed.where(f"place >= {k}").isEmpty():
-            break
-        k *= 8
+    labels = components(links)
+    more = _rest(members, looks, labels, documents)
+    if not more.isEmpty():
+        labels = components(links.union(more))
     top = classes.join(labels, F.col("id") == F.col("node"), "left").select("set_hash", F.coalesce("component", "id").alias("component_id"))
     top = stage(top, "tops")
     out = known.select("doc_id", "n_shingles", "set_hash").join(top, "set_hash", "left")

@@ -7,8 +7,11 @@ from importlib import import_module
 #: query name -> module of this package that holds query() and, where SQL can say it, ORACLE_SQL
 MODULES = {
     "op1_url_filter": "url_filter",
+    "op2_fingerprints": "fingerprints",
     "op3_warc": "warc",
     "op4_suffix_dedup": "suffix_dedup",
+    "op5_nearest_neighbours": "nearest_neighbours",
+    "op6_language_id": "language_id",
     "op7_piece_tokens": "piece_tokens",
     "op8_quality_classifier": "quality_classifier",
     "op9_source_mixing": "source_mixing",

@@ -31,8 +31,11 @@ from pyspark.sql import functions as F
 from loomspan.llm.anchors import SPAN, stretches, window_hashes
 from loomspan.llm.common import bound_batches, read_documents, release, stage, text_bytes
 
-#: Bytes of text in a batch; a longer document is a batch of its own.
-BATCH = 4 << 20
+#: Bytes of text in a batch; a longer document is a batch of its own. Every batch meets every shard in one row,
+#: so on a large corpus, where shards are many, batches should be larger too.
+BATCH = 2 << 20
+#: A batch is stored as so many rows, and is a file of its own: rows stay small, and files are not split.
+ROWS = 4
 _NO_ID = np.iinfo(np.int64).max
 _SENT = "shard int, batch bigint, n bigint, gram binary, whole binary, doc binary"
 _TOLD = "batch bigint, step int, shard int, flags binary"
@@ -59,11 +62,22 @@ _TOP = slice(3, 8)
 class Batch:
     """The documents of one batch row."""
 
-    def __init__(self, ids: bytes, lengths: bytes, text: bytes) -> None:
-        self.ids = np.frombuffer(ids, np.int64)
-        self.offsets = np.append(0, np.cumsum(np.frombuffer(lengths, np.int64)))
-        size = int(self.offsets[-1])
-        self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(text, max_output_size=max(size, 1)), np.uint8)[:size]
+    def __init__(self, rows: list[dict]) -> None:
+        rows = sorted(rows, key=lambda r: r["row"])
+        lengths = [np.frombuffer(r["lengths"], np.int64) for r in rows]
+        self.ids = np.concatenate([np.frombuffer(r["ids"], np.int64) for r in rows])
+        self.offsets = np.append(0, np.cumsum(np.concatenate(lengths)))
+        texts = [zstandard.ZstdDecompressor().decompress(r["text"], max_output_size=max(int(n.sum()), 1)) for r, n in zip(rows, lengths, strict=True)]
+        self.data = np.frombuffer(b"".join(texts), np.uint8)
+        self.key, self.rest = rows[0]["batch"], [r["rest"] for r in rows]
+
+    def carried(self) -> pa.Table:
+        """The columns that came along."""
+        tables = []
+        for rest in self.rest:
+            with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(rest)) as stream:
+                tables.append(stream.read_all())
+        return pa.concat_tables(tables)
 
     def suffixes(self):
         """Stretches in suffix order, the index of each stretch's entry, and where each entry starts."""
@@ -138,7 +152,12 @@ class Family:
             many = np.flatnonzero(np.repeat(size > 1, size))
             joined = _joined(g[many], w[many])
             order = np.argsort(joined)
-            self.scan.append((g[start], w[start], w[start + size - 1], np.minimum.reduceat(d, start), np.maximum.reduceat(d, start), size, joined[order], d[many][order]))
+            several = size > 1
+            place = np.where(several, np.cumsum(several) - 1, -1).astype(np.int32)
+            ends = start[several] + size[several] - 1
+            low, high = (f.reduceat(d, start)[several] for f in (np.minimum, np.maximum))
+            self.scan.append((g[start], w[start], d[start], place, w[ends], low, high, joined[order], d[many][order]))
+        self.levels = []
 
     def flags(self, gram: np.ndarray, whole: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """_SETTLED: a smaller document has the entry. _OPEN: it is the entry's first document, and other
@@ -147,16 +166,17 @@ class Family:
         least = np.full(n, _NO_ID)
         wmin, wmax = np.full(n, np.iinfo(np.uint64).max, np.uint64), np.zeros(n, np.uint64)
         dmin, dmax = np.full(n, _NO_ID), np.full(n, np.iinfo(np.int64).min)
-        for g, w0, w1, d0, d1, size, joined, docs in self.scan:
+        for g, w0, d0, place, w1, low, high, joined, docs in self.scan:
             at = np.minimum(np.searchsorted(g, gram), len(g) - 1)
             hit = np.flatnonzero(g[at] == gram)
             at = at[hit]
-            wmin[hit], wmax[hit] = np.minimum(wmin[hit], w0[at]), np.maximum(wmax[hit], w1[at])
-            dmin[hit], dmax[hit] = np.minimum(dmin[hit], d0[at]), np.maximum(dmax[hit], d1[at])
-            one = (size[at] == 1) & (w0[at] == whole[hit])
+            wmin[hit], wmax[hit] = np.minimum(wmin[hit], w0[at]), np.maximum(wmax[hit], w0[at])
+            dmin[hit], dmax[hit] = np.minimum(dmin[hit], d0[at]), np.maximum(dmax[hit], d0[at])
+            one = (place[at] < 0) & (w0[at] == whole[hit])
             least[hit[one]] = np.minimum(least[hit[one]], d0[at[one]])
-            many = hit[size[at] > 1]
+            many, at = hit[place[at] >= 0], place[at[place[at] >= 0]]
             if len(many):
+                wmax[many], dmin[many], dmax[many] = np.maximum(wmax[many], w1[at]), np.minimum(dmin[many], low[at]), np.maximum(dmax[many], high[at])
                 key = _joined(gram[many], whole[many])
                 at = np.minimum(np.searchsorted(joined, key), len(joined) - 1)
                 ok = joined[at] == key
@@ -175,18 +195,21 @@ def _batched(keep: list[str]):
         task = TaskContext.get().partitionId()
         seq, held, size = 0, [], 0
 
-        def row():
+        def rows():
             nonlocal seq, held, size
             table = pa.Table.from_batches(held)
-            text, offsets = text_bytes(table.column("text").combine_chunks() if table.num_rows else pa.array([], pa.string()))
-            ids = table.column("doc_id").cast(pa.int64()).fill_null(_NO_ID).to_numpy()
-            sink = pa.BufferOutputStream()
-            rest = table.select(keep)
-            with pa.ipc.new_stream(sink, rest.schema) as writer:
-                writer.write_table(rest)
-            out = pa.RecordBatch.from_pylist([{"batch": task << 24 | seq, "ids": ids.tobytes(), "lengths": np.diff(offsets).tobytes(), "text": zstandard.ZstdCompressor(level=3).compress(text.tobytes()), "rest": zstandard.ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes())}], schema=_BATCH_ARROW)
+            ends = np.cumsum(np.diff(text_bytes(table.column("text").combine_chunks())[1]))
+            cuts = [0, *(int(np.searchsorted(ends, ends[-1] * k / ROWS, "right")) for k in range(1, ROWS)), len(table)]
+            for k in range(ROWS):
+                part = table.slice(cuts[k], cuts[k + 1] - cuts[k]).combine_chunks()
+                text, offsets = text_bytes(part.column("text").combine_chunks() if len(part) else pa.array([], pa.string()))
+                ids = part.column("doc_id").cast(pa.int64()).fill_null(_NO_ID).to_numpy()
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.select(keep).schema) as writer:
+                    writer.write_table(part.select(keep))
+                shrink = zstandard.ZstdCompressor(level=3).compress
+                yield pa.RecordBatch.from_pylist([{"batch": task << 24 | seq, "row": k, "ids": ids.tobytes(), "lengths": np.diff(offsets).tobytes(), "text": shrink(text.tobytes()), "rest": shrink(sink.getvalue().to_pybytes())}], schema=_BATCH_ARROW)
             seq, held, size = seq + 1, [], 0
-            return out
 
         for batch in batches:
             lengths = np.diff(text_bytes(batch.column("text"))[1])
@@ -199,25 +222,31 @@ def _batched(keep: list[str]):
                     size += int(ends[n - 1]) if n <= len(ends) else int(ends[-1])
                     at += n
                 if at < batch.num_rows:
-                    yield row()
+                    yield from rows()
         if held:
-            yield row()
+            yield from rows()
 
     return run
 
 
-_BATCH_ARROW = pa.schema([("batch", pa.int64()), ("ids", pa.binary()), ("lengths", pa.binary()), ("text", pa.binary()), ("rest", pa.binary())])
-_BATCH = "batch bigint, ids binary, lengths binary, text binary, rest binary"
+_BATCH_ARROW = pa.schema([("batch", pa.int64()), ("row", pa.int32()), ("ids", pa.binary()), ("lengths", pa.binary()), ("text", pa.binary()), ("rest", pa.binary())])
+_BATCH = "batch bigint, row int, ids binary, lengths binary, text binary, rest binary"
 _SENT_ARROW = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), ("n", pa.int64()), ("gram", pa.binary()), ("whole", pa.binary()), ("doc", pa.binary())])
 
 
 def _suffix_rows(shards: int):
     def run(batches):
+        held: list[dict] = []
         for chunk in batches:
             for r in chunk.to_pylist():
-                gram, whole, doc, _, _, fresh = Batch(r["ids"], r["lengths"], r["text"]).suffixes()
-                yield pa.RecordBatch.from_pylist(list(_send(r["batch"], gram[fresh], whole[fresh], doc[fresh], shards)), schema=_SENT_ARROW)
-                release()
+                held.append(r)
+                if len(held) == ROWS:
+                    batch, held = Batch(held), []
+                    gram, whole, doc, _, _, fresh = batch.suffixes()
+                    yield pa.RecordBatch.from_pylist(list(_send(batch.key, gram[fresh], whole[fresh], doc[fresh], shards)), schema=_SENT_ARROW)
+                    release()
+        if held:
+            raise ValueError("a batch was split between tasks")
 
     return run
 
@@ -229,19 +258,22 @@ def _matched(step: int):
         rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["batch"])
         if not rows:
             return
-        family, parts = Family(), []
-        for r in rows:
+
+        def entries(r: dict):
             n = r["n"]
-            gram, doc = np.cumsum(_unpack(r["gram"], n), dtype=np.uint64), _unpack(r["doc"], n).view(np.int64)
             whole = np.zeros(n, np.uint64) if r["whole"] is None else _unpack(r["whole"], n, _TOP)
-            family.add(gram, whole, doc)
-            parts.append((r["batch"], r["shard"], gram, whole, doc))
+            return np.cumsum(_unpack(r["gram"], n), dtype=np.uint64), whole, _unpack(r["doc"], n).view(np.int64)
+
+        family = Family()
+        for r in rows:
+            family.add(*entries(r))
         family.close()
-        del rows
         release()
-        for batch, shard, *entry in parts:
-            flags = zstandard.ZstdCompressor(level=3).compress(family.flags(*entry).tobytes())
-            yield pa.RecordBatch.from_pydict({"batch": pa.array([batch]), "step": pa.array([step], pa.int32()), "shard": pa.array([shard], pa.int32()), "flags": pa.array([flags], pa.binary())})
+        for r in rows:
+            flags = zstandard.ZstdCompressor(level=3).compress(family.flags(*entries(r)).tobytes())
+            yield pa.RecordBatch.from_pydict({"batch": pa.array([r["batch"]]), "step": pa.array([step], pa.int32()), "shard": pa.array([r["shard"]], pa.int32()), "flags": pa.array([flags], pa.binary())})
+        del family, rows
+        release()
 
     return run
 
@@ -253,15 +285,13 @@ def _flags(told: list[dict], step: int, n: int) -> np.ndarray:
 
 def _window_rows(shards: int):
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        for r in left.to_pylist():
-            batch = Batch(r["ids"], r["lengths"], r["text"])
-            _, _, doc, first, last, fresh = batch.suffixes()
-            entries = np.flatnonzero(fresh)
-            flags = _flags(right.to_pylist(), 1, len(entries))
-            _, owner, order, hashes, new = batch.windows(entries[flags == _OPEN], first, last, doc)
-            out += _send(r["batch"], hashes[new], None, owner[order][new], shards)
-            release()
+        batch = Batch(left.to_pylist())
+        _, _, doc, first, last, fresh = batch.suffixes()
+        entries = np.flatnonzero(fresh)
+        flags = _flags(right.to_pylist(), 1, len(entries))
+        _, owner, order, hashes, new = batch.windows(entries[flags == _OPEN], first, last, doc)
+        out = list(_send(batch.key, hashes[new], None, owner[order][new], shards))
+        release()
         return pa.Table.from_pylist(out, schema=_SENT_ARROW)
 
     return run
@@ -269,49 +299,44 @@ def _window_rows(shards: int):
 
 def _cut(schema: pa.Schema):
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        told, tables = right.to_pylist(), []
-        for r in left.to_pylist():
-            batch = Batch(r["ids"], r["lengths"], r["text"])
-            _, _, doc, first, last, fresh = batch.suffixes()
-            n = len(batch.data)
-            marks = np.zeros(n + 1, np.int32)
-            if len(fresh):
-                entries = np.flatnonzero(fresh)
-                flags = _flags(told, 1, len(entries))
-                mine = np.cumsum(fresh) - 1
-                settled = (flags[mine] == _SETTLED) | (doc > doc[entries][mine])
-                np.add.at(marks, first[settled], 1)
-                np.add.at(marks, last[settled] + SPAN, -1)
-                # windows of open entries, for every stretch that is the entry's in the entry's document
-                open_ = np.flatnonzero((flags[mine] == _OPEN) & ~settled)
-                if len(open_):
-                    starts, owner, order, _, new = batch.windows(open_, first, last, doc)
-                    heads = np.flatnonzero(new)
-                    said = _flags(told, 2, len(heads))
-                    of = np.cumsum(new) - 1
-                    gone = (said[of] == _SETTLED) | (owner[order] > owner[order][heads][of])
-                    np.add.at(marks, starts[order][gone], 1)
-                    np.add.at(marks, starts[order][gone] + SPAN, -1)
-            removed = np.cumsum(marks[:-1]) > 0
-            edge = removed.copy()
-            edge[1:] &= ~removed[:-1]
-            docs = batch.offsets[:-1][np.diff(batch.offsets) > 0]
-            edge[docs] = removed[docs]
-            ends = np.zeros(n, bool)
-            ends[:-1] = removed[:-1] & (~removed[1:] | edge[1:])
-            ends[-1:] = removed[-1:]
-            a, b = np.flatnonzero(edge), np.flatnonzero(ends) + 1
-            total = np.append(0, np.cumsum(removed))[batch.offsets]
-            runs = np.searchsorted(a, batch.offsets)
-            spans = pa.ListArray.from_arrays(pa.array(runs, pa.int32()), pa.StructArray.from_arrays([pa.array(a - np.repeat(batch.offsets[:-1], np.diff(runs))), pa.array(b - np.repeat(batch.offsets[:-1], np.diff(runs)))], names=["start", "end"]))
-            kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(batch.ids), [None, pa.py_buffer((batch.offsets - total).astype(np.int64)), pa.py_buffer(batch.data[~removed])]).cast(pa.binary())
-            with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(r["rest"])) as stream:
-                rest = stream.read_all()
-            columns = [*rest.columns, pa.array(np.diff(batch.offsets)), pa.array(np.diff(total)), pa.array(np.diff(runs).astype(np.int64)), spans, kept]
-            table = pa.table([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-            tables += [table.slice(i, 256) for i in range(0, len(table), 256)]
-            release()
-        return pa.concat_tables(tables) if tables else schema.empty_table()
+        told, batch = right.to_pylist(), Batch(left.to_pylist())
+        _, _, doc, first, last, fresh = batch.suffixes()
+        n = len(batch.data)
+        marks = np.zeros(n + 1, np.int32)
+        if len(fresh):
+            entries = np.flatnonzero(fresh)
+            flags = _flags(told, 1, len(entries))
+            mine = np.cumsum(fresh) - 1
+            settled = (flags[mine] == _SETTLED) | (doc > doc[entries][mine])
+            np.add.at(marks, first[settled], 1)
+            np.add.at(marks, last[settled] + SPAN, -1)
+            # windows of open entries, for every stretch that is the entry's in the entry's document
+            open_ = np.flatnonzero((flags[mine] == _OPEN) & ~settled)
+            if len(open_):
+                starts, owner, order, _, new = batch.windows(open_, first, last, doc)
+                heads = np.flatnonzero(new)
+                said = _flags(told, 2, len(heads))
+                of = np.cumsum(new) - 1
+                gone = (said[of] == _SETTLED) | (owner[order] > owner[order][heads][of])
+                np.add.at(marks, starts[order][gone], 1)
+                np.add.at(marks, starts[order][gone] + SPAN, -1)
+        removed = np.cumsum(marks[:-1]) > 0
+        edge = removed.copy()
+        edge[1:] &= ~removed[:-1]
+        docs = batch.offsets[:-1][np.diff(batch.offsets) > 0]
+        edge[docs] = removed[docs]
+        ends = np.zeros(n, bool)
+        ends[:-1] = removed[:-1] & (~removed[1:] | edge[1:])
+        ends[-1:] = removed[-1:]
+        a, b = np.flatnonzero(edge), np.flatnonzero(ends) + 1
+        total = np.append(0, np.cumsum(removed))[batch.offsets]
+        runs = np.searchsorted(a, batch.offsets)
+        spans = pa.ListArray.from_arrays(pa.array(runs, pa.int32()), pa.StructArray.from_arrays([pa.array(a - np.repeat(batch.offsets[:-1], np.diff(runs))), pa.array(b - np.repeat(batch.offsets[:-1], np.diff(runs)))], names=["start", "end"]))
+        kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(batch.ids), [None, pa.py_buffer((batch.offsets - total).astype(np.int64)), pa.py_buffer(batch.data[~removed])]).cast(pa.binary())
+        columns = [*batch.carried().columns, pa.array(np.diff(batch.offsets)), pa.array(np.diff(total)), pa.array(np.diff(runs).astype(np.int64)), spans, kept]
+        table = pa.table([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        release()
+        return pa.concat_tables([table.slice(i, 256) for i in range(0, max(len(table), 1), 256)])
 
     return run
 
@@ -322,7 +347,7 @@ def remove_repeats(documents: DataFrame, keep: list[str]) -> DataFrame:
     bound_batches(spark)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     given = documents.select(*dict.fromkeys(["doc_id", "text", *keep]))
-    batches = stage(given.mapInArrow(_batched(keep), _BATCH), "batches", codec="uncompressed", file_rows=4)
+    batches = stage(given.mapInArrow(_batched(keep), _BATCH), "batches", codec="uncompressed", file_rows=ROWS)
     sent = batches.mapInArrow(_suffix_rows(shards), _SENT)
     told = stage(sent.repartitionById(shards, F.col("shard")).mapInArrow(_matched(1), _TOLD), "flags")
     blobs = batches.groupBy("batch")
