@@ -146,13 +146,20 @@ def _marked(ids: DataFrame) -> DataFrame:
     return ids.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
 
 
+def maybe_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """rows with __maybe: false only where the column is not in ids (column id). Nothing is shuffled."""
+    h = F.pmod(F.xxhash64(column), F.lit(FILTER_WORDS * 64))
+    hit = F.call_function("shiftright", F.col("__bits"), h.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    words = _marked(ids).withColumnsRenamed({"word": "__word", "bits": "__bits"})
+    tried = rows.join(F.broadcast(words), F.shiftright(h, 6) == F.col("__word"), "left")
+    return tried.withColumn("__maybe", F.coalesce(hit, F.lit(False))).drop("__word", "__bits")
+
+
 def _sets(ids: DataFrame, documents: DataFrame) -> DataFrame:
     """doc_id and its set s (array<bigint>) of the documents in column id."""
     ids = stage(ids.distinct(), "ids")
-    h = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_WORDS * 64))
-    texts = documents.select("doc_id", "text", F.shiftright(h, 6).alias("word"), h.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
     # The filter keeps most other texts from being shuffled; the join that follows is exact.
-    texts = texts.join(F.broadcast(_marked(ids)), "word").where(F.call_function("shiftright", F.col("bits"), F.col("bit")).bitwiseAND(F.lit(1)) == 1)
+    texts = maybe_in(documents.select("doc_id", "text"), "doc_id", ids).where("__maybe")
     texts = texts.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
 
     def shingled(batches):

@@ -136,8 +136,8 @@ def fit(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_
     return train(sample["text"].tolist(), quality, weights / max(weights.mean(), 1e-9) if len(weights) else weights)
 
 
-def score(documents: DataFrame, weights: np.ndarray, keep: list[str]) -> DataFrame:
-    """The columns named in keep (doc_id and text among them or not) plus score."""
+def score(documents: DataFrame, weights: np.ndarray, keep: list[str], into: str = "quality_score") -> DataFrame:
+    """The columns named in keep (doc_id and text among them or not) and the score, named as into says."""
     spark = documents.sparkSession
     bound_batches(spark)
     held = spark.sparkContext.broadcast(weights)
@@ -149,9 +149,9 @@ def score(documents: DataFrame, weights: np.ndarray, keep: list[str]) -> DataFra
         make = Featurizer()
         for batch in batches:
             got = score_texts(batch.column("text").to_pylist(), held.value, make)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(got)], names=[*keep, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(got)], names=[*keep, into])
 
-    return given.mapInArrow(scored, f"{schema}, quality_score double")
+    return given.mapInArrow(scored, f"{schema}, `{into}` double")
 
 
 def learned_fold(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -39,15 +39,17 @@ def _place(doc_id: Column, epoch: Column) -> Column:
     return F.conv(F.substring(F.md5(name), 1, 12), 16, 10).cast("long")
 
 
-def exponent(shares: DataFrame, n_sources: int, target_entropy: float, max_epochs: float, scale: float) -> int:
-    """k of alpha = k / STEPS. shares: column share. scale: budget over all tokens."""
+def exponent(shares: DataFrame, target_entropy: float, max_epochs: float, whole: bool) -> int:
+    """k of alpha = k / STEPS. shares: column share. Epochs are counted for a budget of as many tokens as there
+    are or, if whole, of as many as read the largest source once."""
 
     def measure(ks: list[int]) -> dict[int, tuple[float, float]]:
         a, s = F.col("k") / STEPS, F.col("share")
         power = F.pow(s, a)
         grid = shares.select("share", F.explode(F.array(*map(F.lit, ks))).alias("k"))
-        got = grid.groupBy("k").agg(F.sum(power).alias("z"), F.sum(power * F.log(s)).alias("y"), F.max(power / s).alias("m"))
-        return {r["k"]: (r["h"], r["e"]) for r in got.select("k", (F.log("z") - F.col("k") / STEPS * F.col("y") / F.col("z")).alias("h"), (F.col("m") / F.col("z") * scale).alias("e")).collect()}
+        got = grid.groupBy("k").agg(F.sum(power).alias("z"), F.sum(power * F.log(s)).alias("y"), F.max(power / s).alias("m"), F.min(power / s).alias("l"))
+        once = F.col("l") if whole else F.col("z")
+        return {r["k"]: (r["h"], r["e"]) for r in got.select("k", (F.log("z") - F.col("k") / STEPS * F.col("y") / F.col("z")).alias("h"), (F.col("m") / once).alias("e")).collect()}
 
     def search(low: int, high: int, below) -> int:
         """The last k in [low, high) of which below holds, low if none; below(high) counts as false."""
@@ -69,18 +71,19 @@ def budgets(sized: DataFrame, entropy_share: float, max_epochs: float, whole: bo
     """Of each source: epochs (whole ones), blocks, and where the partial epoch ends (cut_block, cut_place);
     and whether the table is small. sized: doc_id, source, n_tokens."""
     totals = stage(sized.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")), "sources")
-    facts = totals.where("tokens > 0").agg(F.count("*").alias("n"), F.sum("tokens").alias("all"), F.max("tokens").alias("most")).first()
+    facts = totals.where("tokens > 0").agg(F.sum("tokens").alias("all"), F.max("tokens").alias("most")).first()
     small = totals.count() <= BROADCAST_SOURCES
     every = facts["all"] or 0
     shares = totals.where("tokens > 0").select((F.col("tokens") / F.lit(every)).alias("share")) if every else None
     goal = entropy_share * shares.select(F.log(F.count("*"))).first()[0] if every else 0.0
-    k = exponent(shares, facts["n"], goal, max_epochs, 1.0) if every else STEPS
+    k = exponent(shares, goal, max_epochs, whole) if every else STEPS
     alpha = k / STEPS
     power = F.pow(F.col("tokens") / F.lit(every), F.lit(alpha)) if every else F.lit(0.0)
     z = shares.agg(F.sum(F.pow("share", F.lit(alpha)))).first()[0] if every else 1.0
     # With `whole` the budget is raised until every source, the largest too, is read at least once.
     total = every / (((facts["most"] / every) ** alpha / z) / (facts["most"] / every)) if whole and every else float(every)
-    budget = F.floor(power / F.lit(z) * F.lit(float(total)) + (F.lit(1e-6) if whole else F.lit(0.0)))
+    budget = F.floor(power / F.lit(z) * F.lit(float(total)))
+    budget = F.greatest(budget, F.col("tokens")) if whole else budget
     plan = totals.withColumn("budget", F.when(F.col("tokens") > 0, budget).otherwise(0).cast("long"))
     plan = plan.withColumn("epochs", F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(1))
     plan = plan.withColumn("rest", F.when(F.col("tokens") > 0, F.col("budget") - F.col("epochs") * F.col("tokens")).otherwise(0))

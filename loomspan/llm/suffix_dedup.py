@@ -297,7 +297,7 @@ def _window_rows(shards: int):
     return run
 
 
-def _cut(schema: pa.Schema):
+def _cut(schema: pa.Schema, as_text: bool):
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         told, batch = right.to_pylist(), Batch(left.to_pylist())
         _, _, doc, first, last, fresh = batch.suffixes()
@@ -333,6 +333,8 @@ def _cut(schema: pa.Schema):
         runs = np.searchsorted(a, batch.offsets)
         spans = pa.ListArray.from_arrays(pa.array(runs, pa.int32()), pa.StructArray.from_arrays([pa.array(a - np.repeat(batch.offsets[:-1], np.diff(runs))), pa.array(b - np.repeat(batch.offsets[:-1], np.diff(runs)))], names=["start", "end"]))
         kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(batch.ids), [None, pa.py_buffer((batch.offsets - total).astype(np.int64)), pa.py_buffer(batch.data[~removed])]).cast(pa.binary())
+        if as_text:
+            kept = pa.array([k.decode("utf-8", "ignore") for k in kept.to_pylist()], pa.string())
         columns = [*batch.carried().columns, pa.array(np.diff(batch.offsets)), pa.array(np.diff(total)), pa.array(np.diff(runs).astype(np.int64)), spans, kept]
         table = pa.table([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
         release()
@@ -341,8 +343,9 @@ def _cut(schema: pa.Schema):
     return run
 
 
-def remove_repeats(documents: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns in keep, and n_bytes, n_removed, n_spans, spans (start and end byte in the text), kept_bytes."""
+def remove_repeats(documents: DataFrame, keep: list[str], as_text: bool = False) -> DataFrame:
+    """The columns in keep, and n_bytes, n_removed, n_spans, spans (start and end byte in the text), kept_bytes;
+    as_text: kept_text in place of the bytes, without characters of which a part was removed."""
     spark = documents.sparkSession
     bound_batches(spark)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -355,12 +358,12 @@ def remove_repeats(documents: DataFrame, keep: list[str]) -> DataFrame:
     more = stage(sent.repartitionById(shards, F.col("shard")).mapInArrow(_matched(2), _TOLD), "flags")
     names = [f for f in given.schema if f.name in keep]
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in sorted(names, key=lambda f: keep.index(f.name)))
-    schema += "n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start: bigint, `end`: bigint>>, kept_bytes binary"
+    schema += "n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start: bigint, `end`: bigint>>, " + ("kept_text string" if as_text else "kept_bytes binary")
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
-    return blobs.cogroup(told.union(more).groupBy("batch")).applyInArrow(_cut(arrow), schema)
+    return blobs.cogroup(told.union(more).groupBy("batch")).applyInArrow(_cut(arrow, as_text), schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
