@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomspan.plans.registry import Query
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/nation.parquet")
+FAMILIES = ["relational", "aggregation"]
+FLAGSHIP = "j1_left_join"
+
+
+def _registries():
+    return [import_module(f"loomspan.plans.{name}").Q for name in FAMILIES]
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return {name: fn for q in _registries() for name, fn in q.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for q in _registries() for name, sql in q.sql.items()}
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return queries()[FLAGSHIP](spark, sf_dir)
