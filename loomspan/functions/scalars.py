@@ -25,7 +25,8 @@ def clip(x: Column, low: float | None = None, high: float | None = None) -> Colu
 
 
 def half_even(x: Column, digits: int = 0) -> Column:
-    return F.bround(x, digits)
+    """Rounded in binary, halves to even; never a negative zero."""
+    return F.rint(x * 10.0**digits) / 10.0**digits + 0.0
 
 
 def coded(x: Column, width: int) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 from pyspark.sql.window import WindowSpec
 
+from loomspan.functions.scalars import half_even
+
 
 def ordered(by: Sequence[str], order: Sequence[str]) -> WindowSpec:
     return W.partitionBy(*by).orderBy(*order)
@@ -54,7 +56,7 @@ def lag_bank(df: DataFrame, x: str, lags: Sequence[int], w: WindowSpec, prefix:
 
 def change(x: Column, before: Column, digits: int, low: float, high: float) -> Column:
     """Change in percent, rounded half to even and clipped."""
-    raw = F.bround(100 * F.try_divide(x - before, before), digits)
+    raw = half_even(100 * F.try_divide(x - before, before), digits)
     return F.when(raw < low, low).when(raw > high, high).otherwise(raw)
 
 

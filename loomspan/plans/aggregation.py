@@ -112,7 +112,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     sold = daily(t).groupBy("day").agg(F.sum("qty").alias("q"))
     both = o.join(sold, "day")
     last = both.agg(F.max("day")).first()[0]
-    recent = both.where(F.col("day") > F.date_sub(F.lit(last), 7)).agg(F.bround(100 * fx.ratio(F.sum("n").cast("double"), F.sum("q")), 0).alias("r"))
+    recent = both.where(F.col("day") > F.date_sub(F.lit(last), 7)).agg(fx.half_even(100 * fx.ratio(F.sum("n").cast("double"), F.sum("q"))).alias("r"))
     return recent.select(fx.clip(F.col("r"), 0.0, 100.0).alias("ratio"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomspan.plans.registry import Query
 
-FAMILIES = ["relational", "aggregation"]
+FAMILIES = ["relational", "aggregation", "windowing"]
 FLAGSHIP = "j1_left_join"
 
 
