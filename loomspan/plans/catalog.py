@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomspan.plans.registry import Query
 
-FAMILIES = ["relational", "aggregation", "windowing"]
-FLAGSHIP = "j1_left_join"
+FAMILIES = ["relational", "aggregation", "windowing", "demand"]
+FLAGSHIP = "d_flow_price_change"
 
 
 def _registries():
