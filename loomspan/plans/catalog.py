@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomspan.plans.registry import Query
 
-FAMILIES = ["relational", "aggregation", "windowing", "demand"]
+FAMILIES = ["relational", "aggregation", "windowing", "demand", "market", "texts", "streams"]
 FLAGSHIP = "d_flow_price_change"
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
+from pyspark.sql.window import WindowSpec
 
 from loomspan.functions import calendar
 from loomspan.functions import scalars as fx
@@ -14,11 +15,25 @@ from loomspan.plans.fixtures import BARS, DAILY, ITEM_SALES, REVENUE, Tables, ba
 from loomspan.plans.registry import Registry
 
 Q = Registry()
-GRP = win.ordered(["grp"], ["day"])
-A = F.col("amount")
 OVER = "(PARTITION BY grp ORDER BY day)"
 
 
+def by_group() -> WindowSpec:
+    return win.ordered(["grp"], ["day"])
+
+
+def by_bar() -> WindowSpec:
+    return win.ordered(["asset"], ["bar"])
+
+
+def amount() -> Column:
+    return F.col("amount")
+
+
+def close() -> Column:
+    return F.col("close")
+
+
 def frame(a: int, b: int) -> str:
     side = lambda k: f"{abs(k)} {'PRECEDING' if k < 0 else 'FOLLOWING'}" if k else "CURRENT ROW"
     return f"(PARTITION BY grp ORDER BY day ROWS BETWEEN {side(a)} AND {side(b)})"
@@ -26,71 +41,71 @@ def frame(a: int, b: int) -> str:
 
 @Q("w1_centred_median", f"WITH {DAILY} SELECT grp, day, median(amount) OVER {frame(-10, 9)} AS m20, median(amount) OVER {frame(-3, 3)} AS m7 FROM daily")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return daily(Tables(s, d)).select("grp", "day", win.quantile(A, 0.5, win.centred(GRP, 20)).alias("m20"), win.quantile(A, 0.5, win.centred(GRP, 7)).alias("m7"))
+    return daily(Tables(s, d)).select("grp", "day", win.quantile(amount(), 0.5, win.centred(by_group(), 20)).alias("m20"), win.quantile(amount(), 0.5, win.centred(by_group(), 7)).alias("m7"))
 
 
 GAPS = f"{DAILY}, gaps AS (SELECT grp, day, CASE WHEN dayofmonth(day) % 4 > 0 THEN amount END AS amount FROM daily)"
 
 
 def gaps(t: Tables) -> DataFrame:
-    return daily(t).select("grp", "day", F.when(F.dayofmonth("day") % 4 > 0, A).alias("amount"))
+    return daily(t).select("grp", "day", F.when(F.dayofmonth("day") % 4 > 0, amount()).alias("amount"))
 
 
 @Q("w2_fill_both_ways", f"""WITH {GAPS} SELECT grp, day, coalesce(first_value(amount IGNORE NULLS) OVER (PARTITION BY grp ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
   last_value(amount IGNORE NULLS) OVER (PARTITION BY grp ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS amount FROM gaps""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return gaps(Tables(s, d)).select("grp", "day", win.fill(A, GRP).alias("amount"))
+    return gaps(Tables(s, d)).select("grp", "day", win.fill(amount(), by_group()).alias("amount"))
 
 
 @Q("w3_price_change_lags", f"WITH {DAILY} SELECT grp, day, " + ", ".join(f"CASE WHEN lag(amount, {k}) OVER {OVER} IS NOT NULL THEN greatest(-100, least(300, round_even(100 * ((amount - lag(amount, {k}) OVER {OVER}) / nullif(lag(amount, {k}) OVER {OVER}, 0)) * 100.0::DOUBLE, 0) / 100.0::DOUBLE + 0.0)) END AS change_{k}" for k in (7, 30, 365)) + " FROM daily")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return daily(Tables(s, d)).select("grp", "day", *(win.change(A, F.lag(A, k).over(GRP), 2, -100.0, 300.0).alias(f"change_{k}") for k in (7, 30, 365)))
+    return daily(Tables(s, d)).select("grp", "day", *(win.change(amount(), F.lag(amount(), k).over(by_group()), 2, -100.0, 300.0).alias(f"change_{k}") for k in (7, 30, 365)))
 
 
 @Q("w4_lag_bank", f"""WITH {DAILY} SELECT grp, day, {', '.join(f'lag(amount, {k}) OVER {OVER} AS lag_{k}' for k in range(2, 9))}, round(avg(amount) OVER {frame(-8, -2)}, 6) AS lag_mean, round(stddev_samp(amount) OVER {frame(-8, -2)}, 4) AS lag_std,
   CASE WHEN lag(amount, 7) OVER {OVER} IS NOT NULL THEN greatest(-1, least(1, lag(amount, 2) OVER {OVER} / nullif(lag(amount, 7) OVER {OVER}, 0) - 1)) END AS trend FROM daily""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    rows = win.lag_bank(daily(Tables(s, d)).select("grp", "day", "amount"), "amount", range(2, 9), GRP, "lag_")
-    f = win.trailing(GRP, 7, 2)
-    trend = fx.ratio(F.lag(A, 2).over(GRP), F.lag(A, 7).over(GRP)) - 1
-    return rows.withColumns({"lag_mean": F.round(F.avg(A).over(f), 6), "lag_std": F.round(F.stddev_samp(A).over(f), 4), "trend": fx.clip(trend, -1.0, 1.0)}).drop("amount")
+    rows = win.lag_bank(daily(Tables(s, d)).select("grp", "day", "amount"), "amount", range(2, 9), by_group(), "lag_")
+    f = win.trailing(by_group(), 7, 2)
+    trend = fx.ratio(F.lag(amount(), 2).over(by_group()), F.lag(amount(), 7).over(by_group())) - 1
+    return rows.withColumns({"lag_mean": F.round(F.avg(amount()).over(f), 6), "lag_std": F.round(F.stddev_samp(amount()).over(f), 4), "trend": fx.clip(trend, -1.0, 1.0)}).drop("amount")
 
 
 @Q("w5_rolling_mean_full", f"WITH {GAPS}, x AS (SELECT grp, day, lag(amount, 2) OVER {OVER} AS v FROM gaps) SELECT grp, day, CASE WHEN count(v) OVER {frame(-2, 0)} = 3 THEN round(avg(v) OVER {frame(-2, 0)}, 6) END AS m FROM x")
 def _(s: SparkSession, d: str) -> DataFrame:
-    rows, f = gaps(Tables(s, d)).select("grp", "day", F.lag(A, 2).over(GRP).alias("v")), win.trailing(GRP, 3)
+    rows, f = gaps(Tables(s, d)).select("grp", "day", F.lag(amount(), 2).over(by_group()).alias("v")), win.trailing(by_group(), 3)
     return rows.select("grp", "day", win.complete(F.round(F.avg("v").over(f), 6), F.col("v"), f, 3).alias("m"))
 
 
 @Q("w6_rolling_p75_ratio", f"""WITH {DAILY}, x AS (SELECT grp, day, CASE WHEN count(amount) OVER {frame(-27, 0)} = 28 THEN quantile_cont(amount, 0.75) OVER {frame(-27, 0)} END AS p FROM daily),
   r AS (SELECT grp, day, p / lag(p, 7) OVER {OVER} AS r7, p / lag(p, 30) OVER {OVER} AS r30 FROM x) SELECT grp, day, lag(r7, 2) OVER {OVER} AS r7, lag(r30, 2) OVER {OVER} AS r30 FROM r""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    f = win.trailing(GRP, 28)
-    rows = daily(Tables(s, d)).select("grp", "day", win.complete(win.quantile(A, 0.75, f), A, f, 28).alias("p"))
-    rows = rows.select("grp", "day", *(fx.ratio(F.col("p"), F.lag("p", k).over(GRP)).alias(f"r{k}") for k in (7, 30)))
-    return rows.select("grp", "day", *(F.lag(c, 2).over(GRP).alias(c) for c in ("r7", "r30")))
+    f = win.trailing(by_group(), 28)
+    rows = daily(Tables(s, d)).select("grp", "day", win.complete(win.quantile(amount(), 0.75, f), amount(), f, 28).alias("p"))
+    rows = rows.select("grp", "day", *(fx.ratio(F.col("p"), F.lag("p", k).over(by_group())).alias(f"r{k}") for k in (7, 30)))
+    return rows.select("grp", "day", *(F.lag(c, 2).over(by_group()).alias(c) for c in ("r7", "r30")))
 
 
 @Q("w7_trailing_mean", f"WITH {DAILY} SELECT grp, day, round(avg(amount) OVER {frame(-13, 0)}, 6) AS m FROM daily")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return daily(Tables(s, d)).select("grp", "day", F.round(F.avg(A).over(win.trailing(GRP, 14)), 6).alias("m"))
+    return daily(Tables(s, d)).select("grp", "day", F.round(F.avg(amount()).over(win.trailing(by_group(), 14)), 6).alias("m"))
 
 
 @Q("w8_trailing_median_nonzero", f"WITH {DAILY}, x AS (SELECT grp, day, CASE WHEN amount > 20000 THEN amount ELSE 0 END AS v FROM daily) SELECT grp, day, median(v) OVER {frame(-27, 0)} AS med, round(avg(nullif(v, 0)) OVER {frame(-27, 0)}, 6) AS mean FROM x")
 def _(s: SparkSession, d: str) -> DataFrame:
-    rows, f = daily(Tables(s, d)).select("grp", "day", F.when(A > 20000, A).otherwise(0.0).alias("v")), win.trailing(GRP, 28)
+    rows, f = daily(Tables(s, d)).select("grp", "day", F.when(amount() > 20000, amount()).otherwise(0.0).alias("v")), win.trailing(by_group(), 28)
     return rows.select("grp", "day", win.quantile(F.col("v"), 0.5, f).alias("med"), F.round(F.avg(F.nullif(F.col("v"), F.lit(0.0))).over(f), 6).alias("mean"))
 
 
 @Q("w9_smoothed_lags", f"WITH {DAILY}, x AS (SELECT *, median(amount) OVER {frame(-3, 3)} AS v FROM daily) SELECT grp, day, lag(v, 4) OVER {OVER} AS v4, round(avg(v) OVER {frame(-10, -4)}, 6) AS m7, round(avg(v) OVER {frame(-31, -4)}, 6) AS m28 FROM x")
 def _(s: SparkSession, d: str) -> DataFrame:
-    rows = daily(Tables(s, d)).withColumn("v", win.quantile(A, 0.5, win.centred(GRP, 7)))
-    return rows.select("grp", "day", F.lag("v", 4).over(GRP).alias("v4"), *(F.round(F.avg("v").over(win.trailing(GRP, n, 4)), 6).alias(f"m{n}") for n in (7, 28)))
+    rows = daily(Tables(s, d)).withColumn("v", win.quantile(amount(), 0.5, win.centred(by_group(), 7)))
+    return rows.select("grp", "day", F.lag("v", 4).over(by_group()).alias("v4"), *(F.round(F.avg("v").over(win.trailing(by_group(), n, 4)), 6).alias(f"m{n}") for n in (7, 28)))
 
 
 @Q("w10_price_lag", f"WITH {DAILY} SELECT grp, day, lag(amount / qty, 3) OVER {OVER} AS price FROM daily")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return daily(Tables(s, d)).select("grp", "day", F.lag(fx.ratio(A, F.col("qty")), 3).over(GRP).alias("price"))
+    return daily(Tables(s, d)).select("grp", "day", F.lag(fx.ratio(amount(), F.col("qty")), 3).over(by_group()).alias("price"))
 
 
 @Q("w11_recency_weight", f"WITH {DAILY} SELECT grp, day, round(1 / (1 + exp((datediff('day', day, max(day) OVER (PARTITION BY grp)) - 365) / 60.0)), 8) AS weight FROM daily")
@@ -132,34 +147,32 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @Q("w14_impute_cascade", f"WITH {GAPS} SELECT grp, day, round(coalesce(amount, avg(amount) OVER {frame(-2, 2)}, lag(amount, 7) OVER {OVER}), 6) AS amount FROM gaps")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return gaps(Tables(s, d)).select("grp", "day", F.round(F.coalesce(A, F.avg(A).over(win.centred(GRP, 5)), F.lag(A, 7).over(GRP)), 6).alias("amount"))
+    return gaps(Tables(s, d)).select("grp", "day", F.round(F.coalesce(amount(), F.avg(amount()).over(win.centred(by_group(), 5)), F.lag(amount(), 7).over(by_group())), 6).alias("amount"))
 
 
 @Q("w15_redate", f"WITH {DAILY} SELECT grp, day, lag(qty) OVER {OVER} AS stock, lead(qty) OVER {OVER} AS ordered FROM daily")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return daily(Tables(s, d)).select("grp", "day", F.lag("qty").over(GRP).alias("stock"), F.lead("qty").over(GRP).alias("ordered"))
+    return daily(Tables(s, d)).select("grp", "day", F.lag("qty").over(by_group()).alias("stock"), F.lead("qty").over(by_group()).alias("ordered"))
 
 
 @Q("w16_history_columns", f"WITH {DAILY} SELECT grp, day, {', '.join(f'lag(amount, {k}) OVER {OVER} AS j_{k}' for k in [*range(2, 11), 28])} FROM daily")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return win.lag_bank(daily(Tables(s, d)).select("grp", "day", "amount"), "amount", [*range(2, 11), 28], GRP, "j_").drop("amount")
+    return win.lag_bank(daily(Tables(s, d)).select("grp", "day", "amount"), "amount", [*range(2, 11), 28], by_group(), "j_").drop("amount")
 
 
 @Q("w17_carry_weights", f"""WITH {DAILY}, h AS (SELECT grp, day, amount FROM daily UNION ALL SELECT grp, CAST(unnest(generate_series(last + 1, last + 5, INTERVAL 1 DAY)) AS DATE), NULL FROM (SELECT grp, max(day) AS last FROM daily GROUP BY 1))
   SELECT grp, day, last_value(amount IGNORE NULLS) OVER (PARTITION BY grp ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS amount FROM h""")
 def _(s: SparkSession, d: str) -> DataFrame:
     rows = panel.horizon(daily(Tables(s, d)).select("grp", "day", "amount"), ["grp"], "day", 5)
-    return rows.select("grp", "day", win.fill_forward(A, GRP).alias("amount"))
+    return rows.select("grp", "day", win.fill_forward(amount(), by_group()).alias("amount"))
 
 
-BAR = win.ordered(["asset"], ["bar"])
-C = F.col("close")
 BW = "(PARTITION BY asset ORDER BY bar)"
 
 
 @Q("w18_bar_lags", f"WITH {BARS}, x AS (SELECT asset, bar, {', '.join(f'lead(close, {k}) OVER {BW} AS next_{k}' for k in range(1, 9))}, {', '.join(f'lag(close, {k}) OVER {BW} AS past_{k}' for k in range(1, 25))} FROM bars) SELECT * FROM x WHERE past_24 IS NOT NULL")
 def _(s: SparkSession, d: str) -> DataFrame:
-    rows = bars(Tables(s, d)).select("asset", "bar", *(F.lead("close", k).over(BAR).alias(f"next_{k}") for k in range(1, 9)), *(F.lag("close", k).over(BAR).alias(f"past_{k}") for k in range(1, 25)))
+    rows = bars(Tables(s, d)).select("asset", "bar", *(F.lead("close", k).over(by_bar()).alias(f"next_{k}") for k in range(1, 9)), *(F.lag("close", k).over(by_bar()).alias(f"past_{k}") for k in range(1, 25)))
     return rows.where("past_24 is not null")
 
 
@@ -171,14 +184,14 @@ def bframe(a: int, b: int) -> str:
 def _(s: SparkSession, d: str) -> DataFrame:
     out = {}
     for m in (5, 9, 13, 17):
-        f = win.trailing(BAR, m, 1)
-        out |= {f"mean_{m}": F.round(F.avg(C).over(f), 6), f"std_{m}": F.round(F.stddev_samp(C).over(f), 4), f"delta_{m}": F.round(fx.ratio(C, F.avg(C).over(f)) - 1, 6)}
+        f = win.trailing(by_bar(), m, 1)
+        out |= {f"mean_{m}": F.round(F.avg(close()).over(f), 6), f"std_{m}": F.round(F.stddev_samp(close()).over(f), 4), f"delta_{m}": F.round(fx.ratio(close(), F.avg(close()).over(f)) - 1, 6)}
     return bars(Tables(s, d)).select("asset", "bar", *(v.alias(k) for k, v in out.items()))
 
 
 @Q("w20_forward_returns", f"WITH {BARS} SELECT asset, bar, {', '.join(f'lead(close, {k}) OVER {BW} / close - 1 AS r_{k}' for k in range(1, 9))} FROM bars")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return bars(Tables(s, d)).select("asset", "bar", *((fx.ratio(F.lead(C, k).over(BAR), C) - 1).alias(f"r_{k}") for k in range(1, 9)))
+    return bars(Tables(s, d)).select("asset", "bar", *((fx.ratio(F.lead(close(), k).over(by_bar()), close()) - 1).alias(f"r_{k}") for k in range(1, 9)))
 
 
 def mirrored(df: DataFrame, by: list[str], order: str, x: str, n: int) -> DataFrame:
@@ -194,14 +207,14 @@ def mirrored(df: DataFrame, by: list[str], order: str, x: str, n: int) -> DataFr
 def _(s: SparkSession, d: str) -> DataFrame:
     rows = mirrored(bars(Tables(s, d)).select("asset", "bar", "close"), ["asset"], "bar", "close", 10)
     f = W.partitionBy("asset").orderBy("place").rowsBetween(-9, 0)
-    z = F.round(fx.ratio(C - F.avg(C).over(f), F.stddev_pop(C).over(f)), 6)
+    z = F.round(fx.ratio(close() - F.avg(close()).over(f), F.stddev_pop(close()).over(f)), 6)
     return rows.withColumn("z", z).where("bar is not null").select("asset", "bar", "z")
 
 
 @Q("w22_distance_to_others", f"""WITH {BARS}, x AS (SELECT asset, bar, avg(close) OVER {bframe(-6, 0)} AS m FROM bars), t AS (SELECT bar, sum(m) AS s, count(*) AS n FROM x GROUP BY 1)
   SELECT asset, bar, round(m - (s - m) / nullif(n - 1, 0), 7) AS gap FROM x JOIN t USING (bar)""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    rows = bars(Tables(s, d)).select("asset", "bar", F.avg(C).over(win.trailing(BAR, 7)).alias("m"))
+    rows = bars(Tables(s, d)).select("asset", "bar", F.avg(close()).over(win.trailing(by_bar(), 7)).alias("m"))
     total = rows.groupBy("bar").agg(F.sum("m").alias("s"), F.count("*").alias("n"))
     others = fx.ratio(F.col("s") - F.col("m"), F.col("n") - 1)
     return rows.join(total, "bar").select("asset", "bar", F.round(F.col("m") - others, 7).alias("gap"))
@@ -214,16 +227,16 @@ BLOCKS = (6, 11, 21, 41)
 def _(s: SparkSession, d: str) -> DataFrame:
     cols = []
     for k in BLOCKS:
-        f = win.trailing(GRP, 5, k)
-        cols += [F.round(F.stddev_samp(A).over(f), 4).alias(f"std_{k}"), F.round(F.avg(A).over(f), 6).alias(f"mean_{k}")]
-    year = F.round(fx.ratio(A, F.avg(A).over(GRP.rowsBetween(-384, -355))) - 1, 6)
+        f = win.trailing(by_group(), 5, k)
+        cols += [F.round(F.stddev_samp(amount()).over(f), 4).alias(f"std_{k}"), F.round(F.avg(amount()).over(f), 6).alias(f"mean_{k}")]
+    year = F.round(fx.ratio(amount(), F.avg(amount()).over(by_group().rowsBetween(-384, -355))) - 1, 6)
     return daily(Tables(s, d)).select("grp", "day", *cols, year.alias("year_trend"))
 
 
 @Q("w24_rolling_correlation", f"WITH {DAILY} SELECT grp, day, CASE WHEN count(*) OVER {frame(-89, 0)} = 90 THEN round(corr(amount, qty) OVER {frame(-89, 0)}, 5) END AS r FROM daily")
 def _(s: SparkSession, d: str) -> DataFrame:
-    f = win.trailing(GRP, 90)
-    return daily(Tables(s, d)).select("grp", "day", win.complete(F.round(F.corr("amount", "qty").over(f), 5), A, f, 90).alias("r"))
+    f = win.trailing(by_group(), 90)
+    return daily(Tables(s, d)).select("grp", "day", win.complete(F.round(F.corr("amount", "qty").over(f), 5), amount(), f, 90).alias("r"))
 
 
 @Q("w25_top_five", f"WITH {ITEM_SALES}, r AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY amount DESC, item)::INTEGER AS place FROM item_sales) SELECT site, item, amount, place FROM r WHERE place <= 5")
@@ -239,9 +252,9 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @Q("w27_index_to_100", f"WITH {DAILY}, r AS (SELECT *, row_number() OVER {OVER} AS n FROM daily) SELECT grp, day, round(100 * amount / first_value(amount) OVER {OVER}, 6) AS index1, round(100 * amount / avg(CASE WHEN n <= 5 THEN amount END) OVER (PARTITION BY grp), 6) AS index5 FROM r")
 def _(s: SparkSession, d: str) -> DataFrame:
-    rows = daily(Tables(s, d)).withColumn("n", F.row_number().over(GRP))
-    base = F.avg(F.when(F.col("n") <= 5, A)).over(W.partitionBy("grp"))
-    return rows.select("grp", "day", F.round(100 * fx.ratio(A, F.first(A).over(GRP)), 6).alias("index1"), F.round(100 * fx.ratio(A, base), 6).alias("index5"))
+    rows = daily(Tables(s, d)).withColumn("n", F.row_number().over(by_group()))
+    base = F.avg(F.when(F.col("n") <= 5, amount())).over(W.partitionBy("grp"))
+    return rows.select("grp", "day", F.round(100 * fx.ratio(amount(), F.first(amount()).over(by_group())), 6).alias("index1"), F.round(100 * fx.ratio(amount(), base), 6).alias("index5"))
 
 
 @Q("w28_year_range", f"WITH {DAILY} SELECT grp, arg_max(amount, day) / arg_min(amount, day) - 1 AS change, max(amount) AS high, min(amount) AS low FROM daily WHERE day > DATE '2000-12-31' - 364 AND day <= DATE '2000-12-31' GROUP BY 1")
