@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes in one Arrow batch handed to Python, so that long texts do not pile up.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _LIBC = ctypes.CDLL("libc.so.6") if sys.platform == "linux" else None
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -83,6 +83,18 @@ def release() -> None:
         _LIBC.malloc_trim(0)
 
 
+def trimmed(run):
+    """A function over Arrow batches that gives memory back after each batch and at its end."""
+
+    def wrapped(batches):
+        for batch in run(batches):
+            yield batch
+            release()
+        release()
+
+    return wrapped
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All UTF-8 bytes of a string column and the n + 1 offsets into them; nulls are empty."""
     column = column.cast(pa.large_string()).fill_null("")

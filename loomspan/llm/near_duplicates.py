@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm.common import bound_batches, drop_path, read_documents, stage
+from loomspan.llm.common import bound_batches, drop_path, read_documents, stage, trimmed
 from loomspan.llm.components import components
 
 WORDS, THRESHOLD_PERCENT = 5, 75
@@ -41,7 +41,7 @@ SKETCH_FLOOR = 0.55
 FILTER_WORDS = 1 << 20
 _SPLIT = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-_CACHE_MAX = 400_000
+_CACHE_MAX = 200_000
 _U32 = np.uint32
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xD6E8FEB86659FD93)
@@ -137,7 +137,7 @@ def _sketched(batches):
 def sketch(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_hash, bands and sketch of every row; the last three null for empty sets."""
     bound_batches(documents.sparkSession)
-    return documents.select("doc_id", "text").mapInArrow(_sketched, _SKETCH_SCHEMA)
+    return documents.select("doc_id", "text").mapInArrow(trimmed(_sketched), _SKETCH_SCHEMA)
 
 
 def _marked(ids: DataFrame) -> DataFrame:
@@ -168,7 +168,7 @@ def _sets(ids: DataFrame, documents: DataFrame) -> DataFrame:
             rows = [make(t).view(np.int64) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "s"])
 
-    return stage(texts.mapInArrow(shingled, "doc_id bigint, s array<bigint>"), "sets", codec="lz4")
+    return stage(texts.mapInArrow(trimmed(shingled), "doc_id bigint, s array<bigint>"), "sets", codec="lz4")
 
 
 def _confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
@@ -265,7 +265,7 @@ def _rest(members: DataFrame, looks: DataFrame, labels: DataFrame, documents: Da
     every = full.groupBy("key", F.pmod(place, "blocks").alias("j")).agg(F.first("outer").alias("outer"), F.collect_list("m").alias("y"))
     outside = full.where("m.component <> main").groupBy("key", F.pmod(place, "outer").cast("int").alias("i")).agg(F.collect_list("m").alias("x"))
     pairs = every.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("outer") - 1))).join(outside, ["key", "i"]).select("x", "y")
-    return stage(pairs.mapInArrow(_compare, "a bigint, b bigint"), "rest")
+    return stage(pairs.mapInArrow(trimmed(_compare), "a bigint, b bigint"), "rest")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:

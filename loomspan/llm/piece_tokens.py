@@ -25,10 +25,10 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from loomspan.llm.common import bound_batches, read_documents
+from loomspan.llm.common import bound_batches, read_documents, trimmed
 
 MARK = "▁"
-_CACHE_MAX, _CACHED_LEN = 500_000, 48
+_CACHE_MAX, _CACHED_LEN = 250_000, 48
 
 
 def default_model() -> str:
@@ -268,7 +268,7 @@ def encode(documents: DataFrame, keep: list[str], model_file: str | None = None)
             rows = [tok.encode(x) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(rows, pa.list_(pa.int32())), pa.array([tok.decode(r) for r in rows], pa.string())], names=[*keep, "ids", "decoded"])
 
-    return given.mapInArrow(run, f"{schema}, ids array<int>, decoded string")
+    return given.mapInArrow(trimmed(run), f"{schema}, ids array<int>, decoded string")
 
 
 def digest(documents: DataFrame, keep: list[str], model_file: str | None = None) -> DataFrame:
@@ -293,7 +293,7 @@ def digest(documents: DataFrame, keep: list[str], model_file: str | None = None)
                 gc.enable()
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return given.mapInArrow(run, f"{schema}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return given.mapInArrow(trimmed(run), f"{schema}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

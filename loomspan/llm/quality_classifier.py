@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm.common import bound_batches, crc_mod, read_documents
+from loomspan.llm.common import bound_batches, crc_mod, read_documents, trimmed
 
 BITS = 18
 #: Bound of the training sample: labelled rows of each class, about (they are chosen by hash).
@@ -28,7 +28,7 @@ ROWS_PER_CLASS = 4000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 1e-6, 1e-6
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
-_CACHE_MAX = 400_000
+_CACHE_MAX = 150_000
 _MASK = np.uint64((1 << BITS) - 1)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -151,7 +151,7 @@ def score(documents: DataFrame, weights: np.ndarray, keep: list[str], into: str
             got = score_texts(batch.column("text").to_pylist(), held.value, make)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(got)], names=[*keep, into])
 
-    return given.mapInArrow(scored, f"{schema}, `{into}` double")
+    return given.mapInArrow(trimmed(scored), f"{schema}, `{into}` double")
 
 
 def learned_fold(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -82,7 +82,8 @@ def budgets(sized: DataFrame, entropy_share: float, max_epochs: float, whole: bo
     z = shares.agg(F.sum(F.pow("share", F.lit(alpha)))).first()[0] if every else 1.0
     # With `whole` the budget is raised until every source, the largest too, is read at least once.
     total = every / (((facts["most"] / every) ** alpha / z) / (facts["most"] / every)) if whole and every else float(every)
-    budget = F.floor(power / F.lit(z) * F.lit(float(total)))
+    # the last digits of sums depend on their order and must not decide about a whole token
+    budget = F.floor(power / F.lit(z) * F.lit(float(total)) * F.lit(1 + 1e-11))
     budget = F.greatest(budget, F.col("tokens")) if whole else budget
     plan = totals.withColumn("budget", F.when(F.col("tokens") > 0, budget).otherwise(0).cast("long"))
     plan = plan.withColumn("epochs", F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(1))
@@ -137,7 +138,7 @@ brep(step, lo, hi) AS (SELECT 0, -1, 1048576 UNION ALL
     FROM (SELECT step, lo, hi, (lo + hi) // 2 AS mid FROM brep WHERE step < 21 AND hi - lo > 1) x) y),
 alpha AS (SELECT greatest((SELECT max(lo) FROM bent), (SELECT max(lo) FROM brep) + 1) / 1048576.0 AS a),
 plan AS (SELECT source, tokens, docs, CASE WHEN tokens > 0 THEN floor(pow(tokens / (SELECT sum(tokens) FROM totals)::DOUBLE, a) / (SELECT sum(pow(s, a)) FROM shares)
-    * (SELECT sum(tokens) FROM totals)::DOUBLE)::BIGINT ELSE 0 END AS budget FROM totals, alpha),
+    * (SELECT sum(tokens) FROM totals)::DOUBLE * (1 + 1e-11::DOUBLE))::BIGINT ELSE 0 END AS budget FROM totals, alpha),
 ends AS (SELECT source, CASE WHEN tokens > 0 THEN budget // tokens ELSE 1 END AS epochs, CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest, (docs + 1023) // 1024 AS blocks FROM plan),
 placed AS (SELECT doc_id, d.source, n_tokens, epochs, rest, epoch, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || epoch), 1, 12))::BIGINT AS place, blocks
   FROM sized d JOIN ends e ON d.source IS NOT DISTINCT FROM e.source, unnest(generate_series(0, epochs)) AS g(epoch)),

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.llm.anchors import SPAN, stretches, window_hashes
-from loomspan.llm.common import bound_batches, read_documents, release, stage, text_bytes
+from loomspan.llm.common import bound_batches, read_documents, release, stage, text_bytes, trimmed
 
 #: Bytes of text in a batch; a longer document is a batch of its own. Every batch meets every shard in one row,
 #: so on a large corpus, where shards are many, batches should be larger too.
@@ -350,7 +350,7 @@ def remove_repeats(documents: DataFrame, keep: list[str], as_text: bool = False)
     bound_batches(spark)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     given = documents.select(*dict.fromkeys(["doc_id", "text", *keep]))
-    batches = stage(given.mapInArrow(_batched(keep), _BATCH), "batches", codec="uncompressed", file_rows=ROWS)
+    batches = stage(given.mapInArrow(trimmed(_batched(keep)), _BATCH), "batches", codec="uncompressed", file_rows=ROWS)
     sent = batches.mapInArrow(_suffix_rows(shards), _SENT)
     told = stage(sent.repartitionById(shards, F.col("shard")).mapInArrow(_matched(1), _TOLD), "flags")
     blobs = batches.groupBy("batch")
