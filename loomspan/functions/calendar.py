@@ -41,3 +41,10 @@ def holiday_offset(days: DataFrame, day: str, span: int = 3) -> DataFrame:
     near = holidays(years).select(F.explode(F.sequence(F.lit(-span), F.lit(span))).alias("k"), "holiday_date")
     near = near.groupBy(F.date_add("holiday_date", F.col("k")).alias("__day")).agg(F.max("k").alias("__k"))
     return days.join(near, F.col(day) == F.col("__day"), "left").withColumn("holiday_offset", F.coalesce("__k", F.lit(NONE))).drop("__day", "__k")
+
+
+def school_holidays(days: DataFrame, day: str, seasons: DataFrame) -> DataFrame:
+    """Adds school_holiday, 1 within a season (first_day..last_day) and 0 outside. The calendar of seasons is a
+    table of a few rows a year that the caller supplies."""
+    each = seasons.select(F.explode(F.sequence("first_day", "last_day")).alias("__day")).distinct()
+    return days.join(each, F.col(day) == F.col("__day"), "left").withColumn("school_holiday", F.col("__day").isNotNull().cast("int")).drop("__day")

@@ -148,3 +148,21 @@ def panel_price_change(s: SparkSession, d: str) -> DataFrame:
     smooth = filled.select("grp", "day", win.quantile(F.col("price"), 0.5, win.centred(w, 7)).alias("smooth"))
     x = F.col("smooth")
     return smooth.select("grp", "day", "smooth", *(win.change(x, F.lag(x, k).over(w), 2, -100.0, 300.0).alias(f"change_{k}") for k in (7, 30)))
+
+
+FMT = f"""WITH {ITEM_SALES}, f AS (SELECT grp, site, round(sum(amount) / 100, 4) AS forecast FROM item_sales GROUP BY 1, 2), p AS (SELECT item, i.grp, i.site, forecast * amount / sum(amount) OVER (PARTITION BY i.grp, i.site) AS part, qty FROM item_sales i JOIN f ON i.grp = f.grp AND i.site = f.site)
+  SELECT lpad(CAST(item AS VARCHAR), 8, '0') AS "UB", site AS "SITE", round(part, 4) AS "TARGET", CASE WHEN contains(p_type, 'STEEL') THEN round(part, 4) ELSE round_even(round(part / p_size, 6), 0) + 0.0 END AS "UNITS", 'V1' AS "RUN" FROM p JOIN part ON p_partkey = item"""
+
+
+@Q("d_fmt_export", FMT)
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Group forecasts split to items, coded, in weights or units, under the names of the export."""
+    t = Tables(s, d)
+    rows = item_sales(t)
+    forecast = rows.groupBy("grp", "site").agg(F.round(F.sum("amount") / 100, 4).alias("forecast"))
+    parts = demand.split_forecast(forecast, rows.select("item", "grp", "site", "amount"), ["grp", "site"], "forecast", "amount")
+    items = t("part").select(F.col("p_partkey").alias("item"), "p_type", "p_size")
+    kind = fx.first_match(F.col("p_type"), [("STEEL", "BULK")], "PIECE")
+    units = F.when(kind == "PIECE", fx.half_even(F.round(F.col("part") / F.col("p_size"), 6))).otherwise(F.round("part", 4))
+    named = parts.join(items, "item").select(fx.coded(F.col("item"), 8).alias("item"), "site", F.round("part", 4).alias("target"), units.alias("units"))
+    return named.withColumnsRenamed({"item": "UB", "site": "SITE", "target": "TARGET", "units": "UNITS"}).withColumn("RUN", F.lit("V1"))

@@ -210,3 +210,29 @@ def _(s: SparkSession, d: str) -> DataFrame:
     centres = centroids(e, "label", "embedding").select(F.col("label").alias("centre"), "centroid")
     square = F.aggregate(F.zip_with("embedding", "centroid", lambda x, y: F.pow(x.cast("double") - y, 2)), F.lit(0.0), lambda a, x: a + x)
     return nearest(e.select("vec_id", "embedding"), centres, F.round(square, 6), ["vec_id"], 1).select("vec_id", "centre", "distance")
+
+
+@Q("m_cond_fixed_exit", f"""WITH RECURSIVE {BARS}, b AS (SELECT asset, bar, close, row_number() OVER (PARTITION BY asset ORDER BY bar) AS n FROM bars),
+  z AS (SELECT asset, 0::BIGINT AS n, NULL::TIMESTAMP AS bar, 1000.0::DOUBLE AS cash, 0.0::DOUBLE AS coins, NULL::DOUBLE AS paid FROM (SELECT DISTINCT asset FROM b) UNION ALL
+  SELECT asset, n, bar, CASE WHEN buys THEN 0 WHEN sells THEN coins * close ELSE cash END, CASE WHEN buys THEN cash / close WHEN sells THEN 0 ELSE coins END, CASE WHEN buys THEN close WHEN sells THEN NULL ELSE paid END
+  FROM (SELECT z.asset, b.n, b.bar, b.close, cash, coins, paid, coins = 0 AND b.close < 200 AS buys, coins > 0 AND abs(close / paid - 1) > 0.03 AS sells FROM z JOIN b ON b.asset = z.asset AND b.n = z.n + 1) x) SELECT asset, bar, round(cash, 6) AS cash, round(coins, 9) AS coins FROM z WHERE n > 0""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    rows = bars(Tables(s, d)).select("asset", "bar", "close")
+    done = rec.trades(rows, ["asset"], "bar", "close", lambda r, st: r["close"] < 200, lambda r, st: F.abs(r["close"] / st["paid"] - 1) > 0.03, 0.0, 1000.0)
+    return done.select("asset", "bar", F.round("cash", 6).alias("cash"), F.round("coins", 9).alias("coins"))
+
+
+@Q("m_pnl_realised", f"""WITH {TRADES}, m AS (SELECT b.asset, s.ts, (least(b.hi, s.hi) - greatest(b.lo, s.lo)) * (s.price - b.price) AS margin FROM i b JOIN i s ON b.asset = s.asset AND b.lo < s.hi AND s.lo < b.hi WHERE b.event_type = 'purchase' AND s.event_type = 'error')
+  SELECT CAST(ts AS DATE) AS day, round(sum(round(margin, 4)), 2) AS margin FROM m GROUP BY 1""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    t = Tables(s, d)("events").select(F.col("user_id").alias("asset"), "ts", "event_id", "event_type", F.round(1 + F.col("value"), 2).alias("qty"), F.col("value").alias("price"))
+    lots = rec.fifo(t.where("event_type = 'purchase'"), t.where("event_type = 'error'"), "asset", ["ts", "event_id"], "qty", "price")
+    when = t.select(F.col("event_id").alias("sell_id"), F.to_date("ts").alias("day"))
+    return lots.join(when, "sell_id").groupBy("day").agg(F.round(F.sum("margin"), 2).alias("margin"))
+
+
+@Q("j15_interval_overlap", f"WITH {TRADES} SELECT b.asset, count(*) AS n, round(sum(least(b.hi, s.hi) - greatest(b.lo, s.lo)), 3) AS qty FROM i b JOIN i s ON b.asset = s.asset AND b.lo < s.hi AND s.lo < b.hi WHERE b.event_type = 'purchase' AND s.event_type = 'error' GROUP BY 1")
+def _(s: SparkSession, d: str) -> DataFrame:
+    t = Tables(s, d)("events").select(F.col("user_id").alias("asset"), "ts", "event_id", "event_type", F.round(1 + F.col("value"), 2).alias("qty"), F.col("value").alias("price"))
+    lots = rec.fifo(t.where("event_type = 'purchase'"), t.where("event_type = 'error'"), "asset", ["ts", "event_id"], "qty", "price")
+    return lots.groupBy("asset").agg(F.count("*").alias("n"), F.round(F.sum("qty"), 3).alias("qty"))

@@ -188,3 +188,13 @@ def _(s: SparkSession, d: str) -> DataFrame:
     made = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("p_brand").alias("k"), F.to_date("l_shipdate").alias("trained")).agg(F.max("l_orderkey").alias("run"))
     wanted = t("part").select(F.col("p_brand").alias("k"), F.lit("2000-03-01").cast("date").alias("asof_day")).distinct()
     return pick_model(made, wanted, "k", "trained", "run", "asof_day", 14)
+
+
+@Q("ml4_item_backtest")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """A model for each group, trained before a day and scored after it."""
+    rows = daily(Tables(s, d))
+    cut = "2001-07-01"
+    made = models.seasonal(rows.where(F.col("day") < cut), ["grp"], "day", "amount", 60)
+    both = made.join(rows.select("grp", "day", "amount"), ["grp", "day"])
+    return both.groupBy("grp").agg(F.avg(F.abs(F.col("amount") - F.col("prediction")) / F.col("amount")).alias("mape"), F.count("*").alias("n"))

@@ -503,3 +503,10 @@ def _(s: SparkSession, d: str) -> DataFrame:
     models = t("orders").select(F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("trained"), F.col("o_orderkey").alias("run"))
     wanted = t("customer").select(F.col("c_custkey").alias("k"), F.lit("2000-01-15").cast("date").alias("asof_day"))
     return store.pick_model(models, wanted, "k", "trained", "run", "asof_day", 7)
+
+
+@Q("s7_school_holidays", "WITH o AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders) SELECT day, (day BETWEEN DATE '1996-07-06' AND DATE '1996-09-01' OR day BETWEEN DATE '1996-12-21' AND DATE '1997-01-05')::INTEGER AS school_holiday FROM o")
+def _(s: SparkSession, d: str) -> DataFrame:
+    seasons = s.sql("values (date'1996-07-06', date'1996-09-01'), (date'1996-12-21', date'1997-01-05') as t(first_day, last_day)")
+    days = Tables(s, d)("orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    return calendar.school_holidays(days, "day", seasons)
