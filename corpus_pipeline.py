@@ -15,6 +15,8 @@ from loomspan.llm.common import new_path, stage
 
 #: Most times that the mix reads a document.
 MAX_EPOCHS = 2.0
+#: Units that a worker of the last stage keeps at hand; stages before it have filled the executors' heaps.
+UNITS = 120_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +57,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for every reading of a document."""
-    return piece_tokens.digest(docs, ["doc_id"])
+    return piece_tokens.digest(docs, ["doc_id"], units=UNITS)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_copies), ("passages", passages), ("mixing", mixing), ("tokens", tokens)]

@@ -35,6 +35,8 @@ WORDS, THRESHOLD_PERCENT = 5, 75
 HASHES, BAND = 128, 4
 #: Classes in one block of a group, about, and in a group that is compared as a whole.
 BLOCK, GROUP = 256, 100_000
+#: Rows of a table of groups (a few numbers each) up to which it is broadcast.
+BROADCAST_GROUPS = 100_000
 #: Share of equal signature bytes below which a pair is not confirmed: five standard deviations under 0.75.
 SKETCH_FLOOR = 0.55
 #: 64-bit words of the filter that goes before the join of texts with candidates: 16 MB at most.
@@ -241,13 +243,18 @@ def _members(block: pa.Scalar):
     return v.field("id").to_numpy(), v.field("component").to_numpy(), look, [np.sort(sets[p:q].view(np.uint64)) for p, q in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
+def _hinted(table: DataFrame) -> DataFrame:
+    """A staged table, to be broadcast if it has BROADCAST_GROUPS rows or fewer."""
+    return F.broadcast(table) if table.count() <= BROADCAST_GROUPS else table
+
+
 def _rest(members: DataFrame, looks: DataFrame, labels: DataFrame, documents: DataFrame) -> DataFrame:
     """Links between classes of one group that are in different components."""
     spark = members.sparkSession
     groups = components(members.selectExpr("pivot a", "id b")).selectExpr("node id", "component grp")
     named = groups.join(labels, F.col("id") == F.col("node"), "left").select("id", "grp", F.coalesce("component", "id").alias("component"))
     counted = named.groupBy("grp", "component").agg(F.count("*").alias("n")).groupBy("grp").agg(F.sum("n").alias("n"), F.count("*").alias("parts"))
-    mixed = counted.where("parts > 1").select("grp", (F.col("n") > GROUP).alias("large"))
+    mixed = _hinted(stage(counted.where("parts > 1").select("grp", (F.col("n") > GROUP).alias("large")), "mixed"))
     open_ = stage(named.join(mixed, "grp").select("id", "grp", "large", "component"), "open")
     if open_.isEmpty():
         return spark.createDataFrame([], "a bigint, b bigint")
@@ -259,7 +266,7 @@ def _rest(members: DataFrame, looks: DataFrame, labels: DataFrame, documents: Da
     sizes = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"))
     sizes = stage(sizes.selectExpr("key", "main", f"int(ceil(n / double({BLOCK}))) blocks", f"int(ceil((n - most) / double({BLOCK}))) outer").where("outer > 0"), "sizes")
     sets = _sets(keyed.select("id"), documents)
-    full = keyed.join(sizes, "key").join(looks.select("id", "sketch"), "id").join(sets, F.col("id") == F.col("doc_id"))
+    full = keyed.join(_hinted(sizes), "key").join(looks.select("id", "sketch"), "id").join(sets, F.col("id") == F.col("doc_id"))
     full = stage(full.select("key", "main", "blocks", "outer", F.struct("id", "component", "sketch", "s").alias("m")), "full", codec="lz4")
     place = F.xxhash64("m.id")
     every = full.groupBy("key", F.pmod(place, "blocks").alias("j")).agg(F.first("outer").alias("outer"), F.collect_list("m").alias("y"))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loomspan.llm.common import bound_batches, read_documents, trimmed
 
 MARK = "▁"
-_CACHE_MAX, _CACHED_LEN = 250_000, 48
+_CACHE_MAX, _CACHED_LEN = 400_000, 48
 
 
 def default_model() -> str:
@@ -40,7 +40,7 @@ def default_model() -> str:
 class PieceTokenizer:
     """Encodes and decodes as the model file says. Build one in each Python worker."""
 
-    def __init__(self, model_file: str) -> None:
+    def __init__(self, model_file: str, cache: int | None = None) -> None:
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         if model.normalize("ﬁ  x") != f"{MARK}ﬁ {MARK}x":
             raise ValueError("only models that leave texts as they are and add a space in front can be used")
@@ -64,7 +64,7 @@ class PieceTokenizer:
         self.alone: dict[int, bool] = {}
         self.traces: dict[int, tuple[list[float], list[str], list[str]]] = {}
         self.names = [str(i) for i in range(len(self.pieces))]
-        self.known = _Units(self._learn)
+        self.known = _Units(self._learn, cache)
 
     def merged(self, text: str) -> list[str]:
         """Plain merging: the best pair first, the leftmost of equals."""
@@ -122,7 +122,7 @@ class PieceTokenizer:
                     i += 1
                 else:
                     j += 1
-        if len(self.pairs) > 2_000_000:
+        if len(self.pairs) > 500_000:
             self.pairs.clear()
         self.pairs[left * len(self.pieces) + right] = ok
         return ok
@@ -219,13 +219,13 @@ class _Units(dict):
     """Units already worked out. When full, what was used since the last time it was full stays within reach.
     Long units are not kept."""
 
-    def __init__(self, learn) -> None:
-        self.learn, self.older = learn, {}
+    def __init__(self, learn, most: int | None) -> None:
+        self.learn, self.older, self.most = learn, {}, most
 
     def __missing__(self, unit: str) -> tuple[str, int, str]:
         found = self.older.get(unit) or self.learn(unit)
         if len(unit) <= _CACHED_LEN:
-            if len(self) >= _CACHE_MAX:
+            if len(self) >= (self.most or _CACHE_MAX):
                 self.older = dict(self)
                 self.clear()
             self[unit] = found
@@ -250,9 +250,9 @@ def _utf8(data: bytes) -> str:
 
 
 @cache
-def tokenizer(model_file: str) -> PieceTokenizer:
+def tokenizer(model_file: str, units: int | None = None) -> PieceTokenizer:
     """One for each Python process, so that reused workers keep their caches."""
-    return PieceTokenizer(model_file)
+    return PieceTokenizer(model_file, units)
 
 
 def encode(documents: DataFrame, keep: list[str], model_file: str | None = None) -> DataFrame:
@@ -271,15 +271,16 @@ def encode(documents: DataFrame, keep: list[str], model_file: str | None = None)
     return given.mapInArrow(trimmed(run), f"{schema}, ids array<int>, decoded string")
 
 
-def digest(documents: DataFrame, keep: list[str], model_file: str | None = None) -> DataFrame:
-    """As encode, but only the number of ids and the SHA-256 of the ids and of the decoded text."""
+def digest(documents: DataFrame, keep: list[str], model_file: str | None = None, units: int | None = None) -> DataFrame:
+    """As encode, but only the number of ids and the SHA-256 of the ids and of the decoded text. units: how many
+    units a worker keeps at hand (twice), about 350 bytes each."""
     bound_batches(documents.sparkSession)
     given = documents.select(*dict.fromkeys([*keep, "text"]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema if f.name in keep)
     path = model_file or default_model()
 
     def run(batches):
-        tok, sha = tokenizer(path), hashlib.sha256
+        tok, sha = tokenizer(path, units), hashlib.sha256
         for batch in batches:
             n, ids, texts = [], [], []
             gc.disable()  # many small objects live on, and none of them in cycles

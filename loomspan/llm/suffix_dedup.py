@@ -36,6 +36,8 @@ from loomspan.llm.common import bound_batches, read_documents, release, stage, t
 BATCH = 2 << 20
 #: A batch is stored as so many rows, and is a file of its own: rows stay small, and files are not split.
 ROWS = 4
+#: Parts of a shard's range that are worked on one after the other, to hold a part of it in memory.
+RANGES = 4
 _NO_ID = np.iinfo(np.int64).max
 _SENT = "shard int, batch bigint, n bigint, gram binary, whole binary, doc binary"
 _TOLD = "batch bigint, step int, shard int, flags binary"
@@ -134,13 +136,14 @@ class Family:
 
     def add(self, gram: np.ndarray, whole: np.ndarray, doc: np.ndarray) -> None:
         new = gram, whole, doc
-        while self.levels and len(self.levels[-1][0]) < 2 * len(new[0]):
+        while self.levels and len(new[0]) and len(self.levels[-1][0]) < 2 * len(new[0]):
             g, w, d = (np.concatenate(x) for x in zip(self.levels.pop(), new, strict=True))
             order = _ordered(g, w, d, kind="stable")
             g, w, d = g[order], w[order], d[order]
             keep = np.append(True, (g[1:] != g[:-1]) | (w[1:] != w[:-1]))[: len(g)]
             new = g[keep], w[keep], d[keep]
-        self.levels.append(new)
+        if len(new[0]):
+            self.levels.append(new)
 
     def close(self) -> None:
         """Prepare the levels for scans: for each gram its range of entries and what they span, and a joined
@@ -259,20 +262,34 @@ def _matched(step: int):
         if not rows:
             return
 
-        def entries(r: dict):
+        def entries(r: dict, low: int, high: int | None):
+            """A row's entries with low <= gram < high, and where they stand in it."""
             n = r["n"]
-            whole = np.zeros(n, np.uint64) if r["whole"] is None else _unpack(r["whole"], n, _TOP)
-            return np.cumsum(_unpack(r["gram"], n), dtype=np.uint64), whole, _unpack(r["doc"], n).view(np.int64)
-
-        family = Family()
-        for r in rows:
-            family.add(*entries(r))
-        family.close()
-        release()
-        for r in rows:
-            flags = zstandard.ZstdCompressor(level=3).compress(family.flags(*entries(r)).tobytes())
-            yield pa.RecordBatch.from_pydict({"batch": pa.array([r["batch"]]), "step": pa.array([step], pa.int32()), "shard": pa.array([r["shard"]], pa.int32()), "flags": pa.array([flags], pa.binary())})
-        del family, rows
+            gram = np.cumsum(_unpack(r["gram"], n), dtype=np.uint64)
+            p = int(np.searchsorted(gram, np.uint64(low)))
+            q = n if high is None else int(np.searchsorted(gram, np.uint64(high)))
+            whole = np.zeros(q - p, np.uint64) if r["whole"] is None else _unpack(r["whole"], n, _TOP)[p:q].copy()
+            return p, (gram[p:q].copy(), whole, _unpack(r["doc"], n)[p:q].copy().view(np.int64))
+
+        lowest = min(int(_unpack(r["gram"], r["n"])[0]) for r in rows)
+        highest = max(int(_unpack(r["gram"], r["n"]).sum(dtype=np.uint64)) for r in rows)
+        cuts = [lowest + (highest - lowest) * k // RANGES for k in range(RANGES)]
+        flags = [np.zeros(r["n"], np.uint8) for r in rows]
+        for low, high in zip(cuts, [*cuts[1:], None], strict=True):
+            if high is not None and high <= low:
+                continue
+            family = Family()
+            for r in rows:
+                family.add(*entries(r, low, high)[1])
+            family.close()
+            for r, out in zip(rows, flags, strict=True):
+                at, mine = entries(r, low, high)
+                out[at : at + len(mine[0])] = family.flags(*mine)
+            del family
+            release()
+        for r, out in zip(rows, flags, strict=True):
+            yield pa.RecordBatch.from_pydict({"batch": pa.array([r["batch"]]), "step": pa.array([step], pa.int32()), "shard": pa.array([r["shard"]], pa.int32()), "flags": pa.array([zstandard.ZstdCompressor(level=3).compress(out.tobytes())], pa.binary())})
+        del rows, flags
         release()
 
     return run
