@@ -60,8 +60,14 @@ def overlap(a: DataFrame, b: DataFrame, on: list[str], start: str = "lo", end: s
     return pairs.where((high > low) & (F.col("__bucket") == F.floor(low / width))).withColumn("overlap", high - low).drop("__bucket")
 
 
+#: Centres that nearest() will broadcast.
+MOST_CENTRES = 10_000
+
+
 def nearest(rows: DataFrame, centres: DataFrame, distance: Column, keys: list[str], k: int) -> DataFrame:
-    """The k nearest of a few centres for each row (centres must be few: they are broadcast)."""
+    """The k nearest of a few centres for each row. Centres are broadcast; more than MOST_CENTRES are refused."""
+    if centres.limit(MOST_CENTRES + 1).count() > MOST_CENTRES:
+        raise ValueError(f"more than {MOST_CENTRES} centres: use an index")
     each = rows.join(F.broadcast(centres), F.lit(True)).withColumn("distance", distance)
     w = W.partitionBy(*keys).orderBy("distance", *centres.columns[:1])
     return each.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)

@@ -178,9 +178,9 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return Tables(s, d)("conversations").groupBy("conv_id").agg(turns.alias("t")).select("conv_id", F.array_join(F.col("t.text"), " ").alias("text"))
 
 
-@Q("a26_padded_lists", "WITH l AS (SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS k FROM orders WHERE o_custkey % 7 = 0 GROUP BY 1) SELECT o_custkey, list_resize(k, (SELECT max(len(k)) FROM l), -1) AS keys FROM l")
+@Q("a26_padded_lists", "WITH l AS (SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS k FROM orders GROUP BY 1) SELECT o_custkey, list_resize(k, (SELECT max(len(k)) FROM l), -1) AS keys FROM l")
 def _(s: SparkSession, d: str) -> DataFrame:
-    lists = Tables(s, d)("orders").where("o_custkey % 7 = 0").groupBy("o_custkey").agg(F.sort_array(F.collect_list("o_orderkey")).alias("k"))
+    lists = Tables(s, d)("orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list("o_orderkey")).alias("k"))
     longest = lists.agg(F.max(F.size("k"))).first()[0] or 0
     return lists.select("o_custkey", F.concat("k", F.array_repeat(F.lit(-1).cast("long"), F.lit(longest) - F.size("k"))).alias("keys"))
 

@@ -155,12 +155,12 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return revenue(Tables(s, d)).select("company", "quarter", (F.col("revenue") - F.coalesce(spent, F.col("revenue") * 0.2)).alias("free_cash"))
 
 
-NEAR = """e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id < 300), n AS (SELECT a.vec_id, b.vec_id AS other, round(list_cosine_similarity(a.v, b.v), 6) AS weight, a.label FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
+NEAR = """e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), n AS (SELECT a.vec_id, b.vec_id AS other, round(list_cosine_similarity(a.v, b.v), 6) AS weight, a.label FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
   k AS (SELECT vec_id, other, weight, row_number() OVER (PARTITION BY vec_id ORDER BY weight DESC, other)::INTEGER AS place FROM n WHERE weight >= 0.2), near AS (SELECT * FROM k WHERE place <= 5)"""
 
 
 def near(t: Tables) -> DataFrame:
-    return market.neighbours(t("embeddings").where("vec_id < 300"), "vec_id", "label", "embedding", 5, 0.2)
+    return market.neighbours(t("embeddings"), "vec_id", "label", "embedding", 5, 0.2)
 
 
 @Q("j17_sector_neighbours", f"WITH {NEAR} SELECT vec_id, other, weight, place FROM near")
@@ -171,7 +171,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 @Q("e_peer_gap", f"WITH {NEAR}, x AS (SELECT vec_id, 10 + vec_id % 17 AS x FROM e), p AS (SELECT near.vec_id, sum(x.x * weight) / sum(weight) AS peer FROM near JOIN x ON x.vec_id = other GROUP BY 1) SELECT x.vec_id, x::DOUBLE AS x, round(peer, 6) AS peer, CASE WHEN peer IS NOT NULL THEN round(greatest(-1, least(10, (x - peer) / peer)), 4) + 0.0 END AS gap FROM x LEFT JOIN p ON x.vec_id = p.vec_id")
 def _(s: SparkSession, d: str) -> DataFrame:
     t = Tables(s, d)
-    rows = t("embeddings").where("vec_id < 300").select("vec_id", (10 + F.col("vec_id") % 17).cast("double").alias("x"))
+    rows = t("embeddings").select("vec_id", (10 + F.col("vec_id") % 17).cast("double").alias("x"))
     return market.peer_gap(rows, near(t), "vec_id", "x").select("vec_id", "x", F.round("peer", 6).alias("peer"), (F.round("gap", 4) + 0.0).alias("gap"))
 
 

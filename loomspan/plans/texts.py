@@ -140,23 +140,23 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return Tables(s, d)("documents").select("doc_id", F.coalesce(names[F.col("source")], F.lit("OTHER")).alias("grouped"))
 
 
-@Q("x19_mean_neighbours", """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id < 200), n AS (SELECT a.vec_id, b.vec_id AS other, k, round(list_cosine_similarity(a.v[1:k], b.v[1:k]), 6) AS w FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id, (VALUES (16), (32), (64)) t(k)),
+@Q("x19_mean_neighbours", """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), n AS (SELECT a.vec_id, b.vec_id AS other, k, round(list_cosine_similarity(a.v[1:k], b.v[1:k]), 6) AS w FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id, (VALUES (16), (32), (64)) t(k)),
   m AS (SELECT vec_id, other, round(avg(w), 6) AS weight FROM n GROUP BY 1, 2) SELECT vec_id, other, weight FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY weight DESC, other) AS place FROM m) WHERE place <= 3""")
 def _(s: SparkSession, d: str) -> DataFrame:
     from functools import reduce
 
     from loomspan.operators.market import neighbours
 
-    rows = Tables(s, d)("embeddings").where("vec_id < 200")
+    rows = Tables(s, d)("embeddings")
     depths = [neighbours(rows.select("vec_id", "label", F.slice("embedding", 1, k).alias("v")), "vec_id", "label", "v", 10**6, -2.0) for k in (16, 32, 64)]
     mean = reduce(DataFrame.union, depths).groupBy("vec_id", "other").agg(F.round(F.avg("weight"), 6).alias("weight"))
     return panel.top_by(mean, ["vec_id"], [F.desc("weight"), "other"], 3).select("vec_id", "other", "weight")
 
 
-@Q("t4_top_sentences", r"""WITH s AS (SELECT doc_id, unnest(list_distinct(list_filter(list_transform(regexp_split_to_array(text, '[.!?\n]+'), lambda s: trim(s)), lambda s: length(s) BETWEEN 10 AND 350))) AS sentence FROM documents WHERE n_chars < 3000)
+@Q("t4_top_sentences", r"""WITH s AS (SELECT doc_id, unnest(list_distinct(list_filter(list_transform(regexp_split_to_array(text, '[.!?\n]+'), lambda s: trim(s)), lambda s: length(s) BETWEEN 10 AND 350))) AS sentence FROM documents)
   SELECT doc_id, sentence FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length(sentence) DESC, sentence) AS n FROM s) WHERE n <= 3""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    rows = Tables(s, d)("documents").where("n_chars < 3000").select("doc_id", F.explode(F.array_distinct(text.sentences(F.col("text"), 10, 350))).alias("sentence"))
+    rows = Tables(s, d)("documents").select("doc_id", F.explode(F.array_distinct(text.sentences(F.col("text"), 10, 350))).alias("sentence"))
     return panel.top_by(rows, ["doc_id"], [F.desc(F.length("sentence")), "sentence"], 3).select("doc_id", "sentence")
 
 
