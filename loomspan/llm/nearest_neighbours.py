@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from loomspan.llm.common import bound_batches, new_path, stage
 
 TRAIN_ROWS = 10_000
-QUERY_BLOCK, RERANK, TOP = 2048, 100, 10
+QUERY_BLOCK, RERANK, TOP = 2048, 400, 10
 CODEWORDS, ROUNDS = 16, 5
 #: Products of queries within this cosine of a vector set the weight of its parallel residual.
 THRESHOLD = 0.2
