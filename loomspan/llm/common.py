@@ -45,13 +45,15 @@ def drop_path(spark: SparkSession, path: str) -> None:
 def stage(df: DataFrame, name: str, codec: str = "zstd", file_rows: int = 0) -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends there, and a lost
     executor takes nothing with it. Shuffle files of the writing query are removed at its end. file_rows: most
-    rows in a file, for rows so large that a reader should not take many at once."""
+    rows in a file, for large rows that readers should take few of at once, and in one piece."""
     spark = df.sparkSession
     path = new_path(spark, name)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.option("compression", codec).option("maxRecordsPerFile", file_rows).parquet(path)
+        writer = df.write.option("compression", codec).option("maxRecordsPerFile", file_rows)
+        # a file of few rows is one row group, which no two readers share
+        (writer.option("parquet.block.size", 1 << 30) if file_rows else writer).parquet(path)
     finally:
         if before is None:
             spark.conf.unset(_CLEANUP)

@@ -33,9 +33,10 @@ from loomspan.llm.common import bound_batches, read_documents, release, stage, t
 
 #: Bytes of text in a batch; a longer document is a batch of its own. Every batch meets every shard in one row,
 #: so on a large corpus, where shards are many, batches should be larger too.
-BATCH = 2 << 20
-#: A batch is stored as so many rows, and is a file of its own: rows stay small, and files are not split.
-ROWS = 4
+BATCH = 1 << 20
+#: A batch is stored as so many rows, so that rows stay small, and so many batches as one file, which no two tasks
+#: share.
+ROWS, FILE_BATCHES = 2, 16
 #: Parts of a shard's range that are worked on one after the other, to hold a part of it in memory.
 RANGES = 4
 _NO_ID = np.iinfo(np.int64).max
@@ -94,11 +95,12 @@ class Batch:
     def windows(self, entries: np.ndarray, first: np.ndarray, last: np.ndarray, doc: np.ndarray):
         """Of the windows of some stretches: starts, documents' ids, order by hash, sorted hashes, and the first
         of each hash (the smallest document's)."""
+        # stretches do not share windows, so in their order the windows are in order too
+        entries = entries[np.argsort(first[entries])]
         size = last[entries] - first[entries] + 1
-        starts = np.repeat(first[entries] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        starts = np.repeat((first[entries] - np.cumsum(size) + size).astype(np.int32), size)
+        starts += np.arange(len(starts), dtype=np.int32)
         owner = np.repeat(doc[entries], size)
-        by_start = np.argsort(starts, kind="stable")
-        starts, owner = starts[by_start], owner[by_start]
         hashes = window_hashes(self.data, starts)
         order = _ordered(hashes, owner)
         hashes = hashes[order]
@@ -366,13 +368,15 @@ def remove_repeats(documents: DataFrame, keep: list[str], as_text: bool = False)
     spark = documents.sparkSession
     bound_batches(spark)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # what shards tell is little, and need not be a file of each
+    files = -(-shards // 16)
     given = documents.select(*dict.fromkeys(["doc_id", "text", *keep]))
-    batches = stage(given.mapInArrow(trimmed(_batched(keep)), _BATCH), "batches", codec="uncompressed", file_rows=ROWS)
+    batches = stage(given.mapInArrow(trimmed(_batched(keep)), _BATCH), "batches", codec="uncompressed", file_rows=ROWS * FILE_BATCHES)
     sent = batches.mapInArrow(_suffix_rows(shards), _SENT)
-    told = stage(sent.repartitionById(shards, F.col("shard")).mapInArrow(_matched(1), _TOLD), "flags")
+    told = stage(sent.repartitionById(shards, F.col("shard")).mapInArrow(_matched(1), _TOLD).repartition(files), "flags")
     blobs = batches.groupBy("batch")
     sent = blobs.cogroup(told.groupBy("batch")).applyInArrow(_window_rows(shards), _SENT)
-    more = stage(sent.repartitionById(shards, F.col("shard")).mapInArrow(_matched(2), _TOLD), "flags")
+    more = stage(sent.repartitionById(shards, F.col("shard")).mapInArrow(_matched(2), _TOLD).repartition(files), "flags")
     names = [f for f in given.schema if f.name in keep]
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in sorted(names, key=lambda f: keep.index(f.name)))
     schema += "n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start: bigint, `end`: bigint>>, " + ("kept_text string" if as_text else "kept_bytes binary")
