@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
+from pyspark.sql.window import WindowSpec
 
 
 def total(x: Column | str) -> Column:
@@ -36,6 +37,14 @@ def sample_skewness(x: Column | str) -> Column:
     return F.when(n > 2, F.skewness(x) * F.sqrt(n * (n - 1)) / (n - 2))
 
 
+def correlation(x: str, y: str, frame: WindowSpec | None = None) -> Column:
+    """Correlation of a group or frame; null where either does not vary. Rows without x or y do not count."""
+    a, b = F.when(F.col(y).isNotNull(), F.col(x)), F.when(F.col(x).isNotNull(), F.col(y))
+    parts = F.covar_pop(a, b), F.stddev_pop(a), F.stddev_pop(b)
+    together, spread_a, spread_b = (p if frame is None else p.over(frame) for p in parts)
+    return F.try_divide(together, spread_a * spread_b)
+
+
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """One row, auc: the chance that a positive scores above a negative, ties half. Ranks are of distinct scores
     with their counts, summed in ranges, so no task sorts all rows."""

@@ -158,7 +158,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 def _(s: SparkSession, d: str) -> DataFrame:
     rows = daily(Tables(s, d)).select("grp", "day", "amount")
     other = rows.withColumnsRenamed({"grp": "b", "amount": "other"})
-    return rows.join(other, "day").where("grp < b").groupBy(F.col("grp").alias("a"), "b").agg(F.round(F.corr("amount", "other"), 6).alias("r"))
+    return rows.join(other, "day").where("grp < b").groupBy(F.col("grp").alias("a"), "b").agg(F.round(ag.correlation("amount", "other"), 6).alias("r"))
 
 
 @Q("a23_slope", f"WITH {REVENUE} SELECT company, round(regr_slope(revenue, datediff('day', DATE '1995-01-01', quarter)), 6) AS slope FROM revenue GROUP BY 1")

@@ -10,6 +10,7 @@ from pyspark.sql.window import WindowSpec
 from loomspan.functions import calendar
 from loomspan.functions import scalars as fx
 from loomspan.operators import panel, store
+from loomspan.operators.aggregates import correlation
 from loomspan.operators import windows as win
 from loomspan.plans.fixtures import BARS, DAILY, ITEM_SALES, REVENUE, Tables, bars, daily, item_sales, revenue
 from loomspan.plans.registry import Registry
@@ -236,7 +237,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 @Q("w24_rolling_correlation", f"WITH {DAILY} SELECT grp, day, CASE WHEN count(*) OVER {frame(-89, 0)} = 90 THEN round(corr(amount, qty) OVER {frame(-89, 0)}, 5) END AS r FROM daily")
 def _(s: SparkSession, d: str) -> DataFrame:
     f = win.trailing(by_group(), 90)
-    return daily(Tables(s, d)).select("grp", "day", win.complete(F.round(F.corr("amount", "qty").over(f), 5), amount(), f, 90).alias("r"))
+    return daily(Tables(s, d)).select("grp", "day", win.complete(F.round(correlation("amount", "qty", f), 5), amount(), f, 90).alias("r"))
 
 
 @Q("w25_top_five", f"WITH {ITEM_SALES}, r AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY amount DESC, item)::INTEGER AS place FROM item_sales) SELECT site, item, amount, place FROM r WHERE place <= 5")

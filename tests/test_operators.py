@@ -141,3 +141,9 @@ def test_stream_tail_and_freshness(spark):
     both = extend(old, new, ["asset", "bar"])
     assert sorted(r.close for r in both.collect()) == [1.0, 2.0]
     assert fresh(both, "2024-01-01 02:10:00") and not fresh(both, "2024-01-01 03:00:00")
+
+
+def test_correlation_without_variance_is_null(spark):
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 1.0, 3.0), ("b", 1.0, 2.0), ("b", 2.0, 4.0), ("b", None, 9.0), ("c", 1.0, 1.0)], "k string, x double, y double")
+    got = {r.k: r.r for r in df.groupBy("k").agg(ag.correlation("x", "y").alias("r")).collect()}
+    assert got["a"] is None and got["c"] is None and got["b"] == pytest.approx(1.0)
