@@ -7,8 +7,10 @@ tables of partial products; two codes share a byte and so one look-up. The best
 exact distance in double precision.
 
 Codebooks are learned from TRAIN_ROWS vectors at most, chosen by a hash of vec_id; every vector is coded. The queries
-go over the table of codes in blocks of QUERY_BLOCK, each broadcast by itself (1 MB for 64 dimensions); of each
-batch of vectors the RERANK best by estimate are measured exactly, so ranks are exact once they are among these.
+go over the table of codes in blocks of QUERY_BLOCK, each broadcast by itself (1 MB for 64 dimensions). Of each
+batch of vectors the RERANK best by estimate are measured exactly; then every other vector whose code and residual
+norm do not prove it farther than the nearest measured so far. So ranks are exact; RERANK only decides how soon
+distances are small enough to prove much. Where a group is denser than its codes resolve, all of it is measured.
 
 Defined results: vectors that are null, zero, of another length than most, or that hold null or non-finite components
 take no part, as query or candidate; nor do rows with null vec_id. Rows with equal vec_id are one candidate, at their
@@ -114,6 +116,11 @@ class Quantizer:
         low, high = part[:, 0::2], part[:, 1::2]
         return (high[:, :, :, None] + low[:, :, None, :]).reshape(len(queries), self.pairs // 2, 256)
 
+    def decode(self, codes: np.ndarray) -> np.ndarray:
+        """The vectors that codes stand for."""
+        each = np.stack([codes & 15, codes >> 4], axis=2).reshape(len(codes), self.pairs)
+        return self.books[np.arange(self.pairs), each].reshape(len(codes), -1).astype(np.float64)[:, : self.dim]
+
 
 def build_index(vectors: DataFrame, dim: int, train_rows: int = TRAIN_ROWS) -> tuple[DataFrame, Quantizer] | None:
     """A staged table of vec_id, embedding, codes, and the quantizer; None if there is no vector."""
@@ -136,9 +143,20 @@ def build_index(vectors: DataFrame, dim: int, train_rows: int = TRAIN_ROWS) -> t
     return stage(vectors.mapInArrow(coded, "vec_id bigint, embedding array<double>, codes binary"), "vectors"), quantizer
 
 
+def _at_least(dots: np.ndarray, q: float, x: np.ndarray, coded: np.ndarray, residual: np.ndarray, terms: int) -> np.ndarray:
+    """Lower bounds of distances from products with the decoded vectors and the norms of query, vectors, decoded
+    vectors and residuals: a vector is its residual away from the decoded one. Allows for single precision."""
+    slack = (terms + 8) * (2.0**-22 * q * coded + 2.0**-125)
+    square = q * q + coded * coded - 2.0 * dots
+    near, far = np.sqrt(np.maximum(square - slack, 0.0)), np.sqrt(np.maximum(square + slack, 0.0))
+    return np.maximum(near - residual, residual - far) - 1e-12 * (q + x + coded)
+
+
 def _scan(quantizer: Quantizer, ids: np.ndarray, queries: np.ndarray, top: int, rerank: int):
     def run(batches):
-        tables = None
+        tables, lengths = None, np.linalg.norm(queries, axis=1)
+        # distances that top ids are known to be within, from the batches so far
+        within = np.full(len(ids), np.inf)
         for batch in batches:
             tables = quantizer.tables(queries) if tables is None else tables
             for at in range(0, batch.num_rows, SCAN_ROWS):
@@ -151,26 +169,49 @@ def _scan(quantizer: Quantizer, ids: np.ndarray, queries: np.ndarray, top: int,
                 vec_ids, x, codes = vec_ids[order], x[order], codes[order]
                 first = np.flatnonzero(np.append(True, (x[1:] != x[:-1]).any(axis=1)))
                 size = np.diff(first, append=len(x))
-                norms = (x[first] ** 2).sum(1).astype(np.float32)
+                once, short = x[first], np.ascontiguousarray(codes[first].T)
+                decoded = quantizer.decode(short.T)
+                norms, coded, residual = (np.linalg.norm(v, axis=1) for v in (once, decoded, once - decoded))
                 found: list[list[np.ndarray]] = [[], [], []]
                 n = min(rerank, len(first))
-                for q in range(len(ids)):
-                    guess = -norms
-                    for b in range(codes.shape[1]):
-                        guess += 2 * tables[q, b][codes[first, b]]
-                    best = np.argpartition(-guess, n - 1)[:n]
-                    exact = np.sqrt(((x[first[best]] - queries[q]) ** 2).sum(1))
+
+                def nearest(q, some):
+                    exact = np.sqrt(((once[some] - queries[q]) ** 2).sum(1))
                     # every vector stands for its rows, of which the top + 1 smallest ids are enough
-                    many = np.minimum(size[best], top + 1)
-                    rows = np.repeat(first[best], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                    many = np.minimum(size[some], top + 1)
+                    rows = np.repeat(first[some], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                     far, who = np.repeat(exact, many), vec_ids[rows]
                     keep = who != ids[q]
-                    far, who = far[keep], who[keep]
+                    return best_of(far[keep], who[keep])
+
+                def best_of(far, who):
                     # repeated ids must not crowd out others: keep the nearest of each
                     sort = np.lexsort((who, far))
-                    _, once = np.unique(who[sort], return_index=True)
-                    sort = sort[np.sort(once)][:top]
-                    for out, v in zip(found, (np.full(len(sort), ids[q]), who[sort], far[sort]), strict=True):
+                    _, each = np.unique(who[sort], return_index=True)
+                    sort = sort[np.sort(each)][:top]
+                    return far[sort], who[sort]
+
+                for q in range(len(ids)):
+                    dots = np.zeros(len(first), np.float32)
+                    for b, code in enumerate(short):
+                        dots += tables[q, b][code]
+                    best = np.argpartition(norms**2 - 2.0 * dots, n - 1)[:n]
+                    far, who = nearest(q, best)
+                    if len(far) == top:
+                        within[q] = min(within[q], far[-1])
+                    # what is not proved farther is measured, also where a bound overflows
+                    may = ~(_at_least(dots, lengths[q], norms, coded, residual, codes.shape[1]) > within[q])
+                    may[best] = False
+                    rest = np.flatnonzero(may)
+                    # by their products first, which are quick but lose digits
+                    square = lengths[q] ** 2 + norms[rest] ** 2 - 2.0 * (once[rest] @ queries[q])
+                    rest = rest[~(square - 1e-12 * (lengths[q] + norms[rest]) ** 2 > within[q] ** 2)]
+                    if len(rest):
+                        more, others = nearest(q, rest)
+                        far, who = best_of(np.append(far, more), np.append(who, others))
+                        if len(far) == top:
+                            within[q] = min(within[q], far[-1])
+                    for out, v in zip(found, (np.full(len(who), ids[q]), who, far), strict=True):
                         out.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in found], names=["query_id", "vec_id", "score"])
 

@@ -147,6 +147,24 @@ def test_recall_in_query_blocks(spark, monkeypatch):
     assert len(got) == 30 and hits / 300 >= 0.9
 
 
+def test_neighbours_among_near_copies_in_one_batch(spark):
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(6000, 32))
+    x[:4000] = x[0] * (1 + draw.normal(size=(4000, 1)) * 1e-2) + draw.normal(size=(4000, 32)) * 1e-3
+    x = x[draw.permutation(len(x))]
+    usable, dim = nn.usable(vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)]).coalesce(1))
+    x = np.array([r.embedding for r in usable.orderBy("vec_id").collect()])
+    index, quantizer = nn.build_index(usable, dim)
+    got = {}
+    for r in nn.search(index, quantizer, index.where("vec_id % 100 = 0")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert len(got) == 60
+    for q, found in got.items():
+        far = ((x - x[q]) ** 2).sum(1)
+        far[q] = np.inf
+        assert found == np.lexsort((np.arange(len(x)), far))[:10].tolist()
+
+
 def test_no_vectors(spark):
     usable, dim = nn.usable(vectors(spark, [(1, None, 0)]))
     assert nn.build_index(usable, dim) is None
