@@ -511,3 +511,71 @@ def _(s: SparkSession, d: str) -> DataFrame:
     seasons = s.sql("values (date'1996-07-06', date'1996-09-01'), (date'1996-12-21', date'1997-01-05') as t(first_day, last_day)")
     days = Tables(s, d)("orders").select(F.to_date("o_orderdate").alias("day")).distinct()
     return calendar.school_holidays(days, "day", seasons)
+
+
+# The operators' own windows. The queries above of the same IDs are their short forms, kept with their SQL.
+
+LAGS, MEANS = range(1, 192), range(1, 192, 4)
+BARS_15 = BARS.replace("360 minutes", "15 minutes") + ", priced AS (SELECT * FROM bars WHERE close > 0)"
+
+
+def bar_lags(rows: DataFrame) -> DataFrame:
+    """Closes 1 to 8 bars ahead, closes and volumes 1 to 191 bars back, of bars that have all of these."""
+    w = by_bar()
+    ahead = [F.lead("close", k).over(w).alias(f"next_{k}") for k in range(1, 9)]
+    past = [F.lag(x, k).over(w).alias(f"{name}_{k}") for x, name in (("close", "past"), ("volume", "past_volume")) for k in LAGS]
+    return rows.where("close > 0").select("asset", "bar", "close", "volume", *ahead, *past).where("past_191 is not null")
+
+
+@Q("w18_bar_lags_191", f"WITH {BARS_15}, x AS (SELECT asset, bar, close, volume, {', '.join(f'lead(close, {k}) OVER {BW} AS next_{k}' for k in range(1, 9))}, {', '.join(f'lag({x}, {k}) OVER {BW} AS {name}_{k}' for x, name in (('close', 'past'), ('volume', 'past_volume')) for k in LAGS)} FROM priced) SELECT * FROM x WHERE past_191 IS NOT NULL")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return bar_lags(bars(Tables(s, d), 15))
+
+
+def trailing_stats(rows: DataFrame) -> DataFrame:
+    """Means and deviations of the last 1, 5, .. 189 closes and volumes and the close's distance to each mean (also to
+    that of volumes, as the reference has it) and to the closes 2 to 24 back, of bars that have 191 before them."""
+    w, out = by_bar(), {}
+    for m in MEANS:
+        f = win.trailing(w, m, 1)
+        for x in ("close", "volume"):
+            mean = F.avg(x).over(f)
+            out |= {f"mean_{x}_{m}": F.round(mean, 6), f"std_{x}_{m}": F.round(F.stddev_samp(x).over(f), 4), f"delta_{x}_mean_{m}": F.round(fx.ratio(close(), mean) - 1, 6)}
+    out |= {f"delta_close_{k}": F.round(fx.ratio(close(), F.lag("close", k).over(w)) - 1, 6) for k in range(2, 25)}
+    full = rows.where("close > 0").select("asset", "bar", F.lag("close", LAGS[-1]).over(w).alias("__far"), *(v.alias(k) for k, v in out.items()))
+    return full.where("__far is not null").drop("__far")
+
+
+@Q("w19_trailing_stats_189", f"WITH {BARS_15}, x AS (SELECT asset, bar, lag(close, 191) OVER {BW} AS far, " + ", ".join(f"round(avg({x}) OVER {bframe(-m, -1)}, 6) AS mean_{x}_{m}, round(stddev_samp({x}) OVER {bframe(-m, -1)}, 4) AS std_{x}_{m}, round(close / nullif(avg({x}) OVER {bframe(-m, -1)}, 0) - 1, 6) AS delta_{x}_mean_{m}" for m in MEANS for x in ("close", "volume")) + ", " + ", ".join(f"round(close / lag(close, {k}) OVER {BW} - 1, 6) AS delta_close_{k}" for k in range(2, 25)) + " FROM priced) SELECT * EXCLUDE (far) FROM x WHERE far IS NOT NULL")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return trailing_stats(bars(Tables(s, d), 15))
+
+
+def block_lags(rows: DataFrame) -> DataFrame:
+    """Lags 0 to 385 of amount; deviations of blocks of five lags and the distance of lag 5 to their means and to the
+    mean of lags 355 to 384; the change since lag 5. Of days that have all lags."""
+    w = by_group()
+    lags = [F.lag("amount", k).over(w).alias(f"lag_{k}") for k in range(386)]
+    five = F.lag("amount", 5).over(w)
+    cols = [F.round(fx.ratio(amount(), five) - 1, 6).alias("target")]
+    for k in BLOCKS:
+        f = win.trailing(w, 5, k)
+        cols += [F.round(F.stddev_samp(amount()).over(f), 4).alias(f"std_{k}"), F.round(fx.ratio(five, F.avg(amount()).over(f)) - 1, 6).alias(f"distance_{k}")]
+    cols += [F.round(fx.ratio(five, F.avg(amount()).over(win.trailing(w, 30, 355))) - 1, 6).alias("year_trend")]
+    return rows.select("grp", "day", *lags, *cols).where("lag_385 is not null")
+
+
+@Q("w23_block_lags_385", f"WITH {DAILY}, x AS (SELECT grp, day, {', '.join(f'lag(amount, {k}) OVER {OVER} AS lag_{k}' for k in range(386))}, round(amount / nullif(lag(amount, 5) OVER {OVER}, 0) - 1, 6) AS target, " + ", ".join(f"round(stddev_samp(amount) OVER {frame(-(k + 4), -k)}, 4) AS std_{k}, round(lag(amount, 5) OVER {OVER} / nullif(avg(amount) OVER {frame(-(k + 4), -k)}, 0) - 1, 6) AS distance_{k}" for k in BLOCKS) + f", round(lag(amount, 5) OVER {OVER} / nullif(avg(amount) OVER {frame(-384, -355)}, 0) - 1, 6) AS year_trend FROM daily) SELECT * FROM x WHERE lag_385 IS NOT NULL")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return block_lags(daily(Tables(s, d)))
+
+
+def rolling_correlation(rows: DataFrame, n: int = 360) -> DataFrame:
+    """Correlation of amount and qty over the last n days of a group, null before there are so many."""
+    f = win.trailing(by_group(), n)
+    return rows.select("grp", "day", win.complete(F.round(correlation("amount", "qty", f), 5), amount(), f, n).alias("r"))
+
+
+@Q("w24_rolling_correlation_360", f"WITH {DAILY} SELECT grp, day, CASE WHEN count(*) OVER {frame(-359, 0)} = 360 THEN round(corr(amount, qty) OVER {frame(-359, 0)}, 5) END AS r FROM daily")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return rolling_correlation(daily(Tables(s, d)))
