@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,14 @@ def folds(df: DataFrame, keys: Sequence[str], k: int, seed: int = 1) -> DataFram
     return df.withColumn("fold", F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(k)).cast("int"))
 
 
+def cross_validated(df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str, k: int, **settings):
+    """Every row with the prediction of a model trained on the other folds, and a model trained on all rows.
+    settings are those of boosted_trees."""
+    dealt = folds(df, keys, k)
+    made = [boosted_trees(dealt.where(F.col("fold") != i), features, target, **settings).predict(dealt.where(F.col("fold") == i)) for i in range(k)]
+    return reduce(DataFrame.union, made), boosted_trees(dealt, features, target, **settings)
+
+
 def seasonal(df: DataFrame, by: Sequence[str], day: str, target: str, ahead: int, yearly: int = 3, weekly: int = 2, ridge: float = 1.0) -> DataFrame:
     """A trend with yearly and weekly waves for each key, fitted by least squares, and so many days ahead: keys,
     day, prediction. A key is a series of days, so it fits in one task."""

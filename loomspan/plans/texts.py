@@ -164,9 +164,8 @@ def _(s: SparkSession, d: str) -> DataFrame:
 def _(s: SparkSession, d: str) -> DataFrame:
     w = win.ordered(["grp"], ["day"])
     rows = win.lag_bank(daily(Tables(s, d)), "amount", [1, 7, 14], w, "lag_").withColumn("weekday", F.weekday("day")).dropna()
-    dealt = models.folds(rows, ["grp", "day"], 5)
-    model = models.boosted_trees(dealt.where("fold <> 0"), ["lag_1", "lag_7", "lag_14", "weekday"], "amount", rounds=5)
-    return model.predict(dealt.where("fold = 0")).select("grp", "day", "amount", "prediction")
+    made, _ = models.cross_validated(rows, ["grp", "day"], ["lag_1", "lag_7", "lag_14", "weekday"], "amount", 5)
+    return made.select("grp", "day", "amount", "prediction")
 
 
 @Q("ml2_seasonal_forecast")
