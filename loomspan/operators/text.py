@@ -66,3 +66,26 @@ def label_shares(df: DataFrame, hue: str, label: str) -> DataFrame:
     """Share of labels in each hue, in percent."""
     counts = df.groupBy(hue, label).agg(F.count("*").alias("n"))
     return counts.withColumn("share", 100 * ratio(F.col("n"), F.sum("n").over(W.partitionBy(hue))))
+
+
+def _deletes(word: Column, edits: int, prefix: int) -> Column:
+    """The beginning of a word and all that is left of it after up to so many deletions."""
+    left = F.array(F.substring(word, 1, prefix))
+    for _ in range(edits):
+        less = F.flatten(F.transform(left, lambda t: F.when(F.length(t) > 0, F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(t.substr(F.lit(1), i - 1), t.substr(i + 1, F.length(t))))).otherwise(F.array(t))))
+        left = F.array_distinct(F.concat(left, less))
+    return left
+
+
+def closest_words(counts: DataFrame, word: str, n: str, share: float, edits: int = 3, prefix: int = 7) -> DataFrame:
+    """word, known, edits: for each word that is not known itself the closest known one, at most so many edits away;
+    of equally close ones the most frequent, then the first by letters. Known are words with at least a share of all
+    counts. Words meet where deletions make their beginnings equal: two words within so many edits always do."""
+    known = counts.crossJoin(counts.agg(F.sum(n).alias("__all"))).where(F.col(n) >= share * F.col("__all")).select(F.col(word).alias("known"), F.col(n).alias("__n"))
+    rare = counts.join(known, F.col(word) == F.col("known"), "left_anti").select(word)
+    left = rare.select(word, F.explode(_deletes(F.col(word), edits, prefix)).alias("__key"))
+    right = known.select("known", "__n", F.explode(_deletes(F.col("known"), edits, prefix)).alias("__key"))
+    pairs = left.join(right, "__key").where(F.abs(F.length(word) - F.length("known")) <= edits).select(word, "known", "__n").distinct()
+    near = pairs.withColumn("edits", F.levenshtein(word, "known")).where(F.col("edits") <= edits)
+    best = F.min(F.struct("edits", (-F.col("__n")).alias("less"), "known"))
+    return near.groupBy(word).agg(best.alias("__b")).select(word, "__b.known", "__b.edits")

@@ -58,6 +58,17 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return near.groupBy("word").agg(F.min_by("known", F.struct("edits", "known")).alias("known"))
 
 
+#: A word is known if it makes up this share of all words.
+KNOWN_SHARE = 0.001
+
+
+@Q("x5_spelling_closest", f"""WITH {WORDS}, v AS (SELECT unnest(w) AS word, count(*) AS n FROM words GROUP BY 1), known AS (SELECT word AS known, n FROM v WHERE n >= {KNOWN_SHARE}::DOUBLE * (SELECT sum(n) FROM v)), c AS (SELECT word, known, known.n, levenshtein(word, known) AS edits FROM v, known WHERE word NOT IN (SELECT known FROM known))
+  SELECT word, arg_min(known, (edits, -n, known)) AS known, min(edits)::INTEGER AS edits FROM c WHERE edits <= 3 GROUP BY 1""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    v = words(Tables(s, d)).select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return text.closest_words(v, "word", "n", KNOWN_SHARE)
+
+
 GRAMS = f"{WORDS}, grams AS (SELECT conv_id, turn, role, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN generate_series(1, len(w) - 1)])) AS term FROM words)"
 
 
