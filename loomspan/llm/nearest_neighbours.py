@@ -167,6 +167,9 @@ def _scan(quantizer: Quantizer, ids: np.ndarray, queries: np.ndarray, top: int,
                 # equal vectors are scanned once
                 order = np.lexsort((vec_ids, *x.T[::-1]))
                 vec_ids, x, codes = vec_ids[order], x[order], codes[order]
+                # and once for each id, so that repeated ids cannot crowd out others
+                new = np.append(True, (x[1:] != x[:-1]).any(axis=1) | (vec_ids[1:] != vec_ids[:-1]))
+                vec_ids, x, codes = vec_ids[new], x[new], codes[new]
                 first = np.flatnonzero(np.append(True, (x[1:] != x[:-1]).any(axis=1)))
                 size = np.diff(first, append=len(x))
                 once, short = x[first], np.ascontiguousarray(codes[first].T)

@@ -165,6 +165,14 @@ def test_neighbours_among_near_copies_in_one_batch(spark):
         assert found == np.lexsort((np.arange(len(x)), far))[:10].tolist()
 
 
+def test_repeated_ids_do_not_hide_equal_vectors(spark):
+    rows = [(100, [1.0, 2.0], 0)] * 15 + [(5, [1.0, 2.0], 0)] * 15 + [(i, [1.0, 2.0], 0) for i in range(201, 206)] + [(i, [float(i), 1.0], 0) for i in range(301, 321)]
+    usable, dim = nn.usable(vectors(spark, rows).coalesce(1))
+    index, quantizer = nn.build_index(usable, dim)
+    got = nn.search(index, quantizer, index.where("vec_id = 100")).orderBy("rank").collect()
+    assert [(r.vec_id, r.score == 0) for r in got] == [(5, True), *((i, True) for i in range(201, 206)), *((i, False) for i in range(301, 305))]
+
+
 def test_no_vectors(spark):
     usable, dim = nn.usable(vectors(spark, [(1, None, 0)]))
     assert nn.build_index(usable, dim) is None
