@@ -10,25 +10,12 @@ from pyspark.sql import functions as F
 from loomspan.plans.fixtures import BARS, DAILY, Tables, bars, daily
 from loomspan.plans.registry import Registry
 from loomspan.sources import files
+from loomspan.sources.shared import new_path as shared
 from loomspan.streaming.bars import extend, stream_bars
 
 Q = Registry()
 
 
-def shared(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all machines share."""
-    import tempfile
-
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="loomspan-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    path = f"{at.rstrip('/')}/loomspan-{name}-{uuid.uuid4().hex}"
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
-
-
 @Q("st1_stream_bars", "SELECT event_type AS asset, time_bucket(INTERVAL '15 minutes', ts, TIMESTAMP '1970-01-01') AS bar, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close, count(*) AS volume FROM events GROUP BY 1, 2")
 def _(s: SparkSession, d: str) -> DataFrame:
     table, out = s.read.parquet(f"{d}/events.parquet"), shared(s, "stream")
