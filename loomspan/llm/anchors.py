@@ -30,11 +30,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Stretches(NamedTuple):
-    """Runs of windows: document index, first and last window start (in the batch), two hashes."""
+    """Runs of windows: document index, first and last window start and the anchor (in the batch), two hashes."""
 
     doc: np.ndarray
     first: np.ndarray
     last: np.ndarray
+    anchor: np.ndarray
     gram: np.ndarray
     whole: np.ndarray
 
@@ -89,9 +90,9 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> Stretches:
         stop = last + SPAN - 32
         size = (last - first).astype(np.uint64) * np.uint64(64) + (p - first).astype(np.uint64)
         whole = mix(mix(mix(wide[first] + size) + wide[(first + stop) // 2]) + wide[stop])
-        parts.append((doc[first], first + at, last + at, mix(gram[p] + np.uint64(1)), whole))
+        parts.append((doc[first], first + at, last + at, p + at, mix(gram[p] + np.uint64(1)), whole))
     if not parts:
-        return Stretches(*(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64)))
+        return Stretches(*(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64)))
     return Stretches(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
 

@@ -4,44 +4,20 @@ from __future__ import annotations
 
 import ctypes
 import sys
-import tempfile
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomspan.sources.shared import drop_path, new_path, shared_dir
+
 #: Bytes in one Arrow batch handed to Python, so that long texts do not pile up.
 BATCH_BYTES = 4 << 20
 _LIBC = ctypes.CDLL("libc.so.6") if sys.platform == "linux" else None
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all machines share (spark.checkpoint.dir); one of our own only where it is unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="loomspan-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, deleted when the application ends."""
-    path = f"{shared_dir(spark)}/loomspan-{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a staged table that no later plan reads."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def stage(df: DataFrame, name: str, codec: str = "zstd", file_rows: int = 0) -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends there, and a lost
     executor takes nothing with it. Shuffle files of the writing query are removed at its end. file_rows: most
@@ -65,8 +41,18 @@ def stage(df: DataFrame, name: str, codec: str = "zstd", file_rows: int = 0) ->
 
 
 def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
-    """Limit Arrow batches by bytes; whole rows always stay whole."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+    """Limit the session's Arrow batches to so many bytes, unless they are smaller already; whole rows always stay
+    whole. The limit stays, as the frames that operators return are run later."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    given = spark.conf.get(name, None)
+    if not (given and given.isdigit() and 0 < int(given) <= size):
+        spark.conf.set(name, str(size))
+
+
+def beside(keep: list[str], outputs: list[str]) -> list[str]:
+    """The columns to keep that no output replaces: an output goes before a kept column of its name, in any case."""
+    taken = {c.lower() for c in outputs}
+    return [c for c in dict.fromkeys(keep) if c.lower() not in taken]
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

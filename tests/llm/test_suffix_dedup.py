@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from compare import SF
 
 from loomspan.llm import suffix_dedup as sd
 from loomspan.llm.anchors import SPAN, stretches, window_hashes
@@ -35,9 +36,11 @@ def run(df):
     return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept_bytes)).hexdigest()) for r in got), key=repr)
 
 
-@pytest.mark.parametrize("batch", [300, 5000, 1 << 20])
-def test_against_brute_force(spark, docs, monkeypatch, batch):
+@pytest.mark.parametrize(("batch", "entries"), [(300, 250_000), (300, 20), (5000, 250_000), (1 << 20, 250_000)])
+def test_against_brute_force(spark, docs, monkeypatch, batch, entries):
     monkeypatch.setattr(sd, "BATCH", batch)
+    monkeypatch.setattr(sd, "SHARD_ENTRIES", entries)
+    monkeypatch.setattr(sd, "FILE_BATCHES", 3)
     draw = random.Random(batch)
     passages = ["".join(draw.choice("abé ") for _ in range(draw.randint(30, 140))) for _ in range(8)] + ["z" * 130, "xy" * 60]
     rows = []
@@ -85,18 +88,43 @@ def test_every_window_owns_one_anchor():
 
 
 def test_family_keeps_few_levels_and_finds_smaller_documents():
-    draw, family, seen = np.random.default_rng(1), sd.Family(), {}
-    batches = []
+    draw, family, batches = np.random.default_rng(1), sd.Family(), []
     for _ in range(40):
-        gram = np.sort(np.unique(draw.integers(0, 200, 30).astype(np.uint64)))
-        whole, doc = (draw.integers(0, 3, len(gram)).astype(np.uint64) for _ in range(2))
-        doc = draw.integers(0, 50, len(gram)).astype(np.int64)
-        batches.append((gram, whole, doc))
-        family.add(gram, whole, doc)
-        for g, w, d in zip(gram.tolist(), whole.tolist(), doc.tolist(), strict=True):
-            seen[g, w] = min(seen.get((g, w), d), d)
-    assert len(family.levels) <= 8
-    family.close()
-    for gram, whole, doc in batches:
-        want = [seen[g, w] < d for g, w, d in zip(gram.tolist(), whole.tolist(), doc.tolist(), strict=True)]
-        assert (family.flags(gram, whole, doc) == 1).tolist() == want
+        n = int(draw.integers(1, 60))
+        key = draw.integers(0, 200, n).astype(">u4").view("S4")
+        whole, doc = draw.integers(0, 3, n).astype(np.uint64), draw.integers(0, 50, n)
+        batches += zip(key.tolist(), whole.tolist(), doc.tolist(), strict=True)
+        family.add(key, whole, doc)
+        sizes = [len(level[0]) for level in family.levels]
+        assert all(a >= 2 * b for a, b in zip(sizes, sizes[1:], strict=False)) and len(sizes) <= 10
+    least, around = {}, {}
+    for k, w, d in batches:
+        least[k, w] = min(least.get((k, w), d), d)
+    for (k, w), d in least.items():
+        around.setdefault(k, set()).add(d)
+    want = [sd._SETTLED if least[k, w] < d else sd._OPEN if len(around[k]) > 1 else 0 for k, w, d in batches]
+    assert family.close().tolist() == want
+
+
+def test_levels_are_in_the_order_of_their_bytes():
+    family = sd.Family()
+    words = [w.encode() for w in "the cat sat on a mat and the dog sat by".split()]
+    for at in range(0, len(words), 3):
+        key = np.array(words[at : at + 3], "S8")
+        family.add(key, np.zeros(len(key), np.uint64), np.arange(len(key)))
+    for key, *_ in family.levels:
+        assert key.tolist() == sorted(key.tolist())
+
+
+def test_clashing_names(spark, docs):
+    s = "0123456789" * 5
+    df = docs([(1, s, "a", "en", 7, 8), (2, "x" + s, "b", "de", 9, 10)], ", n_bytes int, grp int")
+    got = {r.doc_id: r for r in sd.remove_repeats(df, df.columns, as_text=True).collect()}
+    assert (got[2].n_bytes, got[2].grp, got[2].kept_text) == (51, 10, "x")
+    got = {r.doc_id: r for r in sd.remove_repeats(df, df.columns, prefix="__").collect()}
+    assert (got[2].n_bytes, got[2]["__n_bytes"], got[2]["__n_removed"]) == (9, 51, 50)
+
+
+def test_query_against_brute_force(spark):
+    got = [tuple(r) for r in sd.query(spark, SF).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()]
+    assert sorted(got, key=repr) == brute([(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()])
