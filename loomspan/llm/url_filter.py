@@ -1,7 +1,8 @@
 """URL filter: a blocked Bloom filter of listed canonical URLs in front of an exact hash join.
 
 A listed URL is a host and the beginning of a path; it fits that host and its subdomains. A page's url gives a key
-for each suffix of its host and each beginning of its path that is as long as some listed path. Keys go through
+for each ending of its host, at a dot, that is as long as some listed host, with each beginning of its path that is as
+long as some listed path: the list bounds the keys of a page, however long its url is. Keys go through
 the filter: blocks of eight 32-bit words, each key sets one bit in each word of one block. What passes is joined
 with the list by key, which removes false positives, and the longest fit decides.
 
@@ -61,15 +62,15 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
     key = F.concat("host", F.lit("\t"), "path")
     listed = rules.select(F.coalesce("host", F.lit("")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict")
     listed = listed.groupBy(key.alias("key"), F.concat("host", "path").alias("rule"), F.length("host").alias("host_chars")).agg(F.min("verdict").alias("verdict"))
-    facts = listed.agg(F.count("*").alias("n"), F.sort_array(F.collect_set(F.length("rule") - F.col("host_chars"))).alias("sizes")).first()
+    facts = listed.agg(F.count("*").alias("n"), F.sort_array(F.collect_set(F.length("rule") - F.col("host_chars"))).alias("sizes"), F.sort_array(F.collect_set("host_chars")).alias("hosts")).first()
     bloom, blocks = bloom_filter(listed, facts["n"])
 
     host, path = host_and_path(F.col("url"))
     given = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    sizes = [n for n in facts["sizes"]]
-    beginnings = F.transform(F.filter(F.array(*map(F.lit, sizes)).cast("array<int>"), lambda n: n <= F.length("path")), lambda n: F.left(F.col("path"), n))
+    size = F.length("host")
+    at_dot = lambda n: (n == size) | ((n < size) & (F.substr(F.col("host"), size - n, F.lit(1)) == "."))
+    suffixes = F.transform(F.filter(F.array(*map(F.lit, facts["hosts"])).cast("array<int>"), at_dot), lambda n: F.right(F.col("host"), n))
+    beginnings = F.transform(F.filter(F.array(*map(F.lit, facts["sizes"])).cast("array<int>"), lambda n: n <= F.length("path")), lambda n: F.left(F.col("path"), n))
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(beginnings, lambda b: F.concat(s, F.lit("\t"), b))))
     # The first of a page's keys is null and keeps its place in the counts.
     tried = given.select("page_id", "url", "host", "path", F.posexplode(F.concat(F.array(F.lit(None).cast("string")), F.when(F.col("host") != "", keys).otherwise(F.array().cast("array<string>")))).alias("pos", "key"))
