@@ -7,9 +7,10 @@ cells that hold one digest recovers the digests in which they differ, and if it
 sketched again with twice the cells and other hashes. The likeness is the share of common digests in all.
 
 Defined results: a null text is empty; an empty text has no pieces, and two such texts are alike (1.0); repeated
-pieces count once. In the order of documents a null doc_id comes after all others, and rows with equal doc_id are
-ordered by text; the last document's next one is the first, which may be itself. Texts of any length are taken
-whole; an empty table gives an empty result; only doc_id and text are read.
+pieces count once. In the order of documents a null doc_id comes after all others, and rows with equal or no doc_id are
+ordered by a hash of their texts and then the texts, so that an id of many rows is dealt to many tasks; the last
+document's next one is the first, which may be itself. Texts of any length are taken whole; an empty table gives an
+empty result; only doc_id and text are read, so other columns, whatever their names, do no harm.
 """
 
 from __future__ import annotations
@@ -157,7 +158,7 @@ def edit(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
-_DEALT = "part int, ghost boolean, doc_id bigint, text string"
+_DEALT = "part int, ghost boolean, doc_id bigint, h bigint, text string"
 _OUT = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
@@ -165,20 +166,44 @@ def _keys(column: pa.Array) -> np.ndarray:
     return column.cast(pa.int64()).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
 
 
-def _dealt(bounds: np.ndarray, ghosts: dict[int, tuple[int, int]]):
-    """Rows with their part; the first rows of a part go to the part before it too, as ghosts."""
+class Bounds:
+    """Where parts end, by id and hash. An id that quantiles name several times is cut by hash."""
+
+    def __init__(self, quantiles: list[int]) -> None:
+        ids, times = np.unique(np.array(quantiles, np.int64), return_counts=True)
+        most = np.iinfo(np.int64).max
+        # an id's last part goes up to its largest hash
+        cuts = [(i, most // n * k if k < n else most) for i, n in zip(ids.tolist(), times.tolist(), strict=True) for k in range(1, n + 1)]
+        self.ids, self.hashes = (np.array(x, np.int64) for x in (zip(*cuts, strict=True) if cuts else ((), ())))
+
+    def parts(self, ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """How many bounds lie before each row."""
+        low, high = np.searchsorted(self.ids, ids), np.searchsorted(self.ids, ids, "right")
+        out = low.astype(np.int32)
+        for k in np.unique(low[high > low]):
+            mine = (low == k) & (high > low)
+            out[mine] += np.searchsorted(self.hashes[k : high[mine][0]], hashes[mine]).astype(np.int32)
+        return out
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+
+def _dealt(bounds: Bounds, ghosts: dict[int, tuple[int, int, int]]):
+    """Rows with their part; the first row of a part goes to the part before it too, as a ghost."""
 
     def run(batches):
         for batch in batches:
-            key = _keys(batch.column("doc_id"))
-            part = np.searchsorted(bounds, key).astype(np.int32)
-            rows = pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.zeros(len(part), bool)), batch.column("doc_id").cast(pa.int64()), batch.column("text")], names=["part", "ghost", "doc_id", "text"])
+            key, h = _keys(batch.column("doc_id")), batch.column("h").to_numpy()
+            part = bounds.parts(key, h)
+            rows = pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.zeros(len(part), bool)), batch.column("doc_id").cast(pa.int64()), batch.column("h"), batch.column("text")], names=["part", "ghost", "doc_id", "h", "text"])
             yield rows
-            for p, (head, to) in ghosts.items():
-                mine = np.flatnonzero((part == p) & (key == head))
+            for p, (head, top, to) in ghosts.items():
+                # rows of one id and hash have one text, so one of them will do
+                mine = np.flatnonzero((part == p) & (key == head) & (h == top))[:1]
                 if len(mine):
                     r = rows.take(pa.array(mine))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(mine), to, np.int32)), pa.array(np.ones(len(mine), bool)), r.column("doc_id"), r.column("text")], names=rows.schema.names)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(1, to, np.int32)), pa.array(np.ones(1, bool)), r.column("doc_id"), r.column("h"), r.column("text")], names=rows.schema.names)
 
     return run
 
@@ -219,20 +244,22 @@ def compare_with_next(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     bound_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    given = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    cuts = given.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 100 * parts).alias("c")).first()["c"] if parts > 1 else []
-    bounds = np.unique(np.array(cuts or [], np.int64))
+    # 63 bits of a hash of the text
+    h = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 1)
+    given = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", h.alias("h"))
+    cuts = given.agg(F.percentile_approx(F.coalesce("doc_id", F.lit(_NO_ID)), [i / parts for i in range(1, parts)], 100 * parts).alias("c")).first()["c"] if parts > 1 else []
+    bounds = Bounds(cuts or [])
 
     def placed(batches):
         for batch in batches:
-            key = _keys(batch.column("doc_id"))
-            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(bounds, key).astype(np.int32)), pa.array(key)], names=["part", "key"])
+            key, top = _keys(batch.column("doc_id")), batch.column("h").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(bounds.parts(key, top)), pa.array(key), pa.array(top)], names=["part", "key", "h"])
 
-    heads = given.select("doc_id").mapInArrow(placed, "part int, key bigint").groupBy("part").agg(F.max("key").alias("head")).collect()
-    order = sorted(((r["part"], r["head"]) for r in heads), reverse=True)
-    ghosts = {part: (head, order[k - 1][0]) for k, (part, head) in enumerate(order)}
+    heads = given.select("doc_id", "h").mapInArrow(placed, "part int, key bigint, h bigint").groupBy("part").agg(F.max(F.struct("key", "h")).alias("head")).collect()
+    order = sorted(((r["part"], r["head"]["key"], r["head"]["h"]) for r in heads), reverse=True)
+    ghosts = {part: (head, top, order[k - 1][0]) for k, (part, head, top) in enumerate(order)}
     dealt = given.mapInArrow(_dealt(bounds, ghosts), _DEALT).repartitionById(len(bounds) + 1, F.col("part"))
-    return dealt.sortWithinPartitions("ghost", F.desc_nulls_last("doc_id"), F.coalesce("text", F.lit(""))).mapInArrow(_compared, _OUT)
+    return dealt.sortWithinPartitions("ghost", F.desc_nulls_last("doc_id"), F.desc("h"), F.coalesce("text", F.lit(""))).mapInArrow(_compared, _OUT)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
