@@ -132,8 +132,10 @@ def _parsed(batches):
         rows = []
         for name, offset, raw in zip(batch.column("file").to_pylist(), batch.column("pos").to_pylist(), batch.column("raw").to_pylist(), strict=True):
             end = raw.find(b"\r\n\r\n")
-            head = dict((k.strip().lower(), v.strip()) for k, _, v in (x.partition(":") for x in raw[:end].decode("utf-8", "replace").split("\r\n")))
-            block = raw[end + 4 : end + 4 + int(head["content-length"])]
+            # lines end as in _span, also where a writer left out the CR; the first length counts, as there
+            lines = raw[:end].replace(b"\r\n", b"\n").decode("utf-8", "replace").split("\n")
+            head = dict((k.strip().lower(), v.strip()) for k, _, v in (x.partition(":") for x in reversed(lines)))
+            block = raw[end + 4 : _span(raw) - 4]
             stop = block.find(b"\r\n\r\n") if "http" in head.get("content-type", "") else -4
             declared = _LENGTH.search(block[: max(stop, 0)].replace(b"\r\n", b"\n"))
             ids = [int(m[1]) if (m := re.fullmatch(r"<urn:page:(-?\d+)>", head.get(k, ""))) else None for k in ("warc-record-id", "warc-refers-to")]
@@ -165,7 +167,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     torn = pieces.join(hint(torn), ["file", "part", "seq"]).select("file", "owner", "pos", "raw")
     # a piece that looks whole may lie inside a torn record too
     glued = torn.groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("pos", "raw"))).alias("all"))
-    joined = F.aggregate(F.slice("all", 2, F.size("all")), F.element_at("all", 1)["raw"], lambda a, x: F.concat(a, F.lit(MAGIC).cast("binary"), x["raw"]))
+    joined = F.unhex(F.array_join(F.transform("all", lambda x: F.hex(x["raw"])), MAGIC.encode().hex()))
     glued = glued.select("file", F.col("owner").alias("pos"), joined.alias("raw"))
     return alone.union(glued).mapInArrow(_parsed, "file string, offset bigint, record_type string, page_id bigint, target_uri string, refers_to bigint, declared_digest string, declared_bytes bigint, payload binary")
 
