@@ -5,12 +5,12 @@ widths slide over them, each filter's largest response is kept, and a softmax la
 probabilities; a document's are the mean of its windows' log-probabilities by their lengths. The network is trained
 in numpy on the driver.
 
-Trained on windows from DOCS_PER_LANGUAGE documents of a language at most (about; chosen by a hash of doc_id), and
-WINDOWS_PER_DOC windows from each. Languages beyond MAX_LANGUAGES, the rarest, are not learned.
+Trained on WINDOWS_PER_DOC windows from each of DOCS_PER_LANGUAGE documents of a language, about, chosen by a hash of
+doc_id, and never from more than twice as many of all languages together. Every language that occurs is learned.
 
 Defined results: a text that is null or has no letter is `und` with score 0; texts are scored whole, at any length;
 rows are scored one by one, so repeated rows and null ids do no harm; an empty table gives an empty result; if nothing
-can be learned every text is `und`.
+can be learned every text is `und`; a kept column named lang_pred or lang_score gives way to the result.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm.common import bound_batches, crc_mod, read_documents, text_bytes
+from loomspan.llm.common import beside, bound_batches, crc_mod, read_documents, text_bytes
 
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 12, 6
-DOCS_PER_LANGUAGE, WINDOWS_PER_DOC, MAX_LANGUAGES = 500, 4, 512
+DOCS_PER_LANGUAGE, WINDOWS_PER_DOC = 500, 4
 EPOCHS, BATCH, RATE = 6, 64, 0.01
 UNKNOWN = "und"
 #: Windows in one pass; keeps what it makes in the cache.
@@ -125,18 +125,21 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def fit(documents: DataFrame) -> ByteNet | None:
     """Learn from documents with a text and a lang; None where there are none."""
     known = documents.where("text is not null and lang is not null and length(text) > 0").select("doc_id", "lang", "text")
-    counts = [(r["lang"], r["count"]) for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
+    counts = [(r["lang"], r["count"]) for r in known.groupBy("lang").count().collect()]
     if not counts:
         return None
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
     limit = F.create_map(*[x for name, n in counts for x in (F.lit(name), F.lit(max(1, int(min(1.0, DOCS_PER_LANGUAGE / n) * (1 << 20)))))])
     chosen = known.where(draw < limit[F.col("lang")])
     place = lambda k: F.lit(1) + F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length("text") - WINDOW // 2, F.lit(1))).cast("int")
-    rows = chosen.select("doc_id", "lang", F.array(*(F.substring("text", place(k), F.lit(WINDOW)) for k in range(WINDOWS_PER_DOC))).alias("parts")).toPandas().sort_values("doc_id", kind="stable")
+    parts = F.array(*(F.substring("text", place(k), F.lit(WINDOW)) for k in range(WINDOWS_PER_DOC)))
+    # a hard bound, as rows may repeat an id; the order is by hash, so that no language goes first
+    some = chosen.select("doc_id", "lang", parts.alias("parts")).withColumn("h", F.xxhash64("doc_id", "parts", F.lit(7)))
+    rows = some.orderBy("h", "lang").limit(2 * DOCS_PER_LANGUAGE * len(counts)).select("lang", "parts").toArrow()
     names = sorted(name for name, _ in counts)
     windows, labels = [], []
-    for lang, parts in zip(rows["lang"], rows["parts"], strict=True):
-        for part in parts:
+    for lang, texts in zip(rows.column("lang").to_pylist(), rows.column("parts").to_pylist(), strict=True):
+        for part in texts:
             raw = np.frombuffer(part.encode()[:WINDOW], np.uint8)
             windows.append(np.pad(raw, (0, WINDOW - len(raw))))
             labels.append(names.index(lang))
@@ -149,8 +152,9 @@ def identify(documents: DataFrame, net: ByteNet | None, keep: list[str]) -> Data
     """The columns in keep, lang_pred and lang_score."""
     spark = documents.sparkSession
     bound_batches(spark)
+    keep = beside(keep, ["lang_pred", "lang_score"])
     given = documents.select(*dict.fromkeys([*keep, "text"]))
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in given.schema if f.name in keep)
+    schema = "".join(f"`{given.schema[c].name}` {given.schema[c].dataType.simpleString()}, " for c in keep)
     held = spark.sparkContext.broadcast(net)
 
     def run(batches):
