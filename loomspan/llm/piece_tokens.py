@@ -10,7 +10,7 @@ No entry of the vocabulary crosses from another character to a space mark, so a
 and units are kept in a bounded cache; if a model has such an entry, the whole text is one unit.
 
 Defined results: null and empty texts have no tokens and decode to the empty text; repeated rows, null ids and
-extra columns pass through; texts of any length are encoded whole; a model with a normalizer is refused.
+extra columns pass through, but for kept ones named like an output, which give way; texts of any length are encoded whole; a model with a normalizer is refused.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from loomspan.llm.common import bound_batches, read_documents, trimmed
+from loomspan.llm.common import beside, bound_batches, read_documents, trimmed
 
 MARK = "▁"
 _CACHE_MAX, _CACHED_LEN = 400_000, 48
@@ -258,8 +258,9 @@ def tokenizer(model_file: str, units: int | None = None) -> PieceTokenizer:
 def encode(documents: DataFrame, keep: list[str], model_file: str | None = None) -> DataFrame:
     """The columns in keep, the token ids of text (array<int>), and the text decoded from them."""
     bound_batches(documents.sparkSession)
+    keep = beside(keep, ["ids", "decoded"])
     given = documents.select(*dict.fromkeys([*keep, "text"]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema if f.name in keep)
+    schema = "".join(f"`{given.schema[c].name}` {given.schema[c].dataType.simpleString()}, " for c in keep)
     path = model_file or default_model()
 
     def run(batches):
@@ -268,15 +269,16 @@ def encode(documents: DataFrame, keep: list[str], model_file: str | None = None)
             rows = [tok.encode(x) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(rows, pa.list_(pa.int32())), pa.array([tok.decode(r) for r in rows], pa.string())], names=[*keep, "ids", "decoded"])
 
-    return given.mapInArrow(trimmed(run), f"{schema}, ids array<int>, decoded string")
+    return given.mapInArrow(trimmed(run), f"{schema}ids array<int>, decoded string")
 
 
 def digest(documents: DataFrame, keep: list[str], model_file: str | None = None, units: int | None = None) -> DataFrame:
     """As encode, but only the number of ids and the SHA-256 of the ids and of the decoded text. units: how many
     units a worker keeps at hand (twice), about 350 bytes each."""
     bound_batches(documents.sparkSession)
+    keep = beside(keep, ["n_tokens", "ids_sha256", "decoded_sha256"])
     given = documents.select(*dict.fromkeys([*keep, "text"]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema if f.name in keep)
+    schema = "".join(f"`{given.schema[c].name}` {given.schema[c].dataType.simpleString()}, " for c in keep)
     path = model_file or default_model()
 
     def run(batches):
@@ -294,7 +296,7 @@ def digest(documents: DataFrame, keep: list[str], model_file: str | None = None,
                 gc.enable()
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return given.mapInArrow(trimmed(run), f"{schema}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return given.mapInArrow(trimmed(run), f"{schema}n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
