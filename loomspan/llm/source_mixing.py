@@ -10,8 +10,9 @@ sums, so the documents themselves are read once more and never shuffled.
 
 Defined results: a token is a run of characters other than space, tab, CR and LF; a null text has none; a null
 source is a source; sources without tokens take no part in the weights and give their documents once; documents with
-equal doc_id (null counts as 'null') have one place and are in or out together; an empty table gives an empty
-result. Columns to carry along are named by the caller.
+equal doc_id (null counts as 'null') have one place and are in or out together, repeated rows each; texts of any length
+are counted whole; an empty table gives an empty result. Columns to carry along are named by the caller; one named like
+an output gives way to it, and a prefix for the outputs avoids that. Names that begin with __mix_ are the operator's.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm.common import read_documents, stage
+from loomspan.llm.common import beside, read_documents, stage
 
 STEPS, SECTIONS = 1 << 20, 16
 #: Documents in a block, about.
@@ -104,18 +105,23 @@ def budgets(sized: DataFrame, entropy_share: float, max_epochs: float, whole: bo
     return stage(out.select("of", "epochs", "blocks", F.coalesce("cut_block", F.lit(-1)).alias("cut_block"), F.coalesce("cut_place", F.lit(-1)).alias("cut_place")), "budgets"), small
 
 
-def mix_sources(documents: DataFrame, keep: list[str], entropy_share: float = ENTROPY_SHARE, max_epochs: float = MAX_EPOCHS, whole: bool = False) -> DataFrame:
-    """The columns in keep, and epoch, block, place and n_tokens, once for every time a document is to be read; in
-    order of epoch, block, place each source is a permutation of its documents. entropy_share: target entropy
-    as a share of that of equal weights. whole: raise the budget from the number of tokens there are until no
-    document is left out."""
+def mix_sources(documents: DataFrame, keep: list[str], entropy_share: float = ENTROPY_SHARE, max_epochs: float = MAX_EPOCHS, whole: bool = False, prefix: str = "") -> DataFrame:
+    """The columns in keep, and epoch, block, place and n_tokens (their names with a prefix, if given), once for every
+    time a document is to be read; in order of epoch, block, place each source is a permutation of its documents.
+    entropy_share: target entropy as a share of that of equal weights. whole: raise the budget from the number of
+    tokens there are until no document is left out."""
+    outputs = [f"{prefix}{c}" for c in ("epoch", "block", "place", "n_tokens")]
+    keep = beside(keep, outputs)
     given = documents.select(*dict.fromkeys([*keep, "doc_id", "source", "text"]))
     sized = stage(given.select("doc_id", "source", count_tokens(F.col("text")).alias("n_tokens")), "sized")
     plan, small = budgets(sized, entropy_share, max_epochs, whole)
-    rows = given.join(F.broadcast(plan) if small else plan, F.col("source").eqNullSafe(F.col("of")))
-    rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("epochs")))).withColumn("place", _place(F.col("doc_id"), F.col("epoch"))).withColumn("block", F.pmod("place", "blocks"))
-    rows = rows.where("epoch < epochs or block < cut_block or (block = cut_block and place <= cut_place)")
-    return rows.select(*keep, F.col("epoch").cast("int").alias("epoch"), "block", "place", count_tokens(F.col("text")).alias("n_tokens"))
+    plan = plan.select(*(F.col(c).alias(f"__mix_{c}") for c in plan.columns))
+    rows = given.join(F.broadcast(plan) if small else plan, F.col("source").eqNullSafe(F.col("__mix_of")))
+    rows = rows.withColumn("__mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__mix_epochs"))))
+    rows = rows.withColumn("__mix_place", _place(F.col("doc_id"), F.col("__mix_epoch"))).withColumn("__mix_block", F.pmod("__mix_place", "__mix_blocks"))
+    rows = rows.where("__mix_epoch < __mix_epochs or __mix_block < __mix_cut_block or (__mix_block = __mix_cut_block and __mix_place <= __mix_cut_place)")
+    made = [F.col("__mix_epoch").cast("int"), F.col("__mix_block"), F.col("__mix_place"), count_tokens(F.col("text"))]
+    return rows.select(*keep, *(c.alias(name) for c, name in zip(made, outputs, strict=True)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
