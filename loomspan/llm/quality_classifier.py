@@ -3,11 +3,16 @@
 Words and punctuation runs, their shapes, and pairs of neighbours of both are hashed into one table of
 weights; a pair of shapes also says whether the word is repeated. A score is the sigmoid of the mean weight of a text's features plus a bias: a sparse dot product.
 
+The sample to learn from is bounded: ROWS_PER_CLASS documents of each class, about, chosen by a hash of doc_id, never
+more than twice as many, nor more than SAMPLE_FEATURES features in all. What reaches the driver are counts of hashed
+features, packed; no texts.
+
 Defined results: a null or empty text has no features and gets the sigmoid of the bias; a null doc_id counts
-as the text 'null' when folds are dealt; repeated rows are scored each; an empty table gives an empty result;
-without labelled rows every score is 0.5. Only doc_id, text (and doc_id, quality of the labels) are read, so
-other columns, whatever their names, do no harm. Labels that are null are not learned from; if a doc_id has
-several labels each counts as a row.
+as the text 'null' when folds are dealt; repeated rows are scored each; texts of any length are scored whole; an empty
+table gives an empty result; without labelled rows every score is 0.5. Only doc_id, text (and doc_id, quality of the
+labels) are read, so other columns, whatever their names, do no harm; a kept column named like the score gives way to
+it. Labels that are null are not learned from; if a doc_id has several labels each counts as a row; equal rows of the
+sample count once.
 """
 
 from __future__ import annotations
@@ -17,14 +22,15 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm.common import bound_batches, crc_mod, read_documents, trimmed
+from loomspan.llm.common import beside, bound_batches, crc_mod, drop_path, read_documents, stage, trimmed
 
 BITS = 18
-#: Bound of the training sample: labelled rows of each class, about (they are chosen by hash).
-ROWS_PER_CLASS = 4000
+#: Bounds of the training sample: labelled rows of each class, about, and features of all rows.
+ROWS_PER_CLASS, SAMPLE_FEATURES = 4000, 20_000_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 1e-6, 1e-6
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -91,19 +97,28 @@ class Ftrl:
         return self._weights(slice(None)).astype(np.float32)
 
 
-def train(texts: list[str | None], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights (bias last) learned from texts; rows in an order fixed by a seed."""
-    make, model = Featurizer(), Ftrl()
-    rows = []
-    for text in texts:
-        found = make(text)
-        index, count = np.unique(found, return_counts=True)
-        value = count / max(len(found), 1)
-        rows.append((np.append(index, 1 << BITS), np.append(value * 20, 1.0)))
-    order = np.random.default_rng(1)
+def pack(index: np.ndarray) -> bytes:
+    """A text's features as distinct indexes with their counts, by byte planes, compressed."""
+    found, count = np.unique(index, return_counts=True)
+    both = np.concatenate([np.diff(found, prepend=0), count]).astype("<u4")
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(both.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes and counts."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data, max_output_size=8 << BITS), np.uint8)
+    both = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+    return np.cumsum(both[: len(both) // 2], dtype=np.int64), both[len(both) // 2 :]
+
+
+def train(rows: list[bytes], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
+    """Weights (bias last) learned from packed features; rows in an order fixed by a seed."""
+    model, order = Ftrl(), np.random.default_rng(1)
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
-            model.learn(*rows[i], float(labels[i]), float(weights[i]))
+            index, count = unpack(rows[i])
+            value = 20 * count / max(int(count.sum()), 1)
+            model.learn(np.append(index, 1 << BITS), np.append(value, 1.0), float(labels[i]), float(weights[i]))
     return model.weights()
 
 
@@ -115,25 +130,44 @@ def score_texts(texts: list[str | None], weights: np.ndarray, make: Featurizer)
     return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def fit(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> np.ndarray:
-    """Learn from labelled documents. Each class gives about rows_per_class rows at most, chosen by a hash
-    of doc_id and weighted so that the classes keep their shares."""
+def _counted(batches):
+    make = Featurizer()
+    for batch in batches:
+        index = [make(t) for t in batch.column("text").to_pylist()]
+        rows = [pack(i) for i in index]
+        place = [xxhash.xxh64_intdigest(r, seed=h & 0xFFFFFFFF) >> 1 for r, h in zip(rows, batch.column("h").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(place, pa.int64()), pa.array([len(i) for i in index], pa.int64()), pa.array(rows, pa.binary())], names=["quality", "place", "n", "features"])
+
+
+def fit(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS, features: int = SAMPLE_FEATURES) -> np.ndarray:
+    """Learn from labelled documents, weighted so that the classes keep their shares."""
+    spark = documents.sparkSession
+    bound_batches(spark)
     known = labels.where("quality in (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality"))
     counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
+    none = np.zeros((1 << BITS) + 1, np.float32)
     if not counts:
-        return np.zeros((1 << BITS) + 1, np.float32)
-    share = {k: min(1.0, rows_per_class / n) for k, n in counts.items()}
+        return none
     kept = F.lit(False)
-    for k, s in share.items():
-        kept = kept | ((F.col("quality") == k) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(s * (1 << 20))))
-    chosen = known.where(kept)
+    for k, n in counts.items():
+        kept = kept | ((F.col("quality") == k) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(min(1.0, rows_per_class / n) * (1 << 20))))
+    chosen = known.where(kept).distinct()
     if chosen.count() <= 4 * rows_per_class * len(counts):  # else labels repeat ids, and the join is left to the planner
         chosen = F.broadcast(chosen)
-    sample = documents.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "quality").toPandas()
-    sample = sample.sort_values(["doc_id", "quality"], kind="stable").drop_duplicates(["doc_id", "quality", "text"])
-    quality = sample["quality"].to_numpy()
-    weights = np.array([1 / max(share[q], 1e-9) for q in quality])
-    return train(sample["text"].tolist(), quality, weights / max(weights.mean(), 1e-9) if len(weights) else weights)
+    found = documents.select("doc_id", "text").join(chosen, "doc_id").select("text", "quality", F.xxhash64("doc_id").alias("h"))
+    counted = found.mapInArrow(trimmed(_counted), "quality int, place bigint, n bigint, features binary")
+    sample = stage(counted.dropDuplicates(["quality", "place"]), "sample")
+    # where the bounds fall: sizes first, then the rows before that
+    sizes = sample.select("place", "n").orderBy("place").limit(2 * rows_per_class * len(counts)).toArrow()
+    place, upto = sizes.column("place").to_numpy(), np.cumsum(sizes.column("n").to_numpy())
+    place = place[upto <= features]
+    if not len(place):
+        return none
+    rows = sample.where(F.col("place") <= int(place[-1])).toArrow().sort_by([("place", "ascending"), ("quality", "ascending")])
+    drop_path(spark, sample.staged_path)
+    quality = rows.column("quality").to_numpy()
+    weights = np.array([counts[q] for q in quality]) / np.bincount(quality, minlength=2)[quality]
+    return train(rows.column("features").to_pylist(), quality, weights / weights.mean())
 
 
 def score(documents: DataFrame, weights: np.ndarray, keep: list[str], into: str = "quality_score") -> DataFrame:
@@ -141,9 +175,9 @@ def score(documents: DataFrame, weights: np.ndarray, keep: list[str], into: str
     spark = documents.sparkSession
     bound_batches(spark)
     held = spark.sparkContext.broadcast(weights)
-    columns = [*dict.fromkeys([*keep, "text"])]
-    given = documents.select(*columns)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema if f.name in keep)
+    keep = beside(keep, [into])
+    given = documents.select(*dict.fromkeys([*keep, "text"]))
+    schema = "".join(f"`{given.schema[c].name}` {given.schema[c].dataType.simpleString()}, " for c in keep)
 
     def scored(batches):
         make = Featurizer()
@@ -151,7 +185,7 @@ def score(documents: DataFrame, weights: np.ndarray, keep: list[str], into: str
             got = score_texts(batch.column("text").to_pylist(), held.value, make)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(got)], names=[*keep, into])
 
-    return given.mapInArrow(trimmed(scored), f"{schema}, `{into}` double")
+    return given.mapInArrow(trimmed(scored), f"{schema}`{into}` double")
 
 
 def learned_fold(documents: DataFrame, labels: DataFrame) -> DataFrame:
