@@ -3,11 +3,17 @@
 Stages: quality (what the classifier rejects goes), near_duplicates (of a group of near copies the smallest doc_id
 stays), passages (passages that a smaller document has are cut out), mixing (small sources are read up to twice,
 every document at least once), tokens (ids of each text, as counts and digests).
+
+Every stage but the last returns the columns it is given, whatever their names; names that begin with __ are its own.
+Defined results: null and empty texts are scored by the classifier's bias, are near copies of nothing, come out of passages
+empty, are read once and have no tokens; rows without doc_id are never copies of others, lose what any document with an
+id has too, and are dealt as 'null'; of rows with one doc_id, near_duplicates keeps the first by text, then by the other
+columns; very long texts are worked on whole; ties go to the smaller doc_id; empty tables give empty tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomspan.llm import near_duplicates, piece_tokens, quality_classifier, source_mixing, suffix_dedup
@@ -32,27 +38,28 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, and one row of each doc_id; rows without doc_id stay."""
     found = stage(near_duplicates.near_duplicates(docs), "near")
     each = found.where("doc_id is not null").groupBy("doc_id").agg(F.first("kept").alias("kept"), F.count("*").alias("n"))
-    odd = stage(each.where("not kept or n > 1").select(F.col("doc_id").alias("__id"), "kept"), "odd")
+    odd = stage(each.where("not kept or n > 1").select(F.col("doc_id").alias("__id"), F.col("kept").alias("__kept")), "odd")
     # Most documents are not in the list, which a small filter tells without moving them.
     maybe = near_duplicates.maybe_in(docs, "doc_id", odd.select(F.col("__id").alias("id")))
     sure = maybe.where("not __maybe").select(*docs.columns)
-    rest = maybe.where("__maybe").select(*docs.columns).join(odd, F.col("doc_id") == F.col("__id"), "left")
+    rest = maybe.where("__maybe").join(odd, F.col("doc_id") == F.col("__id"), "left")
     plain = rest.where("__id is null").select(*docs.columns)
-    ordered = rest.where("kept").selectExpr("*", "row_number() over (partition by doc_id order by text) __row")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", F.to_json(F.struct(*docs.columns))))
+    ordered = rest.where("__kept").withColumn("__row", first)
     return sure.union(plain).union(ordered.where("__row = 1").select(*docs.columns))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a smaller doc_id has; those of which nothing is left go."""
     keep = [c for c in docs.columns if c != "text"]
-    left = suffix_dedup.remove_repeats(docs, keep, as_text=True).where("n_bytes = 0 or n_removed < n_bytes")
-    columns = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    left = suffix_dedup.remove_repeats(docs, keep, as_text=True, prefix="__").where("__n_bytes = 0 or __n_removed < __n_bytes")
+    columns = {"text": F.col("__kept_text"), "n_chars": F.length("__kept_text").cast("long")}
     return left.select(*(columns.get(c, F.col(c)).alias(c) for c in docs.columns))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents mixed to 95 % of the entropy of equal source weights, or as far as MAX_EPOCHS allows."""
-    return source_mixing.mix_sources(docs, docs.columns, max_epochs=MAX_EPOCHS, whole=True).select(*docs.columns)
+    return source_mixing.mix_sources(docs, docs.columns, max_epochs=MAX_EPOCHS, whole=True, prefix="__").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
