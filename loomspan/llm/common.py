@@ -40,6 +40,28 @@ def stage(df: DataFrame, name: str, codec: str = "zstd", file_rows: int = 0) ->
     return out
 
 
+#: Fewer than so many keys are dealt to several tasks each; a key with fewer rows than this many never is.
+HOT_KEYS, HOT_ROWS = 1000, 10_000
+
+
+def spread(rows: DataFrame, column: str, table: DataFrame, how: str = "inner", rows_of: DataFrame | None = None) -> DataFrame:
+    """rows joined with a table that is unique by the column. Keys that more than a thousandth of the rows have (less than
+    HOT_KEYS of them, so their list is broadcast) are dealt to many tasks. rows should be a staged table, or rows_of a
+    staged one with as many rows and the same keys."""
+    counted = rows if rows_of is None else rows_of
+    most = max(counted.count() // HOT_KEYS, HOT_ROWS)
+    if counted.count() <= most:
+        return rows.join(table, column, how)
+    hot = counted.groupBy(column).agg(F.count("*").alias("__n")).where(F.col("__n") > most)
+    hot = F.broadcast(hot.select(F.col(column).alias("__key"), F.ceil(F.col("__n") / most).cast("int").alias("__parts")))
+    parts = F.coalesce("__parts", F.lit(1))
+    # rows without a key find nothing, and are dealt out too
+    dealt = F.when(F.col(column).isNull(), HOT_KEYS).otherwise(parts)
+    left = rows.join(hot, F.col(column) == F.col("__key"), "left").withColumn("__salt", F.pmod(F.monotonically_increasing_id(), dealt).cast("int")).drop("__key", "__parts")
+    right = table.join(hot, F.col(column) == F.col("__key"), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__key", "__parts")
+    return left.join(right, [column, "__salt"], how).drop("__salt")
+
+
 def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Limit the session's Arrow batches to so many bytes, unless they are smaller already; whole rows always stay
     whole. The limit stays, as the frames that operators return are run later."""

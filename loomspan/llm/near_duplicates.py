@@ -6,16 +6,18 @@ of the signature. Bands of four coordinates give candidates, which are confirmed
 
 Texts with equal sets are one class, held by its smallest document. The smallest class of a band bucket is its
 pivot; each class is first held against the pivots of its buckets, and the likeliest by signature is confirmed. That
-joins most of what belongs together with one pair for each class. Buckets that overlap make a group; where a group's
-classes are not all in one component by then, those outside its largest component are compared with all others,
-block by block: signatures leave out what cannot reach the threshold, full sets decide, and a task reports no more
-links than join the components it has seen. So every pair of classes that shares a bucket is confirmed, refuted, or
-inside one component. There is no cap; groups of more than GROUP classes are compared bucket by bucket instead.
+joins most of what belongs together with one pair for each class. Where the classes of a bucket are not all in one
+component by then, they are open, and open buckets that overlap make a group. In a group those outside its largest
+component are compared with all others, block by block: of pairs that share a bucket, signatures leave out what cannot
+reach the threshold, full sets decide, and a task reports no more links than join the components it has seen. So every
+pair of classes that shares a bucket is confirmed, refuted, or inside one component. Groups of more than GROUP classes
+are laid out bucket by bucket instead, which compares the same pairs. Blocks are bounded in rows and in bytes.
 
 Defined results: a null or empty text, or one of white space only, has an empty set and is linked with nothing;
 fewer than five words are one shingle; rows with equal doc_id and different texts are linked by having one id;
-a null doc_id takes no part in links and is kept; an empty table gives an empty result. Only doc_id and text are
-read. Shingles are compared as 64-bit hashes.
+a null doc_id takes no part in links and is kept; texts of any length are taken whole; an empty table gives an empty
+result. Only doc_id and text are read, so other columns, whatever their names, do no harm. Shingles are compared as 64-bit
+hashes.
 """
 
 from __future__ import annotations
@@ -28,19 +30,20 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm.common import bound_batches, drop_path, read_documents, stage, trimmed
-from loomspan.llm.components import components
+from loomspan.llm.common import bound_batches, drop_path, read_documents, spread, stage, trimmed
+from loomspan.llm.components import components, follow
 
 WORDS, THRESHOLD_PERCENT = 5, 75
 HASHES, BAND = 128, 4
-#: Classes in one block of a group, about, and in a group that is compared as a whole.
-BLOCK, GROUP = 256, 100_000
+#: Classes and shingles in one block of a group, about, and classes in a group that is laid out as a whole.
+BLOCK, BLOCK_SHINGLES, GROUP = 256, 1 << 20, 100_000
 #: Rows of a table of groups (a few numbers each) up to which it is broadcast.
 BROADCAST_GROUPS = 100_000
 #: Share of equal signature bytes below which a pair is not confirmed: five standard deviations under 0.75.
 SKETCH_FLOOR = 0.55
-#: 64-bit words of the filter that goes before the join of texts with candidates: 16 MB at most.
-FILTER_WORDS = 1 << 20
+#: 64-bit words of the filter that goes before the join of texts with candidates, and words in one row of it: 16 MB at
+#: most in 16384 rows.
+FILTER_WORDS, FILTER_ROW = 1 << 20, 64
 _SPLIT = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _CACHE_MAX = 200_000
@@ -143,18 +146,22 @@ def sketch(documents: DataFrame) -> DataFrame:
 
 
 def _marked(ids: DataFrame) -> DataFrame:
-    """A one-hash filter of column id: 64-bit words by number. At most FILTER_WORDS rows, whatever the input."""
+    """A one-hash filter of column id: rows of 64-bit words by number. As large as FILTER_WORDS allows at most."""
     h = F.pmod(F.xxhash64("id"), F.lit(FILTER_WORDS * 64))
-    return ids.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
+    words = ids.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    row = F.map_from_entries(F.collect_list(F.struct(F.pmod("word", F.lit(FILTER_ROW)).cast("int"), "bits")))
+    return words.groupBy(F.expr(f"word div {FILTER_ROW}").alias("row")).agg(row.alias("words"))
 
 
 def maybe_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """rows with __maybe: false only where the column is not in ids (column id). Nothing is shuffled."""
     h = F.pmod(F.xxhash64(column), F.lit(FILTER_WORDS * 64))
-    hit = F.call_function("shiftright", F.col("__bits"), h.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
-    words = _marked(ids).withColumnsRenamed({"word": "__word", "bits": "__bits"})
-    tried = rows.join(F.broadcast(words), F.shiftright(h, 6) == F.col("__word"), "left")
-    return tried.withColumn("__maybe", F.coalesce(hit, F.lit(False))).drop("__word", "__bits")
+    word = F.try_element_at(F.col("__words"), F.pmod(F.shiftright(h, 6), F.lit(FILTER_ROW)).cast("int"))
+    hit = F.call_function("shiftright", word, h.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    marked = _marked(ids).withColumnsRenamed({"row": "__row", "words": "__words"})
+    tried = rows.join(F.broadcast(marked), F.shiftright(h, 6 + FILTER_ROW.bit_length() - 1) == F.col("__row"), "left")
+    return tried.withColumn("__maybe", F.coalesce(hit, F.lit(False))).drop("__row", "__words")
 
 
 def _sets(ids: DataFrame, documents: DataFrame) -> DataFrame:
@@ -177,8 +184,8 @@ def _confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """Of the pairs a, b (documents), those whose full sets reach the threshold."""
     sets = _sets(pairs.selectExpr("a id").union(pairs.selectExpr("b id")), documents)
     # A document in many pairs is copied once for 64 of them, so that no key gathers them all.
-    degree = stage(pairs.groupBy("a").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts")), "degree")
-    dealt = pairs.join(degree, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts"))
+    dealt = spread(pairs, "a", degree).withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
     left = sets.join(degree, sets.doc_id == degree.a).select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("s").alias("sa"))
     both = dealt.select("a", "b", "part").join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b").join(left, ["a", "part"])
     inter = F.size(F.array_intersect("sa", "sb"))
@@ -199,12 +206,12 @@ def _alike(batches):
 
 
 def _compare(batches):
-    """Rows of two blocks x and y of members (id, component, sketch, set): links between different components of
-    members of x and members of y, as many as it takes to join what is linked."""
+    """Rows of two blocks x and y of members (id, component, bands, sketch, set): links between different components of
+    members of x and members of y that share a bucket, as many as it takes to join what is linked."""
     for batch in batches:
         found_a, found_b = [], []
         for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-            (ia, ca, ka, sa), (ib, cb, kb, sb) = _members(x), _members(y)
+            (ia, ca, ba, ka, sa), (ib, cb, bb, kb, sb) = _members(x), _members(y)
             size = np.array([len(v) for v in sb], np.int64)
             joined: dict[int, int] = {}
 
@@ -218,6 +225,7 @@ def _compare(batches):
                 near = np.flatnonzero((cb != ca[i]) & (100 * np.minimum(size, n) >= THRESHOLD_PERCENT * np.maximum(size, n)))
                 alike = (kb[near] == ka[i]).mean(axis=1)
                 near = near[np.argsort(-alike, kind="stable")[: int((alike >= SKETCH_FLOOR).sum())]]
+                near = near[(bb[near] == ba[i]).any(axis=1)]
                 for at in range(0, len(near), 64):
                     some = [j for j in near[at : at + 64].tolist() if top(int(cb[j])) != top(int(ca[i]))]
                     if not some:
@@ -235,12 +243,13 @@ def _compare(batches):
 
 
 def _members(block: pa.Scalar):
-    """Ids, components, sketches and sets of a block."""
+    """Ids, components, bands, sketches and sets of a block."""
     v = block.values
     sets, offsets = v.field("s").flatten().to_numpy(), v.field("s").offsets.to_numpy()
     offsets = offsets - offsets[0]
     look = np.frombuffer(b"".join(v.field("sketch").to_pylist()), np.uint8).reshape(len(v), HASHES)
-    return v.field("id").to_numpy(), v.field("component").to_numpy(), look, [np.sort(sets[p:q].view(np.uint64)) for p, q in zip(offsets[:-1], offsets[1:], strict=True)]
+    bands = v.field("bands").flatten().to_numpy().reshape(len(v), HASHES // BAND)
+    return v.field("id").to_numpy(), v.field("component").to_numpy(), bands, look, [np.sort(sets[p:q].view(np.uint64)) for p, q in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
 def _hinted(table: DataFrame) -> DataFrame:
@@ -248,26 +257,30 @@ def _hinted(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_GROUPS else table
 
 
-def _rest(members: DataFrame, looks: DataFrame, labels: DataFrame, documents: DataFrame) -> DataFrame:
-    """Links between classes of one group that are in different components."""
+def _rest(members: DataFrame, held: DataFrame, labels: DataFrame, documents: DataFrame) -> DataFrame:
+    """Links between classes that share a bucket and are in different components."""
     spark = members.sparkSession
-    groups = components(members.selectExpr("pivot a", "id b")).selectExpr("node id", "component grp")
-    named = groups.join(labels, F.col("id") == F.col("node"), "left").select("id", "grp", F.coalesce("component", "id").alias("component"))
-    counted = named.groupBy("grp", "component").agg(F.count("*").alias("n")).groupBy("grp").agg(F.sum("n").alias("n"), F.count("*").alias("parts"))
-    mixed = _hinted(stage(counted.where("parts > 1").select("grp", (F.col("n") > GROUP).alias("large")), "mixed"))
-    open_ = stage(named.join(mixed, "grp").select("id", "grp", "large", "component"), "open")
+    placed = members.join(labels, F.col("id") == F.col("node"), "left").select("bucket", "pivot", "id", F.coalesce("component", "id").alias("component"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+    open_ = stage(placed.join(mixed, "bucket"), "open")
     if open_.isEmpty():
         return spark.createDataFrame([], "a bigint, b bigint")
+    groups = components(open_.selectExpr("pivot a", "id b")).selectExpr("node id", "component grp")
+    named = stage(open_.select("id", "component").distinct().join(groups, "id"), "named")
+    large = _hinted(stage(named.groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("grp"), "large"))
     # the key of a group: its own number, or each bucket's if it is large
-    keyed = open_.where("not large").select(F.struct(F.lit(0).alias("kind"), F.col("grp").alias("of")).alias("key"), "id", "component")
-    large = open_.where("large").join(members.select("bucket", "id"), "id").select(F.struct(F.lit(1).alias("kind"), F.col("bucket").alias("of")).alias("key"), "id", "component")
-    keyed = stage(keyed.union(large), "keyed")
-    sizes = keyed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"))
-    sizes = stage(sizes.selectExpr("key", "main", f"int(ceil(n / double({BLOCK}))) blocks", f"int(ceil((n - most) / double({BLOCK}))) outer").where("outer > 0"), "sizes")
+    whole = named.join(large, "grp", "left_anti").select(F.struct(F.lit(0).alias("kind"), F.col("grp").alias("of")).alias("key"), "id", "component")
+    parts = open_.join(named.join(large, "grp").select("id"), "id").select(F.struct(F.lit(1).alias("kind"), F.col("bucket").alias("of")).alias("key"), "id", "component")
+    keyed = stage(whole.union(parts).join(held.select("id", "size"), "id"), "keyed")
+    sizes = keyed.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("size").alias("m"))
+    # the largest component is the main one; blocks are as many as rows or shingles make necessary
+    sizes = sizes.groupBy("key").agg(F.max_by(F.struct("component", "n", "m"), F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.sum("m").alias("m"))
+    count = lambda n, m: F.ceil(F.greatest(n / F.lit(float(BLOCK)), m / F.lit(float(BLOCK_SHINGLES)))).cast("int")
+    sizes = sizes.where("n > main.n").select("key", "main.component", count(F.col("n"), F.col("m")).alias("blocks"), count(F.col("n") - F.col("main.n"), F.col("m") - F.col("main.m")).alias("outer"))
+    sizes = stage(sizes.withColumnRenamed("component", "main"), "sizes")
     sets = _sets(keyed.select("id"), documents)
-    full = keyed.join(_hinted(sizes), "key").join(looks.select("id", "sketch"), "id").join(sets, F.col("id") == F.col("doc_id"))
-    full = stage(full.select("key", "main", "blocks", "outer", F.struct("id", "component", "sketch", "s").alias("m")), "full", codec="lz4")
+    full = keyed.join(_hinted(sizes), "key").join(held.select("id", "bands", "sketch"), "id").join(sets, F.col("id") == F.col("doc_id"))
+    full = stage(full.select("key", "main", "blocks", "outer", F.struct("id", "component", "bands", "sketch", "s").alias("m")), "full", codec="lz4")
     place = F.xxhash64("m.id")
     every = full.groupBy("key", F.pmod(place, "blocks").alias("j")).agg(F.first("outer").alias("outer"), F.collect_list("m").alias("y"))
     outside = full.where("m.component <> main").groupBy("key", F.pmod(place, "outer").cast("int").alias("i")).agg(F.collect_list("m").alias("x"))
@@ -277,32 +290,38 @@ def _rest(members: DataFrame, looks: DataFrame, labels: DataFrame, documents: Da
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of documents."""
-    spark = documents.sparkSession
     known = stage(sketch(documents.where("doc_id is not null")), "sketch")
     classes = stage(known.where("set_hash is not null").groupBy("set_hash").agg(F.min("doc_id").alias("id")), "classes")
-    # A class is looked up by its smallest document; if that id has several texts, by any of them.
-    held = known.join(classes, "set_hash").where("doc_id = id").dropDuplicates(["set_hash"]).select("id", F.col("n_shingles").alias("size"), "bands", "sketch")
-    held = stage(held, "held")
+    # A class is looked up by its smallest document; if that id has several rows, by any of them. Joined by both, so that
+    # copies of one text are dealt to many tasks.
+    same = (F.col("doc_id") == F.col("id")) & (known["set_hash"] == F.col("class"))
+    held = known.join(classes.withColumnRenamed("set_hash", "class"), same).dropDuplicates(["doc_id", "set_hash"])
+    held = stage(held.select("id", F.col("n_shingles").alias("size"), "bands", "sketch"), "held")
     looks = held.select("id", "size", "sketch")
     rows = held.select("id", F.explode("bands").alias("bucket"))
     full = rows.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("top")).where("pivot < top")
     members = stage(rows.join(full.select("bucket", "pivot"), "bucket").select("bucket", "pivot", "id").distinct(), "members")
     star = members.where("id <> pivot").selectExpr("pivot a", "id b").distinct()
-    star = star.join(looks.selectExpr("id b", "size nb", "sketch kb"), "b").join(looks.selectExpr("id a", "size na", "sketch ka"), "a")
+    star = star.join(looks.selectExpr("id b", "size nb", "sketch kb"), "b")
+    star = spread(star, "a", looks.selectExpr("id a", "size na", "sketch ka"), rows_of=members.selectExpr("pivot a"))
     star = star.select("a", "b", "na", "nb", "ka", "kb").mapInArrow(_alike, "a bigint, b bigint, alike double")
     tried = stage(star.groupBy("b").agg(F.max_by("a", F.struct("alike", -F.col("a"))).alias("a")).select("a", "b"), "star")
-    links = _confirm(tried, documents)
+    # pivots are smaller than what points to them, so the links are a forest
+    labels = follow(stage(_confirm(tried, documents).selectExpr("b node", "a component"), "parents"))
+    more = _rest(members, held, labels, documents)
     # Rows that share a doc_id are one document.
-    copies = known.where("set_hash is not null").join(classes, "set_hash").where("doc_id <> id").selectExpr("id a", "doc_id b")
-    shared = copies.join(classes.selectExpr("id b"), "b", "left_semi").select("a", "b")
-    links = stage(links.union(shared), "links")
-    labels = components(links)
-    more = _rest(members, looks, labels, documents)
-    if not more.isEmpty():
-        labels = components(links.union(more))
-    top = classes.join(labels, F.col("id") == F.col("node"), "left").select("set_hash", F.coalesce("component", "id").alias("component_id"))
+    each = known.where("set_hash is not null").select("doc_id", "set_hash")
+    twice = each.groupBy("doc_id").agg(F.min("set_hash").alias("low"), F.max("set_hash").alias("high")).where("low < high").select("doc_id")
+    several = each.join(twice, "doc_id").join(classes, "set_hash").select("doc_id", "id").distinct()
+    several = several.join(several.groupBy("doc_id").agg(F.min("id").alias("a")), "doc_id").selectExpr("a", "id b")
+    found = more.union(several)
+    root = lambda c: labels.selectExpr(f"node {c}", f"component root_{c}")
+    drawn = found.join(root("a"), "a", "left").join(root("b"), "b", "left").selectExpr("coalesce(root_a, a) a", "coalesce(root_b, b) b")
+    joined = components(drawn)
+    top = classes.join(labels, F.col("id") == F.col("node"), "left").select("set_hash", F.coalesce("component", "id").alias("root"))
+    top = top.join(joined, F.col("root") == F.col("node"), "left").select("set_hash", F.coalesce("component", "root").alias("component_id"))
     top = stage(top, "tops")
-    out = known.select("doc_id", "n_shingles", "set_hash").join(top, "set_hash", "left")
+    out = spread(known.select("doc_id", "n_shingles", "set_hash"), "set_hash", top, "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     nulls = sketch(documents.where("doc_id is null")).select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("component_id"))
     return out.union(nulls).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -1,17 +1,25 @@
 import random
+import re
 
 import numpy as np
 import pytest
+from compare import SF
 
 from loomspan.llm import near_duplicates as nd
+from loomspan.llm import common
 from loomspan.llm.components import components
 
 
+def shingles(t):
+    """As the contract says, with sets of tuples of words."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    return {tuple(words)} if 0 < len(words) < 5 else {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
 def brute(rows):
-    make = nd.Shingler()
     sets = {}
     for i, t in rows:
-        sets.setdefault(i, []).append(frozenset(make(t).tolist()))
+        sets.setdefault(i, []).append(shingles(t))
     parent = {i: i for i in sets}
 
     def top(i):
@@ -67,13 +75,48 @@ def test_group_that_hangs_together_by_chains(spark, docs, monkeypatch):
 
 
 def test_large_groups_go_by_buckets(spark, docs, monkeypatch):
-    monkeypatch.setattr(nd, "GROUP", 3)
     draw = random.Random(2)
     base = text(draw, 150)
-    rows = [(i, changed(draw, base, draw.choice([2, 4, 8]))) for i in range(30)]
+    rows = [(i, changed(draw, base, draw.choice([2, 4, 8, 14]))) for i in range(40)]
+    want = brute(rows)
+    for limit in (3, 100_000):
+        monkeypatch.setattr(nd, "GROUP", limit)
+        assert {r.doc_id: r.component_id for r in nd.near_duplicates(docs(rows)).collect()} == want
+
+
+def test_long_texts_in_one_group_and_hot_keys(spark, docs, monkeypatch):
+    """Blocks are cut by shingles too, and frequent classes, pivots and roots are dealt to several tasks."""
+    monkeypatch.setattr(nd, "BLOCK_SHINGLES", 5000)
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    draw = random.Random(4)
+    base, other = text(draw, 3000), text(draw, 30)
+    rows = [(i, changed(draw, base, 95)) for i in range(14)] + [(100 + i, other) for i in range(20)] + [(200 + i, "") for i in range(9)]
+    rows += [(300, other), (300, "a b c d e f"), (301, "a b c d e f"), (301, base), (400, "g h i"), (300, "g h i")]
     assert {r.doc_id: r.component_id for r in nd.near_duplicates(docs(rows)).collect()} == brute(rows)
 
 
+def test_recall_of_pairs_at_the_threshold():
+    """Pairs with 75 to 77 of 100 shingles in common: nearly all share a bucket and pass the floor of the signature."""
+    draw = np.random.default_rng(3)
+    found = 0
+    for _ in range(400):
+        n = int(draw.integers(60, 600))
+        both = draw.integers(0, 1 << 63, n).astype(np.uint64)
+        k = int(n / draw.uniform(0.75, 0.77) - n)
+        a = np.sort(np.concatenate([both, draw.integers(0, 1 << 63, k // 2).astype(np.uint64)]))
+        b = np.sort(np.concatenate([both, draw.integers(0, 1 << 63, k - k // 2).astype(np.uint64)]))
+        sig = nd.signatures([a, b])
+        bands, low = nd._bands(sig), (sig >> np.uint32(8)).astype(np.uint8)
+        found += bool((bands[0] == bands[1]).any() and (low[0] == low[1]).mean() >= nd.SKETCH_FLOOR)
+    assert found >= 398
+
+
+def test_query_against_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got, want = nd.query(spark, SF).collect(), brute(rows)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == sorted((i, len(shingles(t)), want[i], want[i] == i) for i, t in rows)
+
+
 def test_nulls_empties_repeats_and_case(spark, docs):
     long = "One two three four five six seven " * 300
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "Hello"), (5, "hELLO"), (6, "hello there"), (7, long), (7, long), (7, "quite another text with seven words"), (9, "Quite ANOTHER text with seven words"), (None, "hello"), (None, None), (11, "É é"), (12, "é É")]
