@@ -6,8 +6,9 @@ residual with its part parallel to x weighed more, as that part moves the produc
 tables of partial products; two codes share a byte and so one look-up. The best by estimate are ranked again by the
 exact distance in double precision.
 
-Codebooks are learned from TRAIN_ROWS vectors at most, chosen by a hash of vec_id; every vector is coded. The queries
-go over the table of codes in blocks of QUERY_BLOCK, each broadcast by itself (1 MB for 64 dimensions). Of each
+Codebooks are learned from TRAIN_ROWS vectors, about, and never more than twice as many, those with the smallest hashes
+of vec_id; every vector is coded. PASS queries (32 MB for 64 dimensions) are broadcast and go over the table of codes
+together, so that it is read once for so many; a task works on QUERY_BLOCK of them at a time. Of each
 batch of vectors the RERANK best by estimate are measured exactly; then every other vector whose code and residual
 norm do not prove it farther than the nearest measured so far. So ranks are exact; RERANK only decides how soon
 distances are small enough to prove much. Where a group is denser than its codes resolve, all of it is measured.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from loomspan.llm.common import bound_batches, new_path, stage
 
 TRAIN_ROWS = 10_000
-QUERY_BLOCK, RERANK, TOP = 2048, 400, 10
+PASS, QUERY_BLOCK, RERANK, TOP = 1 << 16, 2048, 400, 10
 CODEWORDS, ROUNDS = 16, 5
 #: Products of queries within this cosine of a vector set the weight of its parallel residual.
 THRESHOLD = 0.2
@@ -128,11 +129,14 @@ def build_index(vectors: DataFrame, dim: int, train_rows: int = TRAIN_ROWS) -> t
     if not n:
         return None
     share = min(1.0, train_rows / n)
-    sample = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < max(int(share * (1 << 20)), 1)).limit(2 * train_rows).select("embedding").toPandas()
+    placed = vectors.withColumn("h", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)))
+    # a few more than wanted, so that small shares do not end with none
+    some = placed.where(F.col("h") <= int(share * (1 << 20)) + (1 << 20) // max(n // 100, 1))
+    sample = some.orderBy("h", "vec_id", "embedding").limit(2 * train_rows).select("embedding").toArrow()
     if not len(sample):
-        sample = vectors.limit(train_rows).select("embedding").toPandas()
+        sample = placed.orderBy("h", "vec_id", "embedding").limit(train_rows).select("embedding").toArrow()
     # one of equal vectors is enough to learn from
-    quantizer = Quantizer(dim).train(np.unique(np.stack(sample["embedding"].to_numpy()).astype(np.float32), axis=0))
+    quantizer = Quantizer(dim).train(np.unique(_matrix(sample.column("embedding").combine_chunks(), dim).astype(np.float32), axis=0))
 
     def coded(batches):
         for batch in batches:
@@ -154,11 +158,10 @@ def _at_least(dots: np.ndarray, q: float, x: np.ndarray, coded: np.ndarray, resi
 
 def _scan(quantizer: Quantizer, ids: np.ndarray, queries: np.ndarray, top: int, rerank: int):
     def run(batches):
-        tables, lengths = None, np.linalg.norm(queries, axis=1)
+        lengths = np.linalg.norm(queries, axis=1)
         # distances that top ids are known to be within, from the batches so far
         within = np.full(len(ids), np.inf)
         for batch in batches:
-            tables = quantizer.tables(queries) if tables is None else tables
             for at in range(0, batch.num_rows, SCAN_ROWS):
                 part = batch.slice(at, SCAN_ROWS)
                 vec_ids = part.column("vec_id").to_numpy()
@@ -195,9 +198,11 @@ def _scan(quantizer: Quantizer, ids: np.ndarray, queries: np.ndarray, top: int,
                     return far[sort], who[sort]
 
                 for q in range(len(ids)):
+                    if q % QUERY_BLOCK == 0:
+                        tables = quantizer.tables(queries[q : q + QUERY_BLOCK])
                     dots = np.zeros(len(first), np.float32)
                     for b, code in enumerate(short):
-                        dots += tables[q, b][code]
+                        dots += tables[q % QUERY_BLOCK, b][code]
                     best = np.argpartition(norms**2 - 2.0 * dots, n - 1)[:n]
                     far, who = nearest(q, best)
                     if len(far) == top:
@@ -227,13 +232,13 @@ def search(index: DataFrame, quantizer: Quantizer, queries: DataFrame, top: int
     bound_batches(spark)
     asked = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("embedding").alias("embedding"))
     n = asked.count()
-    blocks = -(-n // QUERY_BLOCK) if n else 1
+    blocks = -(-n // PASS) if n else 1
     path = new_path(spark, "neighbours") if blocks > 1 else None
     for block in range(blocks):
         mine = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        got = mine.orderBy("query_id").toPandas()
-        ids = got["query_id"].to_numpy(np.int64)
-        vectors = np.stack(got["embedding"].to_numpy()) if len(got) else np.zeros((0, quantizer.dim))
+        got = mine.orderBy("query_id").toArrow()
+        ids = got.column("query_id").to_numpy()
+        vectors = _matrix(got.column("embedding").combine_chunks(), quantizer.dim) if len(got) else np.zeros((0, quantizer.dim))
         near = index.mapInArrow(_scan(quantizer, ids, vectors, top, rerank), "query_id bigint, vec_id bigint, score double") if len(got) else spark.createDataFrame([], "query_id bigint, vec_id bigint, score double")
         if path:
             near.write.mode("append").parquet(path)

@@ -5,6 +5,8 @@ import sentencepiece
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from compare import SF
+
 from loomspan.llm import piece_tokens as pt
 
 
@@ -51,3 +53,22 @@ def test_rows(spark, docs):
     assert got == want
     assert [r.decoded for r in pt.encode(docs([(3, "Hello  world")]), ["doc_id"]).collect()] == ["Hello  world"]
     assert pt.digest(docs([]), ["doc_id"]).count() == 0
+
+
+def test_query_against_the_library(spark):
+    ref = sentencepiece.SentencePieceProcessor(model_file=pt.default_model())
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    got = {r.doc_id: tuple(r)[1:] for r in pt.query(spark, SF).collect()}
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        ids = ref.encode(r.text or "")
+        assert got[r.doc_id] == (len(ids), sha(",".join(map(str, ids))), sha(ref.decode(ids)))
+
+
+def test_clashing_names(spark, docs):
+    df = docs([(1, "a b", "s", "en", 5, 6)], ", ids int, n_tokens int")
+    r = pt.encode(df, df.columns).first()
+    assert r.decoded == "a b" and len(r.ids) == 2 and r.n_tokens == 6
+    r = pt.digest(df, df.columns).first()
+    assert r.n_tokens == 2 and r.ids == 5 and r.source == "s"

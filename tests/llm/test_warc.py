@@ -52,3 +52,18 @@ def test_damaged_tail_is_dropped(spark):
     bad = f"{MAGIC}WARC-Type: response\r\nno length\r\n\r\n"
     spark.createDataFrame([(good + bad + good,)], "value string").coalesce(1).write.option("lineSep", "\r\n").text(path)
     assert [r.page_id for r in read_warc(spark, path).collect()] == [1]
+
+
+def test_headers_with_bare_line_ends(spark):
+    path = new_path(spark, "warc-test")
+    odd = f"{MAGIC}WARC-Type: response\nContent-Length: 2\nWARC-Record-ID: <urn:page:1>\nContent-Length: 9\r\n\r\nok\r\n\r\n"
+    good = f"{MAGIC}WARC-Type: response\r\nWARC-Record-ID: <urn:page:2>\r\nContent-Length: 3\r\n\r\nyes\r\n\r\n"
+    spark.createDataFrame([(odd + good + odd,)], "value string").coalesce(1).write.option("lineSep", "\r\n").text(path)
+    got = sorted((r.page_id, r.record_type, bytes(r.payload)) for r in read_warc(spark, path).collect())
+    assert got == [(1, "response", b"ok"), (1, "response", b"ok"), (2, "response", b"yes")]
+
+
+def test_very_many_magic_lines_in_one_payload(spark):
+    payload = MAGIC * 60_000 + "end"
+    got = _round_trip(spark, [(1, "u", payload), (2, "u", "x")], split=100_000)
+    assert {r.page_id: bytes(r.payload) for r in got} == {1: payload.encode(), 2: b"x"}
