@@ -4,24 +4,71 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from loomspan.functions.scalars import half_even, only_between, ratio
-from loomspan.operators.windows import centred, ordered, quantile
-
-
-def repair_prices(df: DataFrame, item: str, group: str, site: str, day: str, price: str) -> DataFrame:
-    """A price for every row: its own if plausible; else the median of 20 days around it at the site, of the item
-    that day, of the item, of the group. Rounded to two digits. Adds repaired."""
-    p = only_between(F.col(price), 0.1, 60)
-    rows = df.withColumn("__p", p)
-    near = quantile(F.col("__p"), 0.5, centred(ordered([item, site], [day]), 20))
-    by_day = rows.groupBy(item, day).agg(F.median("__p").alias("__d"))
-    by_item = rows.groupBy(item).agg(F.median("__p").alias("__i"))
-    by_group = rows.groupBy(group).agg(F.median("__p").alias("__g"))
-    full = rows.withColumn("__n", near).join(by_day, [item, day], "left").join(by_item, item, "left").join(by_group, group, "left")
-    return full.withColumn("repaired", half_even(F.coalesce("__p", "__n", "__d", "__i", "__g"), 2)).drop("__p", "__n", "__d", "__i", "__g")
+from loomspan.operators.aggregates import strict_median
+from loomspan.operators.recurrences import order_quantity, stock_levels
+from loomspan.operators.windows import centred, fill, ordered, quantile
+
+
+#: Days around a price that smooth it, and how far off a price deduced from sales may be in the median.
+SMOOTH_DAYS, CLOSE = 20, 0.08
+
+
+def sales_prices(sales: DataFrame, item: str, day: str, price: str) -> DataFrame:
+    """item, day, deduced: the median price of an item's sales that day if plausible, smoothed over the days around it, and
+    filled from after, then from before."""
+    w = ordered([item], [day])
+    each = sales.groupBy(item, day).agg(F.median(price).alias("__p"))
+    smooth = each.withColumn("__s", quantile(only_between(F.col("__p"), 0.1, 60), 0.5, centred(w, SMOOTH_DAYS)))
+    return smooth.select(item, day, only_between(fill(F.col("__s"), w), 0.1, 60).alias("deduced"))
+
+
+def repair_prices(df: DataFrame, sales: DataFrame, item: str, group: str, site: str, day: str, price: str) -> DataFrame:
+    """A price for every row, from the prices of orders (price, null where nothing was ordered) and of sales (item, day,
+    deduced): the median of the plausible ones of SMOOTH_DAYS rows around it at the site; else the item's median that day;
+    else the item's. Before the first order, items whose prices from sales are CLOSE to that take those. What is still
+    missing takes the price from sales, which is the item's median unless it is within half and twice of that; else the
+    group's median. Rounded to two digits. Adds repaired."""
+    ends = df.where(F.col(price).isNotNull()).agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
+    near = quantile(only_between(F.col(price), 0.1, 60), 0.5, centred(ordered([item, site], [day]), SMOOTH_DAYS))
+    rows = df.withColumn("__r", near)
+    rows = rows.join(rows.groupBy(item, day).agg(F.median("__r").alias("__d")), [item, day]).withColumn("__r", F.coalesce("__r", "__d"))
+    rows = rows.join(sales.select(item, day, F.col("deduced").alias("__s")), [item, day], "left")
+    usual = rows.groupBy(item).agg(F.median("__r").alias("__i"), F.median("__s").alias("__m"))
+    rows = rows.join(usual, item).withColumn("__r", F.coalesce("__r", "__i"))
+    rows = rows.withColumn("__s", F.when(F.col("__s").between(0.5 * F.col("__m"), 2 * F.col("__m")), F.col("__s")).otherwise(F.col("__m")))
+    ordered_days = F.col(day).between(F.lit(ends["lo"]), F.lit(ends["hi"]))
+    off = F.try_divide(F.abs(F.col("__s") - F.col("__r")), F.col("__r"))
+    close = rows.where(ordered_days).groupBy(item).agg(strict_median(off).alias("__o")).select(item, (F.col("__o") <= CLOSE).alias("__close"))
+    swap = (F.col(day) < F.lit(ends["lo"])) & F.col("__close")
+    rows = rows.join(close, item, "left").withColumn("__r", F.coalesce(F.when(swap, F.col("__s")), F.when(F.coalesce(~swap, F.lit(True)), F.col("__r")), "__s"))
+    by_group = rows.groupBy(group).agg(F.median("__r").alias("__g"))
+    full = rows.join(by_group, group, "left")
+    return full.withColumn("repaired", half_even(F.coalesce("__r", "__g"), 2)).drop("__r", "__d", "__s", "__i", "__m", "__close", "__g")
+
+
+def fill_sold(sold: Column, w: WindowSpec) -> Column:
+    """Missing sales: half of the mean of five days around and the day a week before; where one of them is missing, the
+    other."""
+    week, mean = F.lag(sold, 7).over(w), F.avg(sold).over(centred(w, 5))
+    return F.coalesce(sold, 0.5 * (mean + week), week, mean)
+
+
+def sales_to_orders(df: DataFrame, by: Sequence[str], day: str, at_base: bool, spoil: float, most: int, part: float) -> DataFrame:
+    """What to order, from sold, stock and received (columns sold, stock, ordered). At a warehouse the stock is that of
+    the evening, so it is the next morning's; at a store orders are noted on the day they are placed and come the next.
+    Missing stock is worked out from day to day. Adds level and order."""
+    w = ordered(by, [day])
+    moved = F.lag("stock").over(w) if at_base else F.col("stock")
+    came = F.coalesce("ordered", F.lit(0.0))
+    rows = df.withColumn("sold", fill_sold(F.col("sold"), w)).withColumn("stock", moved).withColumn("ordered", came if at_base else F.lag(came).over(w))
+    rows = stock_levels(rows, by, day, "stock", "sold", "ordered", spoil, most)
+    want = order_quantity(F.col("sold"), F.lead("sold").over(w), F.col("level"), part, spoil)
+    return rows.withColumn("order", F.when(F.col("level").isNotNull(), want))
 
 
 def split_forecast(forecast: DataFrame, weights: DataFrame, parent: Sequence[str], value: str, weight: str) -> DataFrame:

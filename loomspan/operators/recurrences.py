@@ -1,7 +1,8 @@
-"""Recurrences over ordered rows: folds of one key's rows in the JVM, and lots that are used up in order.
+"""Recurrences over ordered rows: bounded look-backs as windows, folds of one key's rows in the JVM, and lots that are
+used up in order.
 
-A fold gathers one key's rows in an array, so a key must be a series of bounded length (days of an item at a site,
-bars of an asset); it is not for keys that gather a share of all rows.
+A fold gathers one key's rows in an array, so a key must be a series of bounded length (bars of an asset); it is not for
+keys that gather a share of all rows. A look-back needs no such bound.
 """
 
 from __future__ import annotations
@@ -12,44 +13,54 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+#: Rows that a fold works on before their results are set aside.
+CHUNK = 64
+
 
 def fold(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Sequence[str], start: Column, step: Callable[[Column, Column], Column], into: str) -> DataFrame:
-    """Every row of a key with the state after it: state = step(state before, row), from start."""
+    """Every row of a key with the state after it: state = step(state before, row), from start. Rows go through in
+    chunks, so that what is done is copied once for a chunk and not once for a row."""
     rows = df.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*order, *(c for c in columns if c not in order)))).alias("__rows"))
-    empty = F.slice(F.transform("__rows", lambda r: F.struct(r.alias("row"), start.alias("state"))), 1, 0)
-    acc = F.struct(start.alias("state"), empty.alias("out"))
+    nothing = F.when(F.lit(False), F.element_at("__rows", 1))
+    seed = F.array(F.struct(nothing.alias("row"), start.alias("state")))
+    chunks = F.transform(F.sequence(F.lit(0), F.expr(f"(size(__rows) - 1) div {CHUNK}").cast("int")), lambda i: F.slice("__rows", i * CHUNK + 1, F.lit(CHUNK)))
+
+    def one(done: Column, r: Column) -> Column:
+        return F.concat(done, F.array(F.struct(r.alias("row"), step(F.element_at(done, -1)["state"], r).alias("state"))))
 
-    def go(a: Column, r: Column) -> Column:
-        state = step(a["state"], r)
-        return F.struct(state.alias("state"), F.concat(a["out"], F.array(F.struct(r.alias("row"), state.alias("state")))).alias("out"))
+    def chunk(done: Column, some: Column) -> Column:
+        last = F.element_at(F.element_at(done, -1), -1)
+        return F.concat(done, F.array(F.slice(F.aggregate(some, F.array(last), one), F.lit(2), F.size(some))))
 
-    done = rows.withColumn("__out", F.aggregate("__rows", acc, go)["out"])
+    every = F.aggregate(chunks, F.array(seed), chunk)
+    done = rows.withColumn("__out", F.flatten(F.slice(every, F.lit(2), F.size(every))))
     return done.select(*by, F.explode("__out").alias("__o")).select(*by, "__o.row.*", F.col("__o.state").alias(into))
 
 
 def stock_levels(df: DataFrame, by: Sequence[str], day: str, stock: str, sold: str, ordered: str, spoil: float, most: int) -> DataFrame:
     """Missing stock from the day before: max(0, max(0, stock - spoil * sold) - sold + ordered), rounded to one
-    digit, for at most so many days in a row; a missing input stops it. Adds level."""
-    level = "double"
-    start = F.struct(F.lit(None).cast(level).alias("level"), F.lit(0).alias("gap"), F.lit(None).cast(level).alias("sold"), F.lit(None).cast(level).alias("ordered"))
+    digit, for at most so many days in a row; a missing input stops it. Adds level. A missing value depends on no more
+    than so many rows before it, since the last known one: a window, however long the series is."""
+    w = W.partitionBy(*by).orderBy(day)
+    runs = df.withColumn("__run", F.count(stock).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    inside = W.partitionBy(*by, "__run").orderBy(day)
+    before = F.collect_list(F.struct(F.col(sold).cast("double").alias("sold"), F.col(ordered).cast("double").alias("ordered")))
+    known = F.first(F.col(stock).cast("double")).over(inside.rowsBetween(W.unboundedPreceding, 0))
+    rows = runs.withColumn("__place", F.row_number().over(inside)).withColumn("__known", known).withColumn("__before", before.over(inside.rowsBetween(-most, -1)))
 
-    def step(s: Column, r: Column) -> Column:
-        guess = F.greatest(F.lit(0.0), F.greatest(F.lit(0.0), s["level"] - spoil * s["sold"]) - s["sold"] + s["ordered"])
-        whole = s["level"].isNotNull() & s["sold"].isNotNull() & s["ordered"].isNotNull()
-        known = r[stock].isNotNull()
-        now = F.when(known, r[stock]).when(whole & (s["gap"] < most), F.rint(guess * 10) / 10)
-        gap = F.when(known, 0).otherwise(s["gap"] + 1)
-        return F.struct(now.cast(level).alias("level"), gap.alias("gap"), r[sold].cast(level).alias("sold"), r[ordered].cast(level).alias("ordered"))
+    def step(level: Column, r: Column) -> Column:
+        guess = F.greatest(F.lit(0.0), F.greatest(F.lit(0.0), level - spoil * r["sold"]) - r["sold"] + r["ordered"])
+        return F.when(level.isNotNull() & r["sold"].isNotNull() & r["ordered"].isNotNull(), F.rint(guess * 10) / 10)
 
-    done = fold(df, by, [day], [stock, sold, ordered], start, step, "__s")
-    return done.withColumn("level", F.col("__s.level")).drop("__s")
+    level = F.when((F.col("__run") > 0) & (F.col("__place") <= most + 1), F.aggregate("__before", F.col("__known"), step))
+    return rows.withColumn("level", level).drop("__run", "__place", "__known", "__before")
 
 
 def order_quantity(sold: Column, sold_next: Column, stock: Column, part: float, spoil: float) -> Column:
     """What to order so that today and a part of tomorrow are covered; the last day counts a part of its own."""
     left = F.greatest(F.lit(0.0), stock - spoil * sold)
     need = sold + F.coalesce(sold_next, sold) * part
-    return F.greatest(F.lit(0.0), F.rint(need - left)) + 0.0
+    return F.greatest(F.lit(0.0), F.rint(F.round(need - left, 6))) + 0.0
 
 
 def trades(df: DataFrame, by: Sequence[str], at: str, price: str, buy: Callable[[Column, Column], Column], sell: Callable[[Column, Column], Column], fee: float, cash: float) -> DataFrame:

@@ -67,6 +67,29 @@ def top_share(df: DataFrame, by: Sequence[str], share: str, p: float, tie: Seque
     return df.withColumn("__before", F.coalesce(F.round(before, 9), F.lit(0.0))).where((F.col("__before") < p) | (F.col(share) > p)).drop("__before")
 
 
+def top_lookbacks(df: DataFrame, by: Sequence[str], item: str, day: str, x: str, p: float, months: Sequence[tuple[int, float]] = ((2, 0.0), (9, 1.0), (18, 1.0))) -> DataFrame:
+    """by, item: what makes up a group's x in the last so many months (each with its part of p), and, if there is more
+    history, what does over all of it with a share above min(p, 0.1). An item counts while the shares before it and its
+    own do not exceed 1 - p by more than a fifth of p, or if its own share exceeds p."""
+    ends = df.agg(F.max(day).alias("hi"), F.min(day).alias("lo")).first()
+    if ends["hi"] is None:
+        return df.select(*by, item)
+    looks = [(int(30.5 * m), part * p) for m, part in months]
+    longest = max(days for days, _ in looks)
+    every = (ends["hi"] - ends["lo"]).days
+    if every > longest:
+        looks.append((every, p))
+    spans = F.explode(F.array(*(F.struct(F.lit(days).alias("days"), F.lit(q).alias("q")) for days, q in looks)))
+    rows = df.withColumn("__l", spans).where(F.col(day) >= F.date_sub(F.lit(ends["hi"]), F.col("__l.days")))
+    sums = rows.groupBy("__l", *by, item).agg(F.sum(x).alias("__x"))
+    shared = sums.withColumn("__share", F.round(F.try_divide(F.col("__x"), F.sum("__x").over(W.partitionBy("__l", *by))), 9))
+    w = W.partitionBy("__l", *by).orderBy(F.desc("__share"), item).rowsBetween(W.unboundedPreceding, 0)
+    over = F.round(F.sum("__share").over(w), 9) - (1 - F.col("__l.q"))
+    top = shared.withColumn("__over", over).where((F.round("__over", 9) <= F.round(F.col("__l.q") * 0.2, 9)) | (F.col("__share") > F.col("__l.q")))
+    recent = (F.col("__l.days") <= longest) | (F.col("__share") > min(p, 0.1))
+    return top.where(recent).select(*by, item).distinct()
+
+
 def mean_rank(x: Column, by: Sequence[str]) -> Column:
     """Rank by descending x, ties averaged."""
     w = W.partitionBy(*by)

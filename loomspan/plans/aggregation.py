@@ -227,10 +227,16 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return ag.auc(rows, "score", "label").select(F.round("auc", 8).alias("auc"))
 
 
-@Q("a32_payment_history", "SELECT o_custkey, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS last, count(DISTINCT year(o_orderdate)) AS years, round(count(*) / count(DISTINCT year(o_orderdate)), 6) AS per_year FROM orders GROUP BY 1")
-def _(s: SparkSession, d: str) -> DataFrame:
-    years = F.countDistinct(F.year("o_orderdate"))
-    return Tables(s, d)("orders").groupBy("o_custkey").agg(F.max_by("o_totalprice", F.struct("o_orderdate", "o_orderkey")).alias("last"), years.alias("years"), F.round(F.count("*") / years, 6).alias("per_year"))
+@Q("a32_payment_history", """SELECT o_custkey, arg_max(CAST(o_orderdate AS DATE), (o_orderdate, o_orderkey)) AS last_day, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS last, round((arg_max(o_totalprice, (o_orderdate, o_orderkey)) - avg(o_totalprice)) * 100 / avg(o_totalprice), 6) AS off_mean,
+  round(count(DISTINCT year(o_orderdate)) / 3, 6) AS regular, round(count(*) / count(DISTINCT year(o_orderdate)), 6) AS per_year FROM orders GROUP BY 1""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """The last payment and how far it is from the mean of all, in percent; years with payments over three; payments a year."""
+    when, years = F.struct("o_orderdate", "o_orderkey"), F.countDistinct(F.year("o_orderdate"))
+    last, mean = F.max_by("o_totalprice", when), F.avg("o_totalprice")
+    return Tables(s, d)("orders").groupBy("o_custkey").agg(
+        F.max_by(F.to_date("o_orderdate"), when).alias("last_day"), last.alias("last"), F.round((last - mean) * 100 / mean, 6).alias("off_mean"),
+        F.round(years / 3, 6).alias("regular"), F.round(F.count("*") / years, 6).alias("per_year"),
+    )
 
 
 @Q("a33_conditional_counts", "SELECT c_nationkey, count(*) AS n, count_if(c_mktsegment = 'BUILDING') AS builders, round(avg(c_acctbal) FILTER (c_mktsegment = 'BUILDING'), 4) AS their_balance FROM customer GROUP BY 1")

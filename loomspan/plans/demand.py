@@ -24,13 +24,28 @@ def lines(t: Tables) -> DataFrame:
     return joined.groupBy(*keys).agg((F.round(F.sum("l_extendedprice"), 2) / F.sum("l_quantity") / 30).alias("price"))
 
 
-REPAIRED = f"""{LINES}, ok AS (SELECT *, CASE WHEN price BETWEEN 0.1 AND 60 THEN price END AS p FROM lines), near AS (SELECT *, median(p) OVER (PARTITION BY item, site ORDER BY day ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING) AS n FROM ok),
-  rep AS (SELECT item, grp, site, day, round_even(coalesce(p, n, median(p) OVER (PARTITION BY item, day), median(p) OVER (PARTITION BY item), median(p) OVER (PARTITION BY grp)) * 100.0::DOUBLE, 0) / 100.0::DOUBLE + 0.0 AS repaired FROM near)"""
+REPAIRED = f"""{LINES}, x AS (SELECT *, CASE WHEN day >= DATE '1996-07-01' AND item % 10 <> 0 THEN price * (1 + (item % 4) * 0.05::DOUBLE) END AS own FROM lines),
+  e AS (SELECT min(day) FILTER (own IS NOT NULL) AS lo, max(day) FILTER (own IS NOT NULL) AS hi FROM x),
+  r0 AS (SELECT *, median(CASE WHEN own BETWEEN 0.1 AND 60 THEN own END) OVER (PARTITION BY item, site ORDER BY day ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING) AS r FROM x),
+  r1 AS (SELECT item, grp, site, day, coalesce(r, median(r) OVER (PARTITION BY item, day)) AS r FROM r0),
+  s0 AS (SELECT item, day, median(price) AS p FROM lines GROUP BY 1, 2),
+  s1 AS (SELECT item, day, median(CASE WHEN p BETWEEN 0.1 AND 60 THEN p END) OVER (PARTITION BY item ORDER BY day ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING) AS v FROM s0),
+  s2 AS (SELECT item, day, coalesce(first_value(v IGNORE NULLS) OVER (PARTITION BY item ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), last_value(v IGNORE NULLS) OVER (PARTITION BY item ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS v FROM s1),
+  b0 AS (SELECT r1.*, CASE WHEN v BETWEEN 0.1 AND 60 THEN v END AS v FROM r1 LEFT JOIN s2 USING (item, day)),
+  b1 AS (SELECT item, grp, site, day, coalesce(r, median(r) OVER (PARTITION BY item)) AS r, v, median(v) OVER (PARTITION BY item) AS m FROM b0),
+  b2 AS (SELECT item, grp, site, day, r, CASE WHEN v BETWEEN 0.5 * m AND 2 * m THEN v ELSE m END AS v FROM b1),
+  c AS (SELECT item, CASE WHEN count(*) = count(abs(v - r) / r) THEN median(abs(v - r) / r) END <= 0.08 AS close FROM b2, e WHERE day BETWEEN lo AND hi GROUP BY 1),
+  f AS (SELECT b2.item, grp, site, day, coalesce(CASE WHEN day < lo AND close THEN v ELSE r END, v) AS r FROM b2 CROSS JOIN e LEFT JOIN c ON b2.item = c.item),
+  rep AS (SELECT item, grp, site, day, round_even(coalesce(r, median(r) OVER (PARTITION BY grp)) * 100.0::DOUBLE, 0) / 100.0::DOUBLE + 0.0 AS repaired FROM f)"""
 
 
 @Q("d_price_cascade", f"WITH {REPAIRED} SELECT item, grp, site, day, repaired FROM rep")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return demand.repair_prices(lines(Tables(s, d)), "item", "grp", "site", "day", "price").select("item", "grp", "site", "day", "repaired")
+    """Orders begin in July 1996 and leave out every tenth item; three items of four pay more in them than in sales."""
+    rows = lines(Tables(s, d))
+    own = F.when((F.col("day") >= F.lit("1996-07-01").cast("date")) & (F.col("item") % 10 != 0), F.col("price") * (1 + (F.col("item") % 4) * 0.05))
+    sales = demand.sales_prices(rows, "item", "day", "price")
+    return demand.repair_prices(rows.withColumn("own", own), sales, "item", "grp", "site", "day", "own").select("item", "grp", "site", "day", "repaired")
 
 
 @Q("d_target", f"WITH {DAILY} SELECT grp, day, amount * 0.5 / nullif(round_even(amount / qty * 100.0::DOUBLE, 0) / 100.0::DOUBLE, 0) AS target FROM daily")
@@ -90,14 +105,41 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return rec.stock_levels(stock_rows(Tables(s, d)), ["grp"], "day", "stock", "sold", "ordered", 0.02, 5).select("grp", "day", "level")
 
 
-@Q("d_order1_warehouse", f"WITH {DAILY}, x AS (SELECT grp, day, qty AS sold, lead(qty) OVER (PARTITION BY grp ORDER BY day) AS nxt, greatest(round(qty * 0.5), qty * 0.3::DOUBLE) AS stock FROM daily) SELECT grp, day, greatest(0, round_even(sold + coalesce(nxt, sold) * 0.3::DOUBLE - greatest(0, stock - 0.02::DOUBLE * sold), 0)) + 0.0 AS ordered FROM x")
+def _orders_sql(base: bool) -> str:
+    stock = "lag(stock) OVER w" if base else "stock"
+    came = "coalesce(ordered, 0)" if base else "lag(coalesce(ordered, 0)) OVER w"
+    return f"""WITH RECURSIVE {STOCK}, g AS (SELECT grp, day, stock, CASE WHEN dayofmonth(day) % 6 = 3 THEN NULL ELSE sold END AS sold, ordered FROM s),
+  h AS (SELECT *, lag(sold, 7) OVER (PARTITION BY grp ORDER BY day) AS week, avg(sold) OVER (PARTITION BY grp ORDER BY day ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS mean FROM g),
+  x AS (SELECT grp, day, {stock} AS stock, coalesce(sold, 0.5 * (mean + week), week, mean) AS sold, {came} AS ordered, row_number() OVER w AS n FROM h WINDOW w AS (PARTITION BY grp ORDER BY day)),
+  r AS (SELECT grp, n, day, stock AS level, CASE WHEN stock IS NULL THEN 1 ELSE 0 END AS gap, sold, ordered FROM x WHERE n = 1 UNION ALL
+  SELECT x.grp, x.n, x.day, CASE WHEN x.stock IS NOT NULL THEN x.stock WHEN r.level IS NOT NULL AND r.sold IS NOT NULL AND r.ordered IS NOT NULL AND r.gap < 7 THEN round_even(greatest(0, greatest(0, r.level - 0.02::DOUBLE * r.sold) - r.sold + r.ordered) * 10, 0) / 10 END,
+  CASE WHEN x.stock IS NOT NULL THEN 0 ELSE r.gap + 1 END, x.sold, x.ordered FROM r JOIN x ON x.grp = r.grp AND x.n = r.n + 1)
+  SELECT grp, day, round(level, 4) AS level, CASE WHEN level IS NOT NULL THEN greatest(0, round_even(round(sold + coalesce(lead(sold) OVER (PARTITION BY grp ORDER BY day), sold) * 0.3::DOUBLE - greatest(0, level - 0.02::DOUBLE * sold), 6), 0)) + 0.0 END AS "order" FROM r"""
+
+
+def _orders(s: SparkSession, d: str, base: bool) -> DataFrame:
+    rows = stock_rows(Tables(s, d)).withColumn("sold", F.when(F.dayofmonth("day") % 6 != 3, F.col("sold")))
+    return demand.sales_to_orders(rows, ["grp"], "day", base, 0.02, 7, 0.3).select("grp", "day", F.round("level", 4).alias("level"), "order")
+
+
+@Q("d_flow_orders_warehouse", _orders_sql(True))
+def _(s: SparkSession, d: str) -> DataFrame:
+    return _orders(s, d, True)
+
+
+@Q("d_flow_orders_store", _orders_sql(False))
+def _(s: SparkSession, d: str) -> DataFrame:
+    return _orders(s, d, False)
+
+
+@Q("d_order1_warehouse", f"WITH {DAILY}, x AS (SELECT grp, day, qty AS sold, lead(qty) OVER (PARTITION BY grp ORDER BY day) AS nxt, greatest(round(qty * 0.5), qty * 0.3::DOUBLE) AS stock FROM daily) SELECT grp, day, greatest(0, round_even(round(sold + coalesce(nxt, sold) * 0.3::DOUBLE - greatest(0, stock - 0.02::DOUBLE * sold), 6), 0)) + 0.0 AS ordered FROM x")
 def _(s: SparkSession, d: str) -> DataFrame:
     w, sold = win.ordered(["grp"], ["day"]), F.col("qty")
     stock = F.greatest(F.round(sold * 0.5), sold * 0.3)
     return daily(Tables(s, d)).select("grp", "day", rec.order_quantity(sold, F.lead("qty").over(w), stock, 0.3, 0.02).alias("ordered"))
 
 
-@Q("d_order2_store", f"WITH {DAILY}, x AS (SELECT grp, day, qty AS sold, lead(qty) OVER (PARTITION BY grp ORDER BY day) AS nxt, CASE WHEN dayofmonth(day) % 5 > 0 THEN round(qty * 0.4) END AS stock FROM daily) SELECT grp, day, CASE WHEN stock IS NOT NULL THEN greatest(0, round_even(sold + coalesce(nxt, sold) * 0.2::DOUBLE - greatest(0, stock - 0.01::DOUBLE * sold), 0)) + 0.0 END AS ordered FROM x")
+@Q("d_order2_store", f"WITH {DAILY}, x AS (SELECT grp, day, qty AS sold, lead(qty) OVER (PARTITION BY grp ORDER BY day) AS nxt, CASE WHEN dayofmonth(day) % 5 > 0 THEN round(qty * 0.4) END AS stock FROM daily) SELECT grp, day, CASE WHEN stock IS NOT NULL THEN greatest(0, round_even(round(sold + coalesce(nxt, sold) * 0.2::DOUBLE - greatest(0, stock - 0.01::DOUBLE * sold), 6), 0)) + 0.0 END AS ordered FROM x")
 def _(s: SparkSession, d: str) -> DataFrame:
     w, sold = win.ordered(["grp"], ["day"]), F.col("qty")
     stock = F.when(F.dayofmonth("day") % 5 > 0, F.round(sold * 0.4))

@@ -18,18 +18,17 @@ Q = Registry()
 
 @Q("st1_stream_bars", "SELECT event_type AS asset, time_bucket(INTERVAL '15 minutes', ts, TIMESTAMP '1970-01-01') AS bar, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close, count(*) AS volume FROM events GROUP BY 1, 2")
 def _(s: SparkSession, d: str) -> DataFrame:
-    table, out = s.read.parquet(f"{d}/events.parquet"), shared(s, "stream")
-    name = f"stream_{uuid.uuid4().hex}"
-    source = shared(s, "events")
-    table.write.parquet(source)
-    stream = s.readStream.schema(table.schema).parquet(source)
-    # complete mode keeps every bucket, so nothing waits for a watermark after the last row
-    def keep(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    run = stream_bars(stream, "event_type", "ts", "value", "event_id").writeStream.queryName(name).outputMode("complete").foreachBatch(keep).option("checkpointLocation", shared(s, "progress")).trigger(availableNow=True).start()
-    run.awaitTermination()
-    return s.read.parquet(out)
+    """In append mode: a bucket leaves the state, and is written, when the watermark has passed its end. The second run
+    goes on from the progress of the first and has only a row far ahead, which closes the last buckets; its own stays open."""
+    table, out, progress, source = s.read.parquet(f"{d}/events.parquet"), shared(s, "stream"), shared(s, "progress"), shared(s, "events")
+    last = table.agg(F.max("ts").alias("ts"))
+    ahead = last.where("ts is not null").select(*(F.expr("ts + interval 2 days").alias("ts") if c == "ts" else F.lit(None).cast(t).alias(c) for c, t in table.dtypes))
+    for rows in (table, ahead):
+        rows.write.mode("append").parquet(source)
+        bars_ = stream_bars(s.readStream.schema(table.schema).parquet(source), "event_type", "ts", "value", "event_id")
+        run = bars_.writeStream.format("parquet").outputMode("append").option("checkpointLocation", progress).trigger(availableNow=True).start(out)
+        run.awaitTermination()
+    return s.read.schema(bars_.schema).parquet(out)
 
 
 @Q("st2_extend_bars", f"WITH {BARS} SELECT asset, bar, CASE WHEN bar < TIMESTAMP '2024-01-15' THEN close ELSE close + 1 END AS close FROM bars")

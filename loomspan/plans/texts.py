@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomspan.operators import models, panel, text
 from loomspan.operators import windows as win
+from loomspan.operators.aggregates import quantiles
 from loomspan.plans.fixtures import Tables, daily
 from loomspan.plans.registry import Registry
 
@@ -105,7 +106,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     v = words(Tables(s, d)).select("conv_id", F.explode("w").alias("word")).distinct()
     n = v.select("conv_id").distinct().count()
     idf = v.groupBy("word").agg(F.round(F.log(n / F.count("*")), 9).alias("idf"))
-    lo, hi = idf.agg(F.percentile("idf", [0.025, 0.975]).alias("p")).first()["p"] or (0, 0)
+    lo, hi = quantiles(idf, "idf", [0.025, 0.975]) or (0, 0)
     return idf.where(F.col("idf").between(lo, hi))
 
 

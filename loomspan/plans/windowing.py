@@ -133,17 +133,17 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return win.top_share(shares(Tables(s, d)), ["grp"], "share", 0.6, ["item"]).select("item", "grp")
 
 
-@Q("w13_top_many_lookbacks", """WITH m AS (SELECT max(CAST(l_shipdate AS DATE)) AS last FROM lineitem), v AS (SELECT unnest([61, 274, 549]) AS back), s AS (SELECT back, p_brand AS grp, l_partkey AS item, round(sum(l_extendedprice), 2) AS x FROM lineitem JOIN part ON l_partkey = p_partkey, m, v WHERE CAST(l_shipdate AS DATE) > last - back GROUP BY 1, 2, 3),
-  q AS (SELECT *, round(x / sum(x) OVER (PARTITION BY back, grp), 9) AS share FROM s), r AS (SELECT *, coalesce(round(sum(share) OVER (PARTITION BY back, grp ORDER BY share DESC, item ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 9), 0) AS before FROM q)
-  SELECT DISTINCT item, grp FROM r WHERE before < 0.5 OR share > 0.5""")
+@Q("w13_top_many_lookbacks", """WITH l AS (SELECT l_partkey AS item, p_brand AS grp, s_nationkey AS site, CAST(l_shipdate AS DATE) AS day, l_extendedprice AS v FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey),
+  e AS (SELECT max(day) AS hi FROM l), k AS (SELECT * FROM (VALUES (61, 0.0), (274, 0.3), (549, 0.3), (1000000, 0.3)) t(back, p)),
+  q AS (SELECT back, p, grp, site, item, sum(v) AS x FROM l, e, k WHERE back = 1000000 OR day >= hi - back GROUP BY ALL),
+  h AS (SELECT *, round(x / sum(x) OVER (PARTITION BY back, grp, site), 9) AS share FROM q),
+  r AS (SELECT *, round(sum(share) OVER (PARTITION BY back, grp, site ORDER BY share DESC, item ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 9) AS upto FROM h)
+  SELECT DISTINCT grp, site, item FROM r WHERE (round(upto - (1 - p::DOUBLE), 9) <= round(p::DOUBLE * 0.2, 9) OR share > p) AND (back < 1000000 OR share > 0.1)""")
 def _(s: SparkSession, d: str) -> DataFrame:
     t = Tables(s, d)
-    lines = t("lineitem").withColumn("day", F.to_date("l_shipdate"))
-    last = lines.agg(F.max("day")).first()[0]
-    recent = lines.withColumn("back", F.explode(F.array(*map(F.lit, (61, 274, 549))))).where(F.col("day") > F.date_sub(F.lit(last), F.col("back")))
-    sums = recent.join(t("part"), F.col("l_partkey") == F.col("p_partkey")).groupBy("back", F.col("p_brand").alias("grp"), F.col("l_partkey").alias("item")).agg(F.round(F.sum("l_extendedprice"), 2).alias("x"))
-    each = sums.withColumn("share", F.round(fx.ratio(F.col("x"), F.sum("x").over(W.partitionBy("back", "grp"))), 9))
-    return win.top_share(each, ["back", "grp"], "share", 0.5, ["item"]).select("item", "grp").distinct()
+    lines = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    rows = lines.select(F.col("p_brand").alias("grp"), F.col("s_nationkey").alias("site"), F.col("l_partkey").alias("item"), F.to_date("l_shipdate").alias("day"), F.col("l_extendedprice").alias("v"))
+    return win.top_lookbacks(rows, ["grp", "site"], "item", "day", "v", 0.3)
 
 
 @Q("w14_impute_cascade", f"WITH {GAPS} SELECT grp, day, round(coalesce(amount, avg(amount) OVER {frame(-2, 2)}, lag(amount, 7) OVER {OVER}), 6) AS amount FROM gaps")

@@ -47,10 +47,15 @@ def merge_history(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def read_latest(spark: SparkSession, path: str, schema: str, date_column: str = "date") -> DataFrame:
-    """A folder of date=... parts: the rows of the latest date. Only that part is read."""
-    df = spark.read.schema(schema).option("header", True).csv(path)
-    last = df.agg(F.max(date_column)).first()[0]
-    return df.where(F.col(date_column) == F.lit(last))
+    """A folder of date=... parts: the rows of the latest date. Folders are listed, and only that one is read; without
+    any the table is empty."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target)
+    names = [f.getPath().getName() for f in found]
+    # dates are written so that their order is that of the letters
+    parts = [n for n in names if re.fullmatch(rf"{re.escape(date_column)}=\d{{4}}-\d\d-\d\d", n)]
+    reader = spark.read.schema(schema).option("header", True).option("basePath", path)
+    return reader.csv(f"{path.rstrip('/')}/{max(parts)}") if parts else spark.createDataFrame([], schema)
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
