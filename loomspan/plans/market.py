@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -14,15 +14,15 @@ from loomspan.plans.registry import Registry
 
 Q = Registry()
 
-_R = ", ".join(f"lead(close, {k}) OVER w / close - 1 AS r{k}" for k in range(1, 5))
-_CUT = ", ".join(f"quantile_cont({c}, {q}) AS {c}_{s}" for c in ("r1", "r2", "r3", "r4", "past") for s, q in (("hi", 0.8), ("lo", 0.2)))
-_UP = " + ".join(f"coalesce((r{k} >= r{k}_hi)::INT, 0)" for k in range(1, 5))
-_DOWN = " + ".join(f"coalesce((r{k} <= r{k}_lo)::INT, 0)" for k in range(1, 5))
+_R = ", ".join(f"lead(close, {k}) OVER w / close - 1 AS r{k}" for k in range(1, 9))
+_CUT = ", ".join(f"quantile_cont({c}, {q}) AS {c}_{s}" for c in (*(f"r{k}" for k in range(1, 9)), "past") for s, q in (("hi", 0.6), ("lo", 0.4)))
+_UP = " + ".join(f"coalesce((r{k} >= r{k}_hi)::INT, 0)" for k in range(1, 9))
+_DOWN = " + ".join(f"coalesce((r{k} <= r{k}_lo)::INT, 0)" for k in range(1, 9))
 
 
-@Q("m_label", f"WITH {BARS}, r AS (SELECT asset, bar, close, {_R}, close / lag(close) OVER w - 1 AS past FROM bars WINDOW w AS (PARTITION BY asset ORDER BY bar)), c AS (SELECT asset, {_CUT} FROM r GROUP BY 1) SELECT r.asset, bar, close, CASE WHEN {_UP} >= 2 AND past <= past_lo THEN 'UP' WHEN {_DOWN} >= 2 AND past >= past_hi THEN 'DOWN' END AS label FROM r JOIN c ON r.asset = c.asset")
+@Q("m_label", f"WITH {BARS}, r AS (SELECT asset, bar, close, {_R}, close / lag(close) OVER w - 1 AS past FROM bars WINDOW w AS (PARTITION BY asset ORDER BY bar)), c AS (SELECT asset, {_CUT} FROM r GROUP BY 1) SELECT r.asset, bar, close, CASE WHEN {_UP} >= 6 AND past <= past_lo THEN 'UP' WHEN {_DOWN} >= 6 AND past >= past_hi THEN 'DOWN' END AS label FROM r JOIN c ON r.asset = c.asset")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return market.labels(bars(Tables(s, d)).select("asset", "bar", "close"), "asset", "bar", "close", 4, 2, 0.8, 0.2)
+    return market.labels(bars(Tables(s, d)).select("asset", "bar", "close"), "asset", "bar", "close", 8, 6, 0.6, 0.4)
 
 
 @Q("m_state_machine", f"""WITH RECURSIVE {BARS}, b AS (SELECT asset, bar, close, close / lag(close) OVER w - 1 AS delta, row_number() OVER w AS n FROM bars WINDOW w AS (PARTITION BY asset ORDER BY bar)),
@@ -59,10 +59,12 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return full.groupBy("bar").agg(F.round(F.sum("c"), 4).alias("portfolio"))
 
 
-@Q("m_alloc", f"""WITH {BARS}, g AS (SELECT asset, arg_max(close, bar) / arg_min(close, bar) - 1 AS p FROM bars GROUP BY 1), r AS (SELECT asset, greatest(1 + 4 * (p - avg(p) OVER ()), 0) AS r, count(*) OVER () AS n FROM g), c AS (SELECT asset, least(r / nullif(sum(r) OVER (), 0), 2 / n) AS c FROM r) SELECT asset, round(c / sum(c) OVER (), 6) AS share FROM c""")
+@Q("m_alloc", f"""WITH {BARS}, g AS (SELECT asset, arg_max(close, bar) / arg_min(close, bar) - 1 AS p, arg_max(close, bar) * sum(volume) AS value FROM bars GROUP BY 1), r AS (SELECT *, 1 + 4 * (p - avg(p) OVER ()) AS r, count(*) OVER () AS n FROM g),
+  c AS (SELECT *, greatest(least(r / nullif(sum(r) OVER (), 0), 2 / n), 0) AS c FROM r), t AS (SELECT asset, c / sum(c) OVER () AS target, value / sum(value) OVER () AS actual FROM c), w AS (SELECT *, CASE WHEN actual > target THEN 0.0::DOUBLE ELSE target END AS w FROM t)
+  SELECT asset, round(target, 6) AS target, round(actual, 6) AS actual, round_even(round(1000 * w / sum(w) OVER () - 0.4, 6), 0) + 0.0 AS cash FROM w""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    gains = bars(Tables(s, d)).groupBy("asset").agg((F.max_by("close", "bar") / F.min_by("close", "bar") - 1).alias("p"))
-    return market.allocation(gains, "asset", "p").select("asset", F.round("share", 6).alias("share"))
+    gains = bars(Tables(s, d)).groupBy("asset").agg((F.max_by("close", "bar") / F.min_by("close", "bar") - 1).alias("p"), (F.max_by("close", "bar") * F.sum("volume")).alias("value"))
+    return market.allocation(gains, "asset", "p", "value", 1000.0).select("asset", F.round("target", 6).alias("target"), F.round("actual", 6).alias("actual"), "cash")
 
 
 TRADES = """t AS (SELECT user_id AS asset, ts, event_id, event_type, round(1 + value, 2) AS qty, value AS price, round(sum(round(1 + value, 2)) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id), 6) AS hi FROM events WHERE event_type IN ('purchase', 'error')), i AS (SELECT *, round(hi - qty, 6) AS lo FROM t)"""
@@ -99,11 +101,19 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return market.indices(rows, "day", "sector", "amount").select("day", "sector", F.round("level", 6).alias("level"), "n")
 
 
-@Q("m_mc_draws")
+@Q("m_mc_draws", f"""WITH {DAILY}, q AS (SELECT substr(grp, 1, 7) AS sector, grp AS asset, CAST(date_trunc('quarter', day) AS DATE) AS qd, round(sum(amount), 2) AS x FROM daily GROUP BY 1, 2, 3),
+  l AS (SELECT sector, asset, qd, 100 * x / first_value(x) OVER (PARTITION BY asset ORDER BY qd) AS v FROM q),
+  e AS (SELECT sector, asset, arg_max(v, qd) - 100 AS gain, stddev_samp(v) AS spread FROM l GROUP BY 1, 2),
+  b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sector ORDER BY round(gain / spread, 6) DESC, asset) AS place FROM e) WHERE place <= 5),
+  c AS (SELECT l.asset, m.asset AS other, covar_samp(l.v, m.v) AS cov, corr(l.v, m.v) AS corr FROM l JOIN l m ON l.qd = m.qd WHERE l.asset IN (SELECT asset FROM b) AND m.asset IN (SELECT asset FROM b) GROUP BY 1, 2),
+  n AS (SELECT sector, draw, 1 + ('0x' || substr(md5(sector || ':' || draw || ':7'), 1, 12))::BIGINT % count(*) AS place FROM b, generate_series(0, 2999) g(draw) GROUP BY sector, draw),
+  k AS (SELECT draw, asset, gain FROM n JOIN b ON n.sector = b.sector AND n.place = b.place),
+  r AS (SELECT k.draw, sqrt(avg(cov)) AS spread, avg(CASE WHEN c.asset <> c.other THEN corr END) AS correlation FROM k JOIN k o ON k.draw = o.draw JOIN c ON c.asset = k.asset AND c.other = o.asset GROUP BY 1)
+  SELECT k.draw::INTEGER AS draw, round(avg(gain), 6) AS gain, round(any_value(spread), 6) AS spread, round(any_value(correlation), 6) AS correlation FROM k JOIN r ON k.draw = r.draw GROUP BY k.draw""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    t = Tables(s, d)
-    companies = t("customer").select(F.col("c_nationkey").alias("sector"), F.col("c_custkey").alias("asset"), F.col("c_acctbal").alias("gain"))
-    return market.simulate(companies, "sector", "asset", "gain", 3000, 7)
+    rows = daily(Tables(s, d)).groupBy(F.substring("grp", 1, 7).alias("sector"), F.col("grp").alias("asset"), F.to_date(F.date_trunc("quarter", "day")).alias("at")).agg(F.round(F.sum("amount"), 2).alias("x"))
+    made = market.simulate(rows, "sector", "asset", "at", "x", 3000, 7)
+    return made.select("draw", *(F.round(c, 6).alias(c) for c in ("gain", "spread", "correlation")))
 
 
 @Q("m_neutral_features", f"WITH {DAILY}, x AS (SELECT *, substr(grp, 1, 7) AS sector FROM daily), y AS (SELECT grp, day, amount, median(amount) OVER (PARTITION BY day) AS m, median(amount) OVER (PARTITION BY day, sector) AS p FROM x) SELECT grp, day, (amount - m) / (m + 0.1::DOUBLE) AS to_market, (amount - p) / (p + 0.1::DOUBLE) AS to_sector FROM y")
@@ -114,22 +124,45 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return full.select("grp", "day", rel("m").alias("to_market"), rel("p").alias("to_sector"))
 
 
-@Q("m_macro_joins", """WITH m AS (SELECT n_regionkey AS region, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, round(avg(o_totalprice), 4) AS rate FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)
-  SELECT s_suppkey, a.month, a.rate AS own, b.rate AS home FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN m a ON a.region = n_regionkey LEFT JOIN m b ON b.region = 0 AND b.month = a.month""")
+#: Rates by the order priority that stands in for them, and the countries (regions) that take another one's rates.
+MACRO = {"inflation": ("1-URGENT", {4: 1}), "long_rates": ("2-HIGH", {3: 2}), "short_rates": ("3-MEDIUM", {3: 1}), "producer_prices": ("4-NOT SPECIFIED", {3: 2, 0: 4}), "unemployment": ("5-LOW", {3: 2, 0: 0})}
+
+
+def _macro_sql() -> str:
+    own = {c: "CASE region " + " ".join(f"WHEN {k} THEN {v}" for k, v in swap.items()) + " ELSE region END" for c, (_, swap) in MACRO.items()}
+    joins = " ".join(f"LEFT JOIN m m_{c} ON m_{c}.kind = '{kind}' AND m_{c}.region = {own[c]} AND m_{c}.month = k.month" for c, (kind, _) in MACRO.items())
+    order = "PARTITION BY region ORDER BY company, month ROWS BETWEEN"
+    fills = ", ".join(f"coalesce(last_value({c} IGNORE NULLS) OVER ({order} UNBOUNDED PRECEDING AND CURRENT ROW), first_value({c} IGNORE NULLS) OVER ({order} CURRENT ROW AND UNBOUNDED FOLLOWING)) AS {c}" for c in MACRO)
+    return f"""WITH o AS (SELECT n_regionkey AS region, c_nationkey AS company, o_orderpriority AS kind, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_totalprice AS v FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+      m AS (SELECT region, kind, month, round(avg(v), 4) AS rate FROM o WHERE month(month) % 5 > 0 GROUP BY 1, 2, 3), k AS (SELECT DISTINCT region, company, month FROM o),
+      j AS (SELECT k.*, {", ".join(f"m_{c}.rate AS {c}" for c in MACRO)} FROM (SELECT * FROM k) k {joins.replace('region END', 'k.region END').replace('CASE region', 'CASE k.region')}) SELECT region, company, month, {fills} FROM j"""
+
+
+@Q("m_macro_joins", _macro_sql())
 def _(s: SparkSession, d: str) -> DataFrame:
     t = Tables(s, d)
-    rates = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    rates = rates.groupBy(F.col("n_regionkey").alias("region"), F.trunc("o_orderdate", "MM").alias("month")).agg(F.round(F.avg("o_totalprice"), 4).alias("rate"))
-    sites = t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_regionkey").alias("region"))
-    home = rates.where("region = 0").select("month", F.col("rate").alias("home"))
-    return sites.join(rates, "region").join(home, "month", "left").select("s_suppkey", "month", F.col("rate").alias("own"), "home")
+    sold = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    sold = sold.select(F.col("n_regionkey").alias("region"), F.col("c_nationkey").alias("company"), F.col("o_orderpriority").alias("kind"), F.trunc("o_orderdate", "MM").alias("month"), "o_totalprice")
+    rates = sold.where(F.month("month") % 5 > 0).groupBy("region", "kind", "month").agg(F.round(F.avg("o_totalprice"), 4).alias("rate"))
+    tables = {c: (rates.where(F.col("kind") == kind).select("region", "month", "rate"), swap) for c, (kind, swap) in MACRO.items()}
+    return market.macro_joins(sold.select("region", "company", "month").distinct(), tables, "region", "company", "month", "rate")
+
+
+ASSETS = ["click", "error", "purchase", "signup", "view"]
+
+
+def _commodities_sql() -> str:
+    fill = lambda c: f"coalesce(last_value({c} IGNORE NULLS) OVER (ORDER BY bar ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_value({c} IGNORE NULLS) OVER (ORDER BY bar ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS {c}"
+    near = "OVER (ORDER BY bar ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"
+    feats = ", ".join(f"round(stddev_samp({c}) {near}, 6) AS {c}_std, round({c} / avg({c}) {near} - 1, 6) AS {c}_off" for c in ASSETS)
+    wide = ", ".join(f"max(close) FILTER (asset = '{c}') AS {c}" for c in ASSETS)
+    return f"WITH {BARS}, p AS (SELECT bar, {wide} FROM bars GROUP BY 1), f AS (SELECT bar, {', '.join(fill(c) for c in ASSETS)} FROM p), k AS (SELECT bar, {', '.join(ASSETS)}, {feats} FROM f) SELECT asset, close, k.* FROM bars JOIN k ON bars.bar = k.bar"
 
 
-@Q("m_commodity_pivot", f"""WITH {BARS}, p AS (SELECT bar, max(close) FILTER (asset = 'purchase') AS purchase, max(close) FILTER (asset = 'error') AS error FROM bars GROUP BY 1) SELECT bar, last_value(purchase IGNORE NULLS) OVER w AS purchase, last_value(error IGNORE NULLS) OVER w AS error FROM p WINDOW w AS (ORDER BY bar)""")
+@Q("m_commodity_pivot", _commodities_sql())
 def _(s: SparkSession, d: str) -> DataFrame:
-    wide = bars(Tables(s, d)).groupBy("bar").pivot("asset", ["purchase", "error"]).agg(F.max("close"))
-    w = W.orderBy("bar").rowsBetween(W.unboundedPreceding, 0)  # a calendar of bars
-    return wide.select("bar", *(F.last(c, ignorenulls=True).over(w).alias(c) for c in ("purchase", "error")))
+    rows = bars(Tables(s, d)).select("asset", "bar", "close")
+    return rows.join(market.wide_features(rows, "bar", "asset", "close", ASSETS, 5), "bar")
 
 
 @Q("e_ttm_sum", f"WITH {REVENUE} SELECT company, quarter, CASE WHEN count(*) OVER w = 4 AND min(quarter) OVER w = CAST(quarter - INTERVAL 9 MONTH AS DATE) THEN round(sum(revenue) OVER w, 2) END AS ttm FROM revenue WINDOW w AS (PARTITION BY company ORDER BY quarter ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)")
@@ -137,22 +170,73 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return market.trailing_sum(revenue(Tables(s, d)), ["company"], "quarter", "revenue", "ttm").select("company", "quarter", F.round("ttm", 2).alias("ttm"))
 
 
-@Q("e_is_year_on_year", f"WITH {REVENUE} SELECT a.company, a.quarter, (a.revenue - b.revenue) / (0.1 + abs(b.revenue)) AS yoy FROM revenue a LEFT JOIN revenue b ON a.company = b.company AND b.quarter = CAST(a.quarter - INTERVAL 12 MONTH AS DATE)")
+#: A statement of a company (nation) and year: sums of orders by priority and status stand in for its items.
+STATEMENT = """statement AS (SELECT c_nationkey AS company, year(o_orderdate)::INTEGER AS yr, sum(o_totalprice)::DOUBLE AS revenue, (sum(o_totalprice) FILTER (o_orderpriority = '1-URGENT') - sum(o_totalprice) FILTER (o_orderpriority = '5-LOW'))::DOUBLE AS net,
+  (sum(o_totalprice) FILTER (o_orderpriority IN ('1-URGENT', '2-HIGH')))::DOUBLE AS operating, (sum(o_totalprice) FILTER (o_orderpriority = '4-NOT SPECIFIED'))::DOUBLE AS sales_cost, (sum(o_totalprice) FILTER (o_orderpriority = '3-MEDIUM'))::DOUBLE AS research,
+  (sum(o_totalprice) FILTER (o_orderstatus = 'F'))::DOUBLE AS liabilities, (CASE WHEN c_nationkey % 4 > 0 THEN sum(o_totalprice) FILTER (o_orderpriority < '4') END)::DOUBLE AS current_assets, (CASE WHEN c_nationkey % 4 > 0 THEN sum(o_totalprice) FILTER (o_orderstatus = 'O') END)::DOUBLE AS current_liabilities,
+  (CASE WHEN c_nationkey % 3 > 0 THEN -sum(o_totalprice) FILTER (o_orderstatus = 'P') END)::DOUBLE AS spent FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)"""
+
+
+def statement(t: Tables) -> DataFrame:
+    def part(where: Column) -> Column:
+        return F.sum(F.when(where, F.col("o_totalprice")))
+
+    pr, st, some = F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("c_nationkey")
+    rows = t("orders").join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    return rows.groupBy(F.col("c_nationkey").alias("company"), F.year("o_orderdate").alias("yr")).agg(
+        F.sum("o_totalprice").alias("revenue"), (part(pr == "1-URGENT") - part(pr == "5-LOW")).alias("net"), part(pr.isin("1-URGENT", "2-HIGH")).alias("operating"), part(pr == "4-NOT SPECIFIED").alias("sales_cost"), part(pr == "3-MEDIUM").alias("research"),
+        part(st == "F").alias("liabilities"), part((some % 4 > 0) & (pr < "4")).alias("current_assets"), part((some % 4 > 0) & (st == "O")).alias("current_liabilities"), (-part((some % 3 > 0) & (st == "P"))).alias("spent"),
+    )
+
+
+def _trend_sql(c: str) -> str:
+    w = "OVER (PARTITION BY company ORDER BY yr ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"CASE WHEN count({c}) {w} > 1 THEN round(100 * (regr_slope({c}, yr) {w}) / nullif(first_value({c} IGNORE NULLS) {w}, 0), 6) END"
+
+
+def _change_sql(c: str, k: int) -> str:
+    before = f"lag({c}, {k}) OVER (PARTITION BY company ORDER BY yr)"
+    return f"round(100 * ({c} - {before}) / (0.1 + abs({before})), 6)"
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.select("company", "yr", *(F.round(c, 6).alias(c) for c in columns))
+
+
+INCOME = {
+    "margin": "round(100 * net / (revenue + 0.01), 6)", "taxes": "round(100 * (operating - net) / revenue, 6)", "research_yoy": _change_sql("research", 1),
+    **{f"{c}_yoy": _change_sql(c, 1) for c in ("revenue", "net", "operating")}, **{f"{c}_yo2y": _change_sql(c, 2) for c in ("revenue", "net", "operating")},
+    **{f"{c}_trend": _trend_sql(c) for c in ("revenue", "net", "operating", "sales_share", "research_share")},
+}
+
+
+@Q("e_is_year_on_year", f"WITH {STATEMENT}, x AS (SELECT *, sales_cost / revenue AS sales_share, research / (research + operating) AS research_share FROM statement) SELECT company, yr, {', '.join(f'{v} AS {k}' for k, v in INCOME.items())} FROM x")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return market.year_on_year(revenue(Tables(s, d)), ["company"], "quarter", "revenue", "yoy").select("company", "quarter", "yoy")
+    return _rounded(market.income_kpis(statement(Tables(s, d)), ["company"], "yr"), *INCOME)
+
 
+BALANCE = {
+    "equity": "round(equity, 6)", "current_ratio": "round(current_ratio, 6)", "assets_to_liabilities": "round(100 * revenue / liabilities, 6)", "cash_to_debt": "round(100 * operating / liabilities, 6)",
+    "goodwill_share": "round(100 * research / revenue, 6)", "current_trend": _trend_sql("current_ratio"), "equity_trend": _trend_sql("equity"),
+}
 
-@Q("e_bs_ratios", "SELECT c_nationkey AS company, round(sum(greatest(c_acctbal, 0)), 2) AS assets, round(sum(least(c_acctbal, 0)), 2) AS debt, round(sum(least(c_acctbal, 0)) / nullif(sum(greatest(c_acctbal, 0)), 0), 6) AS leverage FROM customer GROUP BY 1")
+
+@Q("e_bs_ratios", f"WITH {STATEMENT}, x AS (SELECT *, revenue - liabilities AS equity, 100 * coalesce(current_assets, revenue) / coalesce(current_liabilities, liabilities) AS current_ratio FROM statement) SELECT company, yr, {', '.join(f'{v} AS {k}' for k, v in BALANCE.items())} FROM x")
 def _(s: SparkSession, d: str) -> DataFrame:
-    b = F.col("c_acctbal")
-    assets, debt = F.sum(F.greatest(b, F.lit(0.0))), F.sum(F.least(b, F.lit(0.0)))
-    return Tables(s, d)("customer").groupBy(F.col("c_nationkey").alias("company")).agg(F.round(assets, 2).alias("assets"), F.round(debt, 2).alias("debt"), F.round(fx.ratio(debt, assets), 6).alias("leverage"))
+    rows = statement(Tables(s, d)).withColumns({"assets": F.col("revenue"), "receivables": F.col("operating"), "debt": F.col("liabilities"), "goodwill": F.col("research")})
+    return _rounded(market.balance_kpis(rows, ["company"], "yr"), *BALANCE)
+
 
+CASH = {
+    "free": "round(free, 6)", "free_mean": "round(avg(free) OVER (PARTITION BY company), 6)", "into_activity": "round(100 * abs(spent) / operating, 6)", "into_acquisition": "round(100 * research / operating, 6)", "into_stock": "round(100 * net / operating, 6)",
+    "into_dividends": "round(100 * sales_cost / operating, 6)", "from_finance": "round(100 * liabilities / operating, 6)", "operating_trend": _trend_sql("operating"), "free_trend": _trend_sql("free"),
+}
 
-@Q("e_cf_free_cash", f"WITH {REVENUE} SELECT company, quarter, revenue - coalesce(CASE WHEN n_orders % 2 = 0 THEN revenue * 0.1 END, revenue * 0.2) AS free_cash FROM revenue")
+
+@Q("e_cf_free_cash", f"WITH {STATEMENT}, y AS (SELECT * REPLACE (CASE WHEN count(spent) OVER (PARTITION BY company) = 0 THEN 0.2 * operating ELSE spent END AS spent) FROM statement), x AS (SELECT *, operating + spent AS free FROM y) SELECT company, yr, {', '.join(f'{v} AS {k}' for k, v in CASH.items())} FROM x")
 def _(s: SparkSession, d: str) -> DataFrame:
-    spent = F.when(F.col("n_orders") % 2 == 0, F.col("revenue") * 0.1)
-    return revenue(Tables(s, d)).select("company", "quarter", (F.col("revenue") - F.coalesce(spent, F.col("revenue") * 0.2)).alias("free_cash"))
+    rows = statement(Tables(s, d)).withColumns({"acquired": F.col("research"), "stock": F.col("net"), "dividends": F.col("sales_cost"), "financing": F.col("liabilities")})
+    return _rounded(market.cash_kpis(rows, ["company"], "yr"), *CASH)
 
 
 NEAR = """e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), n AS (SELECT a.vec_id, b.vec_id AS other, round(list_cosine_similarity(a.v, b.v), 6) AS weight, a.label FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
@@ -189,10 +273,31 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return y.select("company", "yr", fx.clip(F.col("revenue"), 1e6, 3e7).alias("revenue"), F.round(F.avg("revenue").over(w), 4).alias("mean3"))
 
 
-@Q("e_score_additive", "SELECT s_suppkey, (CASE WHEN s_acctbal > 0 THEN 1.0 ELSE 0 END + CASE WHEN s_acctbal > 5000 THEN 0.5 ELSE 0 END + CASE WHEN s_nationkey < 10 THEN 2.0 ELSE 0 END - CASE WHEN s_acctbal < -500 THEN 1.5 ELSE 0 END)::DOUBLE AS score FROM supplier")
+#: Stand-ins for the measures of the scorecard: a balance, scaled and moved so that every step of its ladder is met.
+_MEASURE = {c: (k * 37 % 101 + 7, min(v for _, v, _ in steps), max(v for _, v, _ in steps)) for k, (c, steps) in enumerate([*market.LADDERS.items(), ("stock_year", [("<", -30, 0), ("<", 60, 0)])])}
+
+
+def _measure_sql(c: str) -> str:
+    k, low, high = _MEASURE[c]
+    return f"CASE WHEN (c_custkey + {k}) % 11 > 0 THEN round({low} + ((c_custkey * {k}) % 97 / 96.0::DOUBLE * 1.4 - 0.2) * ({high} - ({low})), 6) END"
+
+
+def _score_sql() -> str:
+    steps = {c: " ".join(f"WHEN {c} {op} {v} THEN {p}" for op, v, p in rungs) for c, rungs in market.LADDERS.items()}
+    ladders = " + ".join(f"CASE {x} ELSE 0 END::DOUBLE" for x in steps.values())
+    behind = " ".join(f"WHEN stock_year < {part}::DOUBLE * net_yoy THEN {p}" for part, p in market.STOCK_BEHIND)
+    return f"WITH m AS (SELECT c_custkey, {', '.join(f'{_measure_sql(c)} AS {c}' for c in _MEASURE)} FROM customer) SELECT c_custkey, {ladders} + CASE {behind} ELSE 0 END::DOUBLE AS score FROM m"
+
+
+@Q("e_score_additive", _score_sql())
 def _(s: SparkSession, d: str) -> DataFrame:
-    b = F.col("s_acctbal")
-    return Tables(s, d)("supplier").select("s_suppkey", market.scorecard([(b > 0, 1.0), (b > 5000, 0.5), (F.col("s_nationkey") < 10, 2.0), (b < -500, -1.5)]).alias("score"))
+    def measure(c: str) -> Column:
+        k, low, high = _MEASURE[c]
+        x = F.col("c_custkey")
+        return F.when((x + k) % 11 > 0, F.round(low + (x * k % 97 / 96 * 1.4 - 0.2) * (high - low), 6)).alias(c)
+
+    rows = Tables(s, d)("customer").select("c_custkey", *map(measure, _MEASURE))
+    return rows.select("c_custkey", market.business_score().alias("score"))
 
 
 @Q("e_prof_fields", r"SELECT p_partkey, TRY_CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS rating, string_split(p_type, ' ')[1] AS kind FROM part")
