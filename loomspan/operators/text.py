@@ -62,6 +62,38 @@ def centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
     return each.groupBy(label).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("centroid"))
 
 
+def central(df: DataFrame, label: str, key: str, vector: str, k: int) -> DataFrame:
+    """The k rows of each label with the largest sum of cosines to all rows of the label: label, key, similarity, place. The
+    sum is the product of a row's unit vector with the sum of all of them, so no pairs are made. Zero vectors count 0."""
+    long = F.sqrt(F.aggregate(F.col(vector), F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    unit = df.withColumn("__n", long).select(label, key, F.transform(vector, lambda x: F.coalesce(F.try_divide(x.cast("double"), F.col("__n")), F.lit(0.0))).alias("__u"))
+    each = unit.select(label, F.posexplode("__u").alias("i", "x")).groupBy(label, "i").agg(F.sum("x").alias("x"))
+    total = each.groupBy(label).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("__t"))
+    dot = F.aggregate(F.zip_with("__u", "__t", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    scored = unit.join(total, label).select(label, key, F.round(dot, 6).alias("similarity"))
+    w = W.partitionBy(label).orderBy(F.desc("similarity"), key)
+    return scored.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+
+
+def tree_volumes(df: DataFrame, levels: Sequence[str], flag: str) -> DataFrame:
+    """A row for each cluster of each level, from the widest: level, cluster, parent (its cluster on the level above, of the
+    smallest one if it has several; null on the first), volume, flagged, and whether it has more flagged rows than usual."""
+    usual = F.avg(F.col(flag).cast("double"))
+    names = F.explode(F.array(*(F.struct(F.lit(i).alias("level"), F.col(c).alias("cluster"), (F.col(levels[i - 1]) if i else F.lit(None).cast("int")).alias("parent")) for i, c in enumerate(levels))))
+    each = df.select(flag, names.alias("__c")).select(flag, "__c.*")
+    counted = each.groupBy("level", "cluster").agg(F.min("parent").alias("parent"), F.count("*").alias("volume"), F.count_if(F.col(flag)).alias("flagged"))
+    return counted.join(F.broadcast(df.agg(usual.alias("__u"))), F.lit(True)).withColumn("above", F.col("flagged") / F.col("volume") >= F.col("__u")).drop("__u")
+
+
+def seed_groups(seeds: DataFrame, target: str, label: str) -> DataFrame:
+    """label, final: labels of which one target has most seeds (ties: the first by name) become one, the largest of them;
+    label -1 is left out. Labels without seeds are not listed and stay what they are."""
+    counts = seeds.groupBy(label, target).agg(F.count("*").alias("n"))
+    best = counts.groupBy(label).agg(F.min_by(target, F.struct(-F.col("n"), target)).alias("__t"))
+    groups = best.groupBy("__t").agg(F.max(label).alias("final"))
+    return best.join(groups, "__t").where(F.col(label) != -1).select(label, "final")
+
+
 def label_shares(df: DataFrame, hue: str, label: str) -> DataFrame:
     """Share of labels in each hue, in percent."""
     counts = df.groupBy(hue, label).agg(F.count("*").alias("n"))

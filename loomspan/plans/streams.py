@@ -79,8 +79,18 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return files.read_latest(s, path, "o_orderkey bigint, o_totalprice double, date date").select("o_orderkey", "o_totalprice")
 
 
-@Q("src19_article_files", "SELECT CAST(conv_id AS VARCHAR) AS conv_id, text FROM conversations WHERE text <> ''")
+@Q("src19_article_files", "SELECT CAST(conv_id AS VARCHAR) AS conv_id, text FROM conversations")
 def _(s: SparkSession, d: str) -> DataFrame:
     path = shared(s, "articles")
-    Tables(s, d)("conversations").where("text <> ''").select("conv_id", "text").write.option("header", True).option("escape", '"').option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    files.write_articles(Tables(s, d)("conversations").select("conv_id", "text"), path)
     return files.read_articles(s, path)
+
+
+@Q("src11_typed_files", "SELECT p_partkey AS CODE, p_name AS NAME_OF_PART, p_size AS P_SIZE, p_retailprice AS PRICE FROM part")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Semicolons, Latin-1, headers with spaces, slashes and accents, types, and new names for some columns."""
+    path = shared(s, "typed")
+    rows = Tables(s, d)("part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    names = ["part/key", " name of part ", "p_size", "prix (é)"]
+    rows.toDF(*names).write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
+    return files.read_table(s, path, "`part/key` bigint, ` name of part ` string, p_size int, `prix (é)` double", {"PART_KEY": "CODE", "PRIX_": "PRICE"})

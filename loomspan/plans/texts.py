@@ -49,21 +49,11 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return rows.join(cut, "doc_id").where(F.length("sentence") >= F.col("q")).select("doc_id", "sentence")
 
 
-@Q("x5_spelling", f"""WITH {WORDS}, v AS (SELECT unnest(w) AS word, count(*) AS n FROM words GROUP BY 1), known AS (SELECT word AS known FROM v WHERE n >= 200), c AS (SELECT word, known, levenshtein(word, known) AS edits FROM v JOIN known ON substr(word, 1, 2) = substr(known, 1, 2) AND abs(length(word) - length(known)) <= 1 WHERE v.n < 3)
-  SELECT word, arg_min(known, (edits, known)) AS known FROM c WHERE edits = 1 GROUP BY 1""")
-def _(s: SparkSession, d: str) -> DataFrame:
-    v = words(Tables(s, d)).select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    known = v.where("n >= 200").select(F.col("word").alias("known"), F.substring("word", 1, 2).alias("head"))
-    rare = v.where("n < 3").select("word", F.substring("word", 1, 2).alias("head"))
-    near = rare.join(known, "head").where(F.abs(F.length("word") - F.length("known")) <= 1).withColumn("edits", F.levenshtein("word", "known")).where("edits = 1")
-    return near.groupBy("word").agg(F.min_by("known", F.struct("edits", "known")).alias("known"))
-
-
 #: A word is known if it makes up this share of all words.
 KNOWN_SHARE = 0.001
 
 
-@Q("x5_spelling_closest", f"""WITH {WORDS}, v AS (SELECT unnest(w) AS word, count(*) AS n FROM words GROUP BY 1), known AS (SELECT word AS known, n FROM v WHERE n >= {KNOWN_SHARE}::DOUBLE * (SELECT sum(n) FROM v)), c AS (SELECT word, known, known.n, levenshtein(word, known) AS edits FROM v, known WHERE word NOT IN (SELECT known FROM known))
+@Q("x5_spelling", f"""WITH {WORDS}, v AS (SELECT unnest(w) AS word, count(*) AS n FROM words GROUP BY 1), known AS (SELECT word AS known, n FROM v WHERE n >= {KNOWN_SHARE}::DOUBLE * (SELECT sum(n) FROM v)), c AS (SELECT word, known, known.n, levenshtein(word, known) AS edits FROM v, known WHERE word NOT IN (SELECT known FROM known))
   SELECT word, arg_min(known, (edits, -n, known)) AS known, min(edits)::INTEGER AS edits FROM c WHERE edits <= 3 GROUP BY 1""")
 def _(s: SparkSession, d: str) -> DataFrame:
     v = words(Tables(s, d)).select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
@@ -135,10 +125,12 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return models.farthest(rows, "label", "distance", 0.9)
 
 
-@Q("x16_levels", "SELECT label, label // 2 AS parent, count(*) AS n, sum(count(*)) OVER (PARTITION BY label // 2)::BIGINT AS parent_n FROM embeddings GROUP BY 1")
+@Q("x16_levels", """WITH e AS (SELECT label // 4 AS a, label // 2 AS b, label AS c, vec_id % 3 = 0 AS f FROM embeddings), u AS (SELECT avg(f::INT) AS u FROM e),
+  l AS (SELECT 0 AS level, a AS cluster, NULL::INTEGER AS parent, f FROM e UNION ALL SELECT 1, b, a, f FROM e UNION ALL SELECT 2, c, b, f FROM e)
+  SELECT level, cluster::INTEGER AS cluster, min(parent)::INTEGER AS parent, count(*) AS volume, count_if(f) AS flagged, count_if(f) / count(*) >= any_value(u) AS above FROM l, u GROUP BY 1, 2""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    each = Tables(s, d)("embeddings").groupBy("label").agg(F.count("*").alias("n")).withColumn("parent", F.expr("label div 2").cast("int"))
-    return each.join(each.groupBy("parent").agg(F.sum("n").alias("parent_n")), "parent").select("label", "parent", "n", "parent_n")
+    e = Tables(s, d)("embeddings").select(F.expr("int(label div 4)").alias("a"), F.expr("int(label div 2)").alias("b"), F.col("label").cast("int").alias("c"), (F.col("vec_id") % 3 == 0).alias("f"))
+    return text.tree_volumes(e, ["a", "b", "c"], "f")
 
 
 @Q("x17_label_shares", "SELECT source, lang, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (PARTITION BY source), 6) AS share FROM documents GROUP BY 1, 2")
@@ -146,10 +138,16 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return text.label_shares(Tables(s, d)("documents"), "source", "lang").withColumn("share", F.round("share", 6))
 
 
-@Q("x18_seed_labels", "SELECT doc_id, CASE source WHEN 'src0' THEN 'A' WHEN 'src1' THEN 'A' WHEN 'src2' THEN 'B' ELSE 'OTHER' END AS grouped FROM documents")
+@Q("x18_seed_labels", """WITH k AS (SELECT label, 'T' || (vec_id * 7 % 5) AS target, count(*) AS n FROM embeddings WHERE vec_id % 4 = 0 AND label % 5 > 0 GROUP BY 1, 2),
+  b AS (SELECT label, arg_min(target, (-n, target)) AS target FROM k GROUP BY 1), g AS (SELECT label, max(label) OVER (PARTITION BY target) AS final FROM b)
+  SELECT vec_id, CASE coalesce(final, e.label) WHEN 1 THEN 'M' WHEN 2 THEN 'M' ELSE coalesce(final, e.label)::VARCHAR END AS grouped FROM embeddings e LEFT JOIN g ON e.label = g.label""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    names = F.create_map(*map(F.lit, ("src0", "A", "src1", "A", "src2", "B")))
-    return Tables(s, d)("documents").select("doc_id", F.coalesce(names[F.col("source")], F.lit("OTHER")).alias("grouped"))
+    """Clusters that share a seed word's category become one; then a list made by hand names some."""
+    rows = Tables(s, d)("embeddings").select("vec_id", "label")
+    seeds = rows.where("vec_id % 4 = 0 and label % 5 > 0").select("label", F.concat(F.lit("T"), (F.col("vec_id") * 7 % 5).cast("string")).alias("target"))
+    merged = rows.join(F.broadcast(text.seed_groups(seeds, "target", "label")), "label", "left").select("vec_id", F.coalesce("final", "label").alias("final"))
+    named = F.create_map(*map(F.lit, ("1", "M", "2", "M")))
+    return merged.select("vec_id", F.coalesce(named[F.col("final").cast("string")], F.col("final").cast("string")).alias("grouped"))
 
 
 @Q("x19_mean_neighbours", """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), n AS (SELECT a.vec_id, b.vec_id AS other, k, round(list_cosine_similarity(a.v[1:k], b.v[1:k]), 6) AS w FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id, (VALUES (16), (32), (64)) t(k)),
@@ -165,11 +163,11 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return panel.top_by(mean, ["vec_id"], [F.desc("weight"), "other"], 3).select("vec_id", "other", "weight")
 
 
-@Q("t4_top_sentences", r"""WITH s AS (SELECT doc_id, unnest(list_distinct(list_filter(list_transform(regexp_split_to_array(text, '[.!?\n]+'), lambda s: trim(s)), lambda s: length(s) BETWEEN 10 AND 350))) AS sentence FROM documents)
-  SELECT doc_id, sentence FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length(sentence) DESC, sentence) AS n FROM s) WHERE n <= 3""")
+@Q("t4_top_sentences", """WITH u AS (SELECT vec_id, label, i, embedding[i]::DOUBLE / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS x FROM embeddings, generate_series(1, 64) g(i)), t AS (SELECT label, i, sum(x) AS t FROM u GROUP BY 1, 2),
+  s AS (SELECT vec_id, u.label, round(sum(x * t), 6) AS similarity FROM u JOIN t ON u.label = t.label AND u.i = t.i GROUP BY 1, 2) SELECT label, vec_id, similarity, place FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY similarity DESC, vec_id)::INTEGER AS place FROM s) WHERE place <= 30""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    rows = Tables(s, d)("documents").select("doc_id", F.explode(F.array_distinct(text.sentences(F.col("text"), 10, 350))).alias("sentence"))
-    return panel.top_by(rows, ["doc_id"], [F.desc(F.length("sentence")), "sentence"], 3).select("doc_id", "sentence")
+    """The sentences of a cluster that are most like all others of it."""
+    return text.central(Tables(s, d)("embeddings"), "label", "vec_id", "embedding", 30)
 
 
 @Q("ml1_boosted_trees")

@@ -58,9 +58,18 @@ def read_latest(spark: SparkSession, path: str, schema: str, date_column: str =
     return reader.csv(f"{path.rstrip('/')}/{max(parts)}") if parts else spark.createDataFrame([], schema)
 
 
+#: How articles are written: quotes doubled, every field quoted, spaces kept, and a text that is missing told from an
+#: empty one.
+_ARTICLES = {"header": True, "escape": '"', "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": "", "nullValue": "\\N"}
+
+
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """Articles of all CSV files of a folder, quoted fields over several lines."""
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return spark.read.options(**_ARTICLES).option("multiLine", True).csv(path)
+
+
+def write_articles(df: DataFrame, path: str) -> None:
+    df.write.options(**_ARTICLES).csv(path)
 
 
 def write_table(df: DataFrame, path: str, sep: str = ";") -> None:
