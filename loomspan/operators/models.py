@@ -12,18 +12,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 
-def boosted_trees(train: DataFrame, features: Sequence[str], target: str, weight: str | None = None, rounds: int = 20, depth: int = 4, seed: int = 1):
-    """Gradient-boosted regression trees; the model has predict(df) -> df with prediction."""
-    from pyspark.ml.feature import VectorAssembler
+def boosted_trees(train: DataFrame, features: Sequence[str], target: str, weight: str | None = None, categories: Sequence[str] = (), check: str | None = None, rounds: int = 20, depth: int = 4, seed: int = 1):
+    """Gradient-boosted regression trees; the model has predict(df) -> df with prediction. categories: features that are
+    names; ones not seen before are a category of their own. check: a column that is true for rows that decide when to
+    stop, and of which nothing is learned."""
+    from pyspark.ml.feature import StringIndexer, VectorAssembler, VectorIndexer
     from pyspark.ml.regression import GBTRegressor
 
-    gather = VectorAssembler(inputCols=list(features), outputCol="__x", handleInvalid="keep")
-    trees = GBTRegressor(featuresCol="__x", labelCol=target, maxIter=rounds, maxDepth=depth, seed=seed, predictionCol="prediction")
-    fitted = (trees.setWeightCol(weight) if weight else trees).fit(gather.transform(train.dropna(subset=[target])))
+    whole = train.dropna(subset=[target])
+    index = StringIndexer(inputCols=list(categories), outputCols=[f"__{c}" for c in categories], handleInvalid="keep").fit(whole) if categories else None
+    indexed = (lambda df: index.transform(df)) if index else (lambda df: df)
+    most = max([2, *(len(v) + 1 for v in index.labelsArray)]) if index else 2
+    gather = VectorAssembler(inputCols=[*(f"__{c}" for c in categories), *features], outputCol="__f", handleInvalid="keep")
+    # which features are categories is known by how few values they have; plain ones are told by the slots' order
+    kinds = VectorIndexer(inputCol="__f", outputCol="__x", maxCategories=most, handleInvalid="keep").fit(gather.transform(indexed(whole))) if categories else None
+    laid = (lambda df: kinds.transform(gather.transform(indexed(df)))) if kinds else (lambda df: gather.transform(df).withColumnRenamed("__f", "__x"))
+    trees = GBTRegressor(featuresCol="__x", labelCol=target, maxIter=rounds, maxDepth=depth, seed=seed, predictionCol="prediction", maxBins=max(32, most + 1))
+    if weight:
+        trees = trees.setWeightCol(weight)
+    if check:
+        trees = trees.setValidationIndicatorCol(check)
+    fitted = trees.fit(laid(whole))
 
     class Model:
         def predict(self, df: DataFrame) -> DataFrame:
-            return fitted.transform(gather.transform(df)).drop("__x")
+            return fitted.transform(laid(df)).drop("__f", "__x", *(f"__{c}" for c in categories))
 
     return Model()
 
@@ -41,31 +54,93 @@ def cross_validated(df: DataFrame, keys: Sequence[str], features: Sequence[str],
     return reduce(DataFrame.union, made), boosted_trees(dealt, features, target, **settings)
 
 
-def seasonal(df: DataFrame, by: Sequence[str], day: str, target: str, ahead: int, yearly: int = 3, weekly: int = 2, ridge: float = 1.0) -> DataFrame:
-    """A trend with yearly and weekly waves for each key, fitted by least squares, and so many days ahead: keys,
-    day, prediction. A key is a series of days, so it fits in one task."""
+#: Periods in days and numbers of waves, and changes of trend, spread over the first four fifths of the days.
+WAVES, CHANGES = ((365.25, 3), (30.5, 2), (7.0, 2)), 10
+
+
+def design(t: np.ndarray, low: float, high: float, holidays: np.ndarray) -> np.ndarray:
+    """Columns of the seasonal model for days t: level, trend, its changes, waves, and a column for each holiday."""
+    x = (t - low) / max(high - low, 1.0)
+    bends = [np.maximum(x - 0.8 * k / CHANGES, 0.0) for k in range(1, CHANGES + 1)]
+    waves = [f(2 * np.pi * k * t / period) for period, n in WAVES for k in range(1, n + 1) for f in (np.sin, np.cos)]
+    return np.column_stack([np.ones_like(x), x, *bends, *waves, holidays])
+
+
+def seasonal(df: DataFrame, by: Sequence[str], day: str, target: str, ahead: int, names: Sequence[str] = (), ridge: float = 1.0) -> DataFrame:
+    """A trend that may bend, with yearly, monthly and weekly waves and holidays, for each key, fitted by least squares with
+    a penalty on all but level and trend, and so many days ahead: keys, day, prediction. names: holidays that count. A key
+    is a series of days, so it fits in one task."""
+    from loomspan.functions.calendar import holidays
+    from loomspan.operators.panel import horizon
+
     types = {f.name: f.dataType.simpleString() for f in df.schema}
+    rows = horizon(df.select(*by, day, target).where(F.col(target).isNotNull()), by, day, ahead)
+    years = rows.select(F.year(day).alias("year")).distinct()
+    # eleven rows a year
+    listed = F.broadcast(holidays(years).where(F.col("holiday").isin(list(names))))
+    rows = rows.join(listed, F.col(day) == F.col("holiday_date"), "left").drop("holiday_date")
+
+    def one(some: pd.DataFrame) -> pd.DataFrame:
+        some = some.sort_values(day)
+        t = pd.to_datetime(some[day]).map(pd.Timestamp.toordinal).to_numpy(float)
+        known = some[target].notna().to_numpy()
+        seen = [np.asarray(some["holiday"] == n, float) for n in names]
+        a = design(t, t[known][0], t[known][-1], np.column_stack(seen) if seen else np.zeros((len(t), 0)))
+        penalty = ridge * np.diag([1e-9, 1e-9, *[1.0] * (a.shape[1] - 2)])
+        beta = np.linalg.solve(a[known].T @ a[known] + penalty, a[known].T @ some[target].to_numpy(float)[known])
+        return some.loc[~known, [*by, day]].assign(prediction=a[~known] @ beta)
 
-    def design(t: np.ndarray, lo: float, hi: float) -> np.ndarray:
-        x = (t - lo) / max(hi - lo, 1.0)
-        waves = [f(2 * np.pi * k * t / period) for period, n in ((365.25, yearly), (7.0, weekly)) for k in range(1, n + 1) for f in (np.sin, np.cos)]
-        return np.column_stack([np.ones_like(x), x, *waves])
+    schema = ", ".join(f"`{c}` {types[c]}" for c in [*by, day]) + ", prediction double"
+    # two holidays on one day are one row
+    once = rows.groupBy(*by, day).agg(F.first(target, ignorenulls=True).alias(target), F.min("holiday").alias("holiday"))
+    return once.groupBy(*by).applyInPandas(one, schema)
+
+
+def boost(x: np.ndarray, y: np.ndarray, rounds: int, rate: float, bins: int) -> list[tuple[int, float, float, float]]:
+    """Boosted stumps: the mean first (as a stump on nothing), then for each round the feature, the cut and the two
+    values that take most from the squares of what is left. Cuts are at quantiles."""
+    out, left = [(-1, 0.0, float(y.mean()), float(y.mean()))], y - y.mean()
+    cuts = [np.unique(np.quantile(c, np.arange(1, bins) / bins)) for c in x.T]
+    for _ in range(rounds):
+        best = None
+        for j, at in enumerate(cuts):
+            for c in at:
+                low = x[:, j] <= c
+                n = int(low.sum())
+                if 0 < n < len(y):
+                    a, b = left[low].mean(), left[~low].mean()
+                    gain = n * a * a + (len(y) - n) * b * b
+                    if best is None or gain > best[0] + 1e-12:
+                        best = gain, j, float(c), rate * float(a), rate * float(b)
+        if best is None:
+            break
+        out.append(best[1:])
+        left = left - np.where(x[:, best[1]] <= best[2], best[3], best[4])
+    return out
+
+
+def boosted_value(stumps: list[tuple[int, float, float, float]], x: np.ndarray) -> np.ndarray:
+    return sum(np.where(x[:, j] <= c, a, b) if j >= 0 else np.full(len(x), a) for j, c, a, b in stumps)
+
+
+def item_models(df: DataFrame, by: Sequence[str], day: str, features: Sequence[str], target: str, cut: str, rounds: int = 40, rate: float = 0.2, bins: int = 8) -> DataFrame:
+    """A model of boosted stumps for each key, trained on the days before cut and used on those from it on: by, day, target,
+    prediction. Rows without a feature or the target do not count; keys without days before cut give none. A key is a series of
+    days, so it fits in one task."""
+    types = {f.name: f.dataType.simpleString() for f in df.schema}
+    kept = [*by, day, target]
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.dropna(subset=[target]).sort_values(day)
-        if rows.empty:
-            return pd.DataFrame({**{c: pd.Series(dtype=object) for c in by}, day: [], "prediction": []})
-        t = pd.to_datetime(rows[day]).map(pd.Timestamp.toordinal).to_numpy(float)
-        a = design(t, t[0], t[-1])
-        beta = np.linalg.solve(a.T @ a + ridge * np.eye(a.shape[1]), a.T @ rows[target].to_numpy(float))
-        future = t[-1] + np.arange(1, ahead + 1)
-        out = pd.DataFrame({day: [pd.Timestamp.fromordinal(int(x)).date() for x in future], "prediction": design(future, t[0], t[-1]) @ beta})
-        for c in by:
-            out[c] = rows[c].iloc[0]
-        return out[[*by, day, "prediction"]]
+        rows = rows.sort_values(day)
+        old = (pd.to_datetime(rows[day]) < pd.Timestamp(cut)).to_numpy()
+        if not old.any():
+            return rows.iloc[:0][kept].assign(prediction=pd.Series(dtype=float))
+        x = rows[list(features)].to_numpy(float)
+        stumps = boost(x[old], rows[target].to_numpy(float)[old], rounds, rate, bins)
+        return rows.loc[~old, kept].assign(prediction=boosted_value(stumps, x[~old]))
 
-    schema = ", ".join(f"`{c}` {types[c]}" for c in [*by, day]) + ", prediction double"
-    return df.select(*by, day, target).groupBy(*by).applyInPandas(one, schema)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in kept) + ", prediction double"
+    return df.select(*dict.fromkeys([*kept, *features])).dropna().groupBy(*by).applyInPandas(one, schema)
 
 
 def tame_outliers(df: DataFrame, by: Sequence[str], day: str, x: str, p: float) -> DataFrame:
@@ -87,16 +162,18 @@ def clusters(df: DataFrame, vector: str, k: int, seed: int = 1, tree: bool = Fal
     return model.transform(data).drop("__v")
 
 
-def principal(df: DataFrame, vector: str, share: float, most: int) -> DataFrame:
-    """Standardised vectors on as many principal components as explain a share of the variance. Adds reduced."""
+def principal(df: DataFrame, vector: str, share: float) -> DataFrame:
+    """Standardised vectors on as many principal components as explain a share of the variance. Adds reduced. Vectors are
+    of one length."""
     from pyspark.ml.feature import PCA, StandardScaler
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     data = df.withColumn("__v", array_to_vector(F.col(vector)))
     scaled = StandardScaler(inputCol="__v", outputCol="__s", withMean=True).fit(data).transform(data)
-    model = PCA(k=most, inputCol="__s", outputCol="__p").fit(scaled)
-    k = int(np.searchsorted(np.cumsum(model.explainedVariance.toArray()), share)) + 1
-    return model.transform(scaled).withColumn("reduced", F.slice(vector_to_array("__p"), 1, min(k, most))).drop("__v", "__s", "__p")
+    dim = data.select(F.max(F.size(vector))).first()[0]
+    model = PCA(k=dim, inputCol="__s", outputCol="__p").fit(scaled)
+    k = min(int(np.searchsorted(np.cumsum(model.explainedVariance.toArray()), share)) + 1, dim)
+    return model.transform(scaled).withColumn("reduced", F.slice(vector_to_array("__p"), 1, k)).drop("__v", "__s", "__p")
 
 
 def farthest(df: DataFrame, by: str, distance: str, p: float) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomspan.functions import scalars as fx
 from loomspan.operators import models, panel, text
 from loomspan.operators import windows as win
 from loomspan.operators.aggregates import quantiles
@@ -102,7 +103,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @Q("x12_principal_components")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return models.principal(Tables(s, d)("embeddings"), "embedding", 0.95, 64).select("vec_id", F.size("reduced").alias("n"), "reduced")
+    return models.principal(Tables(s, d)("embeddings"), "embedding", 0.95).select("vec_id", F.size("reduced").alias("n"), "reduced")
 
 
 @Q("x13_cluster_tree")
@@ -172,15 +173,19 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @Q("ml1_boosted_trees")
 def _(s: SparkSession, d: str) -> DataFrame:
-    w = win.ordered(["grp"], ["day"])
-    rows = win.lag_bank(daily(Tables(s, d)), "amount", [1, 7, 14], w, "lag_").withColumn("weekday", F.weekday("day")).dropna()
-    made, _ = models.cross_validated(rows, ["grp", "day"], ["lag_1", "lag_7", "lag_14", "weekday"], "amount", 5)
+    """Lags and the weekday of each group, the group a category, late rows with more weight; every row is predicted by the
+    model of the other folds."""
+    w, full = win.ordered(["grp"], ["day"]), daily(Tables(s, d))
+    rows = win.lag_bank(full, "amount", [1, 7, 14], w, "lag_").withColumn("weekday", F.weekday("day")).dropna()
+    last = full.agg(F.max("day")).first()[0]
+    rows = rows.withColumn("weight", fx.decay(F.datediff(F.lit(last), F.col("day")), 365, 60) + 0.1)
+    made, _ = models.cross_validated(rows, ["grp", "day"], ["lag_1", "lag_7", "lag_14", "weekday"], "amount", 5, weight="weight", categories=["grp"])
     return made.select("grp", "day", "amount", "prediction")
 
 
 @Q("ml2_seasonal_forecast")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return models.seasonal(daily(Tables(s, d)), ["grp"], "day", "amount", 14)
+    return models.seasonal(daily(Tables(s, d)), ["grp"], "day", "amount", 14, ["NEW_YEAR", "LABOUR", "NATIONAL", "CHRISTMAS"])
 
 
 @Q("ml3_tamed", "WITH daily AS (SELECT p_brand AS grp, CAST(l_shipdate AS DATE) AS day, round(sum(l_extendedprice), 2) AS amount FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2), m AS (SELECT *, quantile_cont(amount, 0.95) OVER (PARTITION BY grp) AS c, median(CASE WHEN amount > 0 THEN amount END) OVER (PARTITION BY grp, month(day)) AS u FROM daily) SELECT grp, day, CASE WHEN amount > c OR amount = 0 THEN u ELSE amount END AS tamed FROM m")
@@ -202,8 +207,6 @@ def _(s: SparkSession, d: str) -> DataFrame:
 @Q("ml4_item_backtest")
 def _(s: SparkSession, d: str) -> DataFrame:
     """A model for each group, trained before a day and scored after it."""
-    rows = daily(Tables(s, d))
-    cut = "2001-07-01"
-    made = models.seasonal(rows.where(F.col("day") < cut), ["grp"], "day", "amount", 60)
-    both = made.join(rows.select("grp", "day", "amount"), ["grp", "day"])
-    return both.groupBy("grp").agg(F.avg(F.abs(F.col("amount") - F.col("prediction")) / F.col("amount")).alias("mape"), F.count("*").alias("n"))
+    rows = win.lag_bank(daily(Tables(s, d)), "amount", [1, 7, 14], win.ordered(["grp"], ["day"]), "lag_").withColumn("weekday", F.weekday("day"))
+    made = models.item_models(rows, ["grp"], "day", ["lag_1", "lag_7", "lag_14", "weekday"], "amount", "2001-07-01")
+    return made.groupBy("grp").agg(F.avg(F.abs(F.col("amount") - F.col("prediction")) / F.col("amount")).alias("mape"), F.count("*").alias("n"))

@@ -11,7 +11,7 @@ from loomspan.operators import demand, joins, market, panel, store
 from loomspan.operators import recurrences as rec
 from loomspan.operators import windows as win
 from loomspan.sources import files
-from loomspan.streaming.bars import extend, fresh
+from loomspan.streaming.bars import extend, fresh, stream_bars
 
 
 def values(df, *columns):
@@ -101,10 +101,45 @@ def test_split_adds_up_and_spreads_evenly_without_weights(spark):
     assert values(demand.split_forecast(forecast, weights, ["g"], "f", "w"), "g", "i", "part") == [("a", 1, 3.0), ("a", 2, 6.0), ("b", 1, 2.0), ("b", 2, 2.0)]
 
 
-def test_allocation_sums_to_one(spark):
-    df = spark.createDataFrame([("a", 0.5), ("b", 0.0), ("c", -0.9)], "k string, p double")
-    got = {r.k: r.share for r in market.allocation(df, "k", "p").collect()}
-    assert sum(got.values()) == pytest.approx(1) and got["a"] > got["b"] > got["c"] == 0
+def test_allocation_leaves_out_what_is_above_target(spark):
+    df = spark.createDataFrame([("a", 0.5, 10.0), ("b", 0.0, 900.0), ("c", -0.9, 0.0), ("d", 0.1, 90.0)], "k string, p double, v double")
+    got = {r.k: r for r in market.allocation(df, "k", "p", "v", 1000.0).collect()}
+    assert sum(r.target for r in got.values()) == pytest.approx(1) and got["a"].target > got["b"].target > got["c"].target == 0
+    assert got["b"].cash == 0 and got["b"].actual == pytest.approx(0.9)
+    cash = got["a"].target / (got["a"].target + got["c"].target + got["d"].target) * 1000 - 0.4
+    assert got["a"].cash == round(cash) and sum(r.cash for r in got.values()) <= 1000
+
+
+def test_fold_of_a_long_series(spark):
+    """Several chunks, and the last one not full."""
+    rows = [("a", i, float(i % 5)) for i in range(3 * rec.CHUNK + 7)] + [("b", 0, 1.0)]
+    step = lambda s, r: F.struct((s["t"] * 0.5 + r["x"]).alias("t"))
+    df = spark.createDataFrame(rows, "k string, i int, x double")
+    got = values(rec.fold(df, ["k"], ["i"], ["x"], F.struct(F.lit(0.0).alias("t")), step, "s").select("k", "i", "x", F.col("s.t").alias("t")), "k", "i", "t")
+    want, total, before = [], 0.0, None
+    for k, i, x in rows:
+        total = (total if k == before else 0.0) * 0.5 + x
+        before = k
+        want.append((k, i, total))
+    assert got == sorted(want, key=repr)
+
+
+def test_quantiles_are_those_of_percentile(spark):
+    draw = random.Random(3)
+    df = spark.createDataFrame([(draw.choice([None, float(draw.randint(0, 9)), draw.random() * 9]),) for _ in range(400)], "x double").repartition(5)
+    p = [0.0, 0.1, 1 / 3, 0.5, 0.975, 1.0]
+    assert ag.quantiles(df, "x", p) == pytest.approx(df.agg(F.percentile("x", p)).first()[0], abs=1e-12)
+    assert ag.quantiles(df.where("x is null"), "x", p) == []
+
+
+def test_late_rows_are_dropped_by_the_watermark(spark, tmp_path):
+    t = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    schema, source, out, progress = "a string, ts timestamp, v double, id int", str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "progress")
+    for some in ([("x", t(1), 1.0, 1), ("x", t(5), 2.0, 2)], [("x", t(1, 5), 9.0, 3), ("x", t(4, 50), 3.0, 4)], [("x", t(23), 0.0, 5)]):
+        spark.createDataFrame(some, schema).write.mode("append").parquet(source)
+        bars = stream_bars(spark.readStream.schema(schema).parquet(source), "a", "ts", "v", "id")
+        bars.writeStream.format("parquet").outputMode("append").option("checkpointLocation", progress).trigger(availableNow=True).start(out).awaitTermination()
+    assert values(spark.read.parquet(out), "bar", "close") == [(t(1), 1.0), (t(4, 45), 3.0), (t(5), 2.0)]
 
 
 def test_panel_helpers(spark):
@@ -134,6 +169,23 @@ def test_files_round_trip(spark, tmp_path):
     assert values(got, *got.columns) == [(1, "é", 2.5), (2, None, None)]
 
 
+def test_latest_folder_is_found_by_its_name(spark, tmp_path):
+    df = spark.createDataFrame([(1, "2024-01-31"), (2, "2024-02-01"), (3, "2023-12-01")], "x int, date string")
+    df.write.partitionBy("date").option("header", True).csv(str(tmp_path / "t"))
+    got = files.read_latest(spark, str(tmp_path / "t"), "x int, date date")
+    assert [(r.x, str(r.date)) for r in got.collect()] == [(2, "2024-02-01")]
+    assert len(got.inputFiles()) == 1
+    (tmp_path / "none").mkdir()
+    assert files.read_latest(spark, str(tmp_path / "none"), "x int, date date").count() == 0
+
+
+def test_articles_keep_empty_and_missing_texts(spark, tmp_path):
+    rows = [(1, ""), (2, None), (3, ' a "b"\n\nc, '), (4, "\\N"), (5, "\\")]
+    files.write_articles(spark.createDataFrame(rows[:3] + rows[4:], "id int, text string"), str(tmp_path / "t"))
+    got = sorted((int(r.id), r.text) for r in files.read_articles(spark, str(tmp_path / "t")).collect())
+    assert got == rows[:3] + rows[4:]
+
+
 def test_stream_tail_and_freshness(spark):
     t = lambda h: dt.datetime(2024, 1, 1, h)
     old = spark.createDataFrame([("a", t(1), 1.0)], "asset string, bar timestamp, close double")
