@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -60,14 +62,23 @@ def overlap(a: DataFrame, b: DataFrame, on: list[str], start: str = "lo", end: s
     return pairs.where((high > low) & (F.col("__bucket") == F.floor(low / width))).withColumn("overlap", high - low).drop("__bucket")
 
 
-#: Centres that nearest() will broadcast.
+#: Centres that nearest() broadcasts at once.
 MOST_CENTRES = 10_000
 
 
 def nearest(rows: DataFrame, centres: DataFrame, distance: Column, keys: list[str], k: int) -> DataFrame:
-    """The k nearest of a few centres for each row. Centres are broadcast; more than MOST_CENTRES are refused."""
-    if centres.limit(MOST_CENTRES + 1).count() > MOST_CENTRES:
-        raise ValueError(f"more than {MOST_CENTRES} centres: use an index")
-    each = rows.join(F.broadcast(centres), F.lit(True)).withColumn("distance", distance)
+    """The k nearest centres of each row. No more than about MOST_CENTRES are broadcast at a time; where there are more,
+    the rows go over one part of them after the other, and of each part only the k nearest are kept."""
+    parts = -(-centres.count() // MOST_CENTRES)
     w = W.partitionBy(*keys).orderBy("distance", *centres.columns[:1])
-    return each.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+
+    def best(df: DataFrame) -> DataFrame:
+        return df.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+
+    def against(some: DataFrame) -> DataFrame:
+        return best(rows.join(F.broadcast(some), F.lit(True)).withColumn("distance", distance))
+
+    if parts <= 1:
+        return against(centres)
+    dealt = [centres.where(F.pmod(F.xxhash64(centres.columns[0]), F.lit(parts)) == i) for i in range(parts)]
+    return best(reduce(DataFrame.union, [against(c).drop("place") for c in dealt]))

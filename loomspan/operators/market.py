@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -125,16 +127,40 @@ def year_on_year(df: DataFrame, by: Sequence[str], quarter: str, x: str, into: s
     return df.join(before, [*by, quarter], "left").withColumn(into, (F.col(x) - F.col("__b")) / (0.1 + F.abs("__b"))).drop("__b")
 
 
-def neighbours(df: DataFrame, key: str, sector: str, vector: str, k: int, least: float) -> DataFrame:
-    """The k most similar of the same sector (cosine at least least) with weights: key, other, weight, place.
-    Sectors are bounded groups of companies; for open-ended tables use an index."""
-    from loomspan.functions.scalars import cosine
+#: Rows of a sector that are compared in one piece of work, about.
+NEAR_BLOCK = 2000
+
 
-    other = df.select(F.col(key).alias("other"), sector, F.col(vector).alias("__v"))
-    pairs = df.select(key, sector, vector).join(other, sector).where(F.col(key) != F.col("other"))
-    scored = pairs.select(key, "other", F.round(cosine(F.col(vector), F.col("__v")), 6).alias("weight")).where(F.col("weight") >= least)
+def neighbours(df: DataFrame, key: str, sector: str, vector: str, k: int, least: float) -> DataFrame:
+    """The k most similar of the same sector (cosine, rounded to six digits, at least least) with weights: key, other,
+    weight, place. A sector is cut into blocks, and a piece of work holds two blocks and returns the k best of each row,
+    never all pairs. Zero vectors and nulls have no neighbours."""
+    types = {f.name: f.dataType.simpleString() for f in df.schema}
+    sizes = df.groupBy(sector).agg(F.ceil(F.count("*") / NEAR_BLOCK).cast("int").alias("__n"))
+    rows = df.select(sector, key, F.transform(vector, lambda x: x.cast("double")).alias("__v")).join(sizes, sector).withColumn("__b", F.pmod(F.xxhash64(key), "__n").cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("__n") - 1))
+    # new columns on both sides, which else are the same to the planner
+    left = rows.select(F.col(sector).alias("__s"), F.col("__b").alias("__i"), every.alias("__j"), F.col(key).alias("__k"), F.concat("__v").alias("__x"))
+    right = rows.select(F.col(sector).alias("__t"), every.alias("__k1"), F.col("__b").alias("__k2"), F.col(key).alias("__k"), F.concat("__v").alias("__x"))
+
+    def unit(some: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        rows = [(i, np.asarray(v, float)) for i, v in zip(some["__k"], some["__x"], strict=True) if v is not None]
+        rows = [(i, v / np.linalg.norm(v)) for i, v in rows if np.linalg.norm(v) > 0]
+        return np.array([i for i, _ in rows]), np.array([v for _, v in rows]).reshape(len(rows), -1)
+
+    def best(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        (a, x), (b, y) = unit(mine), unit(theirs)
+        out = []
+        if len(a) and len(b):
+            for i, row in enumerate(np.round(x @ y.T, 6) + 0.0):
+                ok = np.flatnonzero((row >= least) & (b != a[i]))
+                ok = ok[np.lexsort((b[ok], -row[ok]))][:k]
+                out += [(a[i], b[j], row[j]) for j in ok]
+        return pd.DataFrame(out, columns=[key, "other", "weight"])
+
+    near = left.groupBy("__s", "__i", "__j").cogroup(right.groupBy("__t", "__k1", "__k2")).applyInPandas(best, f"`{key}` {types[key]}, other {types[key]}, weight double")
     w = W.partitionBy(key).orderBy(F.desc("weight"), "other")
-    return scored.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+    return near.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
 
 def peer_gap(df: DataFrame, near: DataFrame, key: str, x: str) -> DataFrame:

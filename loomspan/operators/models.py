@@ -182,6 +182,27 @@ def farthest(df: DataFrame, by: str, distance: str, p: float) -> DataFrame:
     return df.join(cuts, by).withColumn("outlier", F.col(distance) > F.col("__c")).drop("__c")
 
 
+def perceptron(df: DataFrame, keys: Sequence[str], vector: str, label: str, k: int, hidden: Sequence[int], rounds: int = 60, seed: int = 1) -> DataFrame:
+    """A feed-forward network on arrays of numbers; every row is classified by the one trained on the other folds. Adds
+    fold, predicted and probability."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.feature import IndexToString, StringIndexer
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    dealt = folds(df, keys, k, seed).withColumn("__v", array_to_vector(F.col(vector)))
+    index = StringIndexer(inputCol=label, outputCol="__y", stringOrderType="alphabetAsc").fit(dealt)
+    names = IndexToString(inputCol="__p", outputCol="__l", labels=index.labels)
+    data = index.transform(dealt)
+    layers = [data.select(F.max(F.size(vector))).first()[0], *hidden, len(index.labels)]
+
+    def fold(i: int) -> DataFrame:
+        net = MultilayerPerceptronClassifier(featuresCol="__v", labelCol="__y", predictionCol="__p", probabilityCol="__q", layers=layers, maxIter=rounds, seed=seed)
+        return net.fit(data.where(F.col("fold") != i)).transform(data.where(F.col("fold") == i))
+
+    out = names.transform(reduce(DataFrame.union, [fold(i) for i in range(k)]))
+    return out.withColumn("predicted", F.col("__l").cast(df.schema[label].dataType)).withColumn("probability", F.array_max(vector_to_array("__q"))).drop("__v", "__y", "__p", "__q", "__l", "rawPrediction")
+
+
 def latest_by(df: DataFrame, key: str, at: str) -> DataFrame:
     w = W.partitionBy(key).orderBy(F.desc(at))
     return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")

@@ -94,3 +94,14 @@ def _(s: SparkSession, d: str) -> DataFrame:
     names = ["part/key", " name of part ", "p_size", "prix (é)"]
     rows.toDF(*names).write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
     return files.read_table(s, path, "`part/key` bigint, ` name of part ` string, p_size int, `prix (é)` double", {"PART_KEY": "CODE", "PRIX_": "PRICE"})
+
+
+@Q("src15_exchange_bars", f"WITH {BARS} SELECT asset AS pair, bar AS at_, open, high, low, close, volume::DOUBLE AS volume, volume::BIGINT AS trades FROM bars")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """An answer for each asset and day, as an exchange gives it, and the bars out of it."""
+    rows = bars(Tables(s, d))
+    text = lambda c: F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))
+    bar = F.concat(F.lit("["), F.concat_ws(",", F.unix_timestamp("bar").cast("string"), *map(text, ("open", "high", "low", "close", "close", "volume")), F.col("volume").cast("string")), F.lit("]"))
+    lists = rows.groupBy("asset", F.to_date("bar")).agg(F.array_join(F.collect_list(bar), ",").alias("l"))
+    answers = lists.select(F.concat(F.lit('{"error":[],"result":{"'), "asset", F.lit('":['), "l", F.lit('],"last":1}}')).alias("answer"))
+    return files.parse_bars(answers, "answer").withColumnRenamed("at", "at_")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.functions import scalars as fx
@@ -151,17 +151,19 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return merged.select("vec_id", F.coalesce(named[F.col("final").cast("string")], F.col("final").cast("string")).alias("grouped"))
 
 
-@Q("x19_mean_neighbours", """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), n AS (SELECT a.vec_id, b.vec_id AS other, k, round(list_cosine_similarity(a.v[1:k], b.v[1:k]), 6) AS w FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id, (VALUES (16), (32), (64)) t(k)),
-  m AS (SELECT vec_id, other, round(avg(w), 6) AS weight FROM n GROUP BY 1, 2) SELECT vec_id, other, weight FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY weight DESC, other) AS place FROM m) WHERE place <= 3""")
+@Q("x19_mean_neighbours", """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), n AS (SELECT a.vec_id, b.vec_id AS other, k, list_cosine_similarity(a.v[1:k], b.v[1:k]) AS w FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id, (VALUES (16), (32), (64)) t(k)),
+  m AS (SELECT vec_id, other, round(avg(w), 6) + 0.0 AS weight FROM n GROUP BY 1, 2) SELECT vec_id, other, weight FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY weight DESC, other) AS place FROM m) WHERE place <= 3""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    from functools import reduce
-
+    """The mean of the cosines at three depths is the cosine of the three unit vectors end to end."""
     from loomspan.operators.market import neighbours
 
-    rows = Tables(s, d)("embeddings")
-    depths = [neighbours(rows.select("vec_id", "label", F.slice("embedding", 1, k).alias("v")), "vec_id", "label", "v", 10**6, -2.0) for k in (16, 32, 64)]
-    mean = reduce(DataFrame.union, depths).groupBy("vec_id", "other").agg(F.round(F.avg("weight"), 6).alias("weight"))
-    return panel.top_by(mean, ["vec_id"], [F.desc("weight"), "other"], 3).select("vec_id", "other", "weight")
+    def depth(k: int) -> Column:
+        v = F.slice("embedding", 1, k)
+        n = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+        return F.transform(v, lambda x: x.cast("double") / n)
+
+    rows = Tables(s, d)("embeddings").select("vec_id", "label", F.concat(*(depth(k) for k in (16, 32, 64))).alias("v"))
+    return neighbours(rows, "vec_id", "label", "v", 3, -2.0).select("vec_id", "other", "weight")
 
 
 @Q("t4_top_sentences", """WITH u AS (SELECT vec_id, label, i, embedding[i]::DOUBLE / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS x FROM embeddings, generate_series(1, 64) g(i)), t AS (SELECT label, i, sum(x) AS t FROM u GROUP BY 1, 2),
@@ -210,3 +212,9 @@ def _(s: SparkSession, d: str) -> DataFrame:
     rows = win.lag_bank(daily(Tables(s, d)), "amount", [1, 7, 14], win.ordered(["grp"], ["day"]), "lag_").withColumn("weekday", F.weekday("day"))
     made = models.item_models(rows, ["grp"], "day", ["lag_1", "lag_7", "lag_14", "weekday"], "amount", "2001-07-01")
     return made.groupBy("grp").agg(F.avg(F.abs(F.col("amount") - F.col("prediction")) / F.col("amount")).alias("mape"), F.count("*").alias("n"))
+
+
+@Q("ml7_perceptron")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """The label of every vector by networks trained on the other folds, with its probability."""
+    return models.perceptron(Tables(s, d)("embeddings"), ["vec_id"], "embedding", "label", 3, [32]).select("vec_id", "label", "predicted", "probability")

@@ -39,6 +39,18 @@ def read_bars(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return df.withColumn("at", F.timestamp_seconds("epoch")).withColumn("file", F.regexp_extract(F.input_file_name(), "([^/]+)$", 1))
 
 
+def parse_bars(payloads: DataFrame, column: str) -> DataFrame:
+    """Bars out of an exchange's answers, JSON text: result holds a list of bars by pair (and last, which is none), a bar
+    is [time, open, high, low, close, mean, volume, trades], numbers as text or not. pair, at, open, high, low, close, volume,
+    trades; answers without a result give nothing, and what is no number is null."""
+    result = F.from_json(F.get_json_object(column, "$.result"), "map<string, string>")
+    pairs = payloads.select(F.explode(F.map_filter(result, lambda k, _: k != "last")).alias("pair", "list"))
+    rows = pairs.select("pair", F.explode(F.from_json("list", "array<array<string>>")).alias("b"))
+    number = lambda i, t: F.get("b", F.lit(i)).try_cast(t)
+    at = F.timestamp_seconds(number(0, "bigint"))
+    return rows.select("pair", at.alias("at"), *(number(i, "double").alias(c) for i, c in ((1, "open"), (2, "high"), (3, "low"), (4, "close"), (6, "volume"))), number(7, "bigint").alias("trades"))
+
+
 def merge_history(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Both, of rows with one key those of old first; one row for each key."""
     rows = old.withColumn("__p", F.lit(0)).unionByName(new.withColumn("__p", F.lit(1)), allowMissingColumns=True)

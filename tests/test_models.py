@@ -145,3 +145,11 @@ def test_cluster_tree_finds_planted_clusters(spark):
     rows = [(i, i % 4, (centres[i % 4] + draw.normal(size=10)).tolist()) for i in range(200)]
     got = models.clusters(spark.createDataFrame(rows, "id int, real int, v array<double>"), "v", 4, tree=True).collect()
     assert len({(r.real, r.cluster) for r in got}) == 4 and len({r.cluster for r in got}) == 4
+
+
+def test_perceptron_learns_what_the_other_folds_teach(spark):
+    draw = np.random.default_rng(6)
+    rows = [(i, "xyz"[i % 3], (np.eye(4)[i % 3] * 5 + draw.normal(size=4)).tolist()) for i in range(150)]
+    got = models.perceptron(spark.createDataFrame(rows, "id int, name string, v array<double>"), ["id"], "v", "name", 3, [6]).collect()
+    assert sorted(r.id for r in got) == list(range(150)) and {r.fold for r in got} == {0, 1, 2}
+    assert np.mean([r.name == r.predicted for r in got]) > 0.95 and all(1 / 3 <= r.probability <= 1 for r in got)

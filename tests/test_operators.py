@@ -169,6 +169,34 @@ def test_files_round_trip(spark, tmp_path):
     assert values(got, *got.columns) == [(1, "é", 2.5), (2, None, None)]
 
 
+def test_nearest_of_more_centres_than_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(joins, "MOST_CENTRES", 5)
+    rows = spark.createDataFrame([(i, float(i)) for i in range(20)], "k int, x double")
+    centres = spark.createDataFrame([(c, c * 1.7) for c in range(17)], "centre int, y double")
+    got = values(joins.nearest(rows, centres, F.abs(F.col("x") - F.col("y")), ["k"], 2), "k", "place", "centre")
+    want = [(k, n + 1, c) for k in range(20) for n, (_, c) in enumerate(sorted((abs(k - c * 1.7), c) for c in range(17))[:2])]
+    assert got == sorted(want, key=repr)
+
+
+def test_neighbours_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(market, "NEAR_BLOCK", 4)
+    draw = random.Random(5)
+    rows = [(i, "ab"[i % 2], [draw.random() - 0.5 for _ in range(5)]) for i in range(30)] + [(90, "a", [0.0] * 5), (91, "a", None)]
+    got = values(market.neighbours(spark.createDataFrame(rows, "k int, s string, v array<double>"), "k", "s", "v", 3, 0.1), "k", "other", "place")
+    norm = lambda v: sum(x * x for x in v) ** 0.5
+    want = []
+    for k, s, v in rows[:30]:
+        near = sorted((-round(sum(p * q for p, q in zip(v, u, strict=True)) / norm(v) / norm(u), 6), o) for o, t, u in rows[:30] if t == s and o != k)
+        want += [(k, o, n + 1) for n, (w, o) in enumerate([x for x in near if -x[0] >= 0.1][:3])]
+    assert got == sorted(want, key=repr)
+
+
+def test_odd_answers_of_an_exchange(spark):
+    texts = ['{"error":["down"]}', None, "no json", '{"result":{"X":[[60,"1.5","2","1","x",null,"3",4]],"last":60}}', '{"result":{"Y":[]}}']
+    got = files.parse_bars(spark.createDataFrame([(t,) for t in texts], "t string"), "t").collect()
+    assert [tuple(r)[:1] + tuple(r)[2:] for r in got] == [("X", 1.5, 2.0, 1.0, None, 3.0, 4)] and got[0]["at"] == dt.datetime(1970, 1, 1, 0, 1)
+
+
 def test_latest_folder_is_found_by_its_name(spark, tmp_path):
     df = spark.createDataFrame([(1, "2024-01-31"), (2, "2024-02-01"), (3, "2023-12-01")], "x int, date string")
     df.write.partitionBy("date").option("header", True).csv(str(tmp_path / "t"))
