@@ -171,25 +171,10 @@ def _(s: SparkSession, d: str) -> DataFrame:
 BW = "(PARTITION BY asset ORDER BY bar)"
 
 
-@Q("w18_bar_lags", f"WITH {BARS}, x AS (SELECT asset, bar, {', '.join(f'lead(close, {k}) OVER {BW} AS next_{k}' for k in range(1, 9))}, {', '.join(f'lag(close, {k}) OVER {BW} AS past_{k}' for k in range(1, 25))} FROM bars) SELECT * FROM x WHERE past_24 IS NOT NULL")
-def _(s: SparkSession, d: str) -> DataFrame:
-    rows = bars(Tables(s, d)).select("asset", "bar", *(F.lead("close", k).over(by_bar()).alias(f"next_{k}") for k in range(1, 9)), *(F.lag("close", k).over(by_bar()).alias(f"past_{k}") for k in range(1, 25)))
-    return rows.where("past_24 is not null")
-
-
 def bframe(a: int, b: int) -> str:
     return frame(a, b).replace("grp", "asset").replace("day", "bar")
 
 
-@Q("w19_trailing_stats", f"WITH {BARS} SELECT asset, bar, " + ", ".join(f"round(avg(close) OVER {bframe(-m, -1)}, 6) AS mean_{m}, round(stddev_samp(close) OVER {bframe(-m, -1)}, 4) AS std_{m}, round(close / nullif(avg(close) OVER {bframe(-m, -1)}, 0) - 1, 6) AS delta_{m}" for m in (5, 9, 13, 17)) + " FROM bars")
-def _(s: SparkSession, d: str) -> DataFrame:
-    out = {}
-    for m in (5, 9, 13, 17):
-        f = win.trailing(by_bar(), m, 1)
-        out |= {f"mean_{m}": F.round(F.avg(close()).over(f), 6), f"std_{m}": F.round(F.stddev_samp(close()).over(f), 4), f"delta_{m}": F.round(fx.ratio(close(), F.avg(close()).over(f)) - 1, 6)}
-    return bars(Tables(s, d)).select("asset", "bar", *(v.alias(k) for k, v in out.items()))
-
-
 @Q("w20_forward_returns", f"WITH {BARS} SELECT asset, bar, {', '.join(f'lead(close, {k}) OVER {BW} / close - 1 AS r_{k}' for k in range(1, 9))} FROM bars")
 def _(s: SparkSession, d: str) -> DataFrame:
     return bars(Tables(s, d)).select("asset", "bar", *((fx.ratio(F.lead(close(), k).over(by_bar()), close()) - 1).alias(f"r_{k}") for k in range(1, 9)))
@@ -224,22 +209,6 @@ def _(s: SparkSession, d: str) -> DataFrame:
 BLOCKS = (6, 11, 21, 41)
 
 
-@Q("w23_block_lags", f"WITH {DAILY} SELECT grp, day, " + ", ".join(f"round(stddev_samp(amount) OVER {frame(-(k + 4), -k)}, 4) AS std_{k}, round(avg(amount) OVER {frame(-(k + 4), -k)}, 6) AS mean_{k}" for k in BLOCKS) + f", round(amount / nullif(avg(amount) OVER {frame(-384, -355)}, 0) - 1, 6) AS year_trend FROM daily")
-def _(s: SparkSession, d: str) -> DataFrame:
-    cols = []
-    for k in BLOCKS:
-        f = win.trailing(by_group(), 5, k)
-        cols += [F.round(F.stddev_samp(amount()).over(f), 4).alias(f"std_{k}"), F.round(F.avg(amount()).over(f), 6).alias(f"mean_{k}")]
-    year = F.round(fx.ratio(amount(), F.avg(amount()).over(by_group().rowsBetween(-384, -355))) - 1, 6)
-    return daily(Tables(s, d)).select("grp", "day", *cols, year.alias("year_trend"))
-
-
-@Q("w24_rolling_correlation", f"WITH {DAILY} SELECT grp, day, CASE WHEN count(*) OVER {frame(-89, 0)} = 90 THEN round(corr(amount, qty) OVER {frame(-89, 0)}, 5) END AS r FROM daily")
-def _(s: SparkSession, d: str) -> DataFrame:
-    f = win.trailing(by_group(), 90)
-    return daily(Tables(s, d)).select("grp", "day", win.complete(F.round(correlation("amount", "qty", f), 5), amount(), f, 90).alias("r"))
-
-
 @Q("w25_top_five", f"WITH {ITEM_SALES}, r AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY amount DESC, item)::INTEGER AS place FROM item_sales) SELECT site, item, amount, place FROM r WHERE place <= 5")
 def _(s: SparkSession, d: str) -> DataFrame:
     return panel.top_by(item_sales(Tables(s, d)), ["site"], [F.desc("amount"), "item"], 5).select("site", "item", "amount", "place")
@@ -513,7 +482,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return calendar.school_holidays(days, "day", seasons)
 
 
-# The operators' own windows. The queries above of the same IDs are their short forms, kept with their SQL.
+# Windows with very many lags and frames.
 
 LAGS, MEANS = range(1, 192), range(1, 192, 4)
 BARS_15 = BARS.replace("360 minutes", "15 minutes") + ", priced AS (SELECT * FROM bars WHERE close > 0)"
@@ -527,7 +496,7 @@ def bar_lags(rows: DataFrame) -> DataFrame:
     return rows.where("close > 0").select("asset", "bar", "close", "volume", *ahead, *past).where("past_191 is not null")
 
 
-@Q("w18_bar_lags_191", f"WITH {BARS_15}, x AS (SELECT asset, bar, close, volume, {', '.join(f'lead(close, {k}) OVER {BW} AS next_{k}' for k in range(1, 9))}, {', '.join(f'lag({x}, {k}) OVER {BW} AS {name}_{k}' for x, name in (('close', 'past'), ('volume', 'past_volume')) for k in LAGS)} FROM priced) SELECT * FROM x WHERE past_191 IS NOT NULL")
+@Q("w18_bar_lags", f"WITH {BARS_15}, x AS (SELECT asset, bar, close, volume, {', '.join(f'lead(close, {k}) OVER {BW} AS next_{k}' for k in range(1, 9))}, {', '.join(f'lag({x}, {k}) OVER {BW} AS {name}_{k}' for x, name in (('close', 'past'), ('volume', 'past_volume')) for k in LAGS)} FROM priced) SELECT * FROM x WHERE past_191 IS NOT NULL")
 def _(s: SparkSession, d: str) -> DataFrame:
     return bar_lags(bars(Tables(s, d), 15))
 
@@ -546,7 +515,7 @@ def trailing_stats(rows: DataFrame) -> DataFrame:
     return full.where("__far is not null").drop("__far")
 
 
-@Q("w19_trailing_stats_189", f"WITH {BARS_15}, x AS (SELECT asset, bar, lag(close, 191) OVER {BW} AS far, " + ", ".join(f"round(avg({x}) OVER {bframe(-m, -1)}, 6) AS mean_{x}_{m}, round(stddev_samp({x}) OVER {bframe(-m, -1)}, 4) AS std_{x}_{m}, round(close / nullif(avg({x}) OVER {bframe(-m, -1)}, 0) - 1, 6) AS delta_{x}_mean_{m}" for m in MEANS for x in ("close", "volume")) + ", " + ", ".join(f"round(close / lag(close, {k}) OVER {BW} - 1, 6) AS delta_close_{k}" for k in range(2, 25)) + " FROM priced) SELECT * EXCLUDE (far) FROM x WHERE far IS NOT NULL")
+@Q("w19_trailing_stats", f"WITH {BARS_15}, x AS (SELECT asset, bar, lag(close, 191) OVER {BW} AS far, " + ", ".join(f"round(avg({x}) OVER {bframe(-m, -1)}, 6) AS mean_{x}_{m}, round(stddev_samp({x}) OVER {bframe(-m, -1)}, 4) AS std_{x}_{m}, round(close / nullif(avg({x}) OVER {bframe(-m, -1)}, 0) - 1, 6) AS delta_{x}_mean_{m}" for m in MEANS for x in ("close", "volume")) + ", " + ", ".join(f"round(close / lag(close, {k}) OVER {BW} - 1, 6) AS delta_close_{k}" for k in range(2, 25)) + " FROM priced) SELECT * EXCLUDE (far) FROM x WHERE far IS NOT NULL")
 def _(s: SparkSession, d: str) -> DataFrame:
     return trailing_stats(bars(Tables(s, d), 15))
 
@@ -565,7 +534,7 @@ def block_lags(rows: DataFrame) -> DataFrame:
     return rows.select("grp", "day", *lags, *cols).where("lag_385 is not null")
 
 
-@Q("w23_block_lags_385", f"WITH {DAILY}, x AS (SELECT grp, day, {', '.join(f'lag(amount, {k}) OVER {OVER} AS lag_{k}' for k in range(386))}, round(amount / nullif(lag(amount, 5) OVER {OVER}, 0) - 1, 6) AS target, " + ", ".join(f"round(stddev_samp(amount) OVER {frame(-(k + 4), -k)}, 4) AS std_{k}, round(lag(amount, 5) OVER {OVER} / nullif(avg(amount) OVER {frame(-(k + 4), -k)}, 0) - 1, 6) AS distance_{k}" for k in BLOCKS) + f", round(lag(amount, 5) OVER {OVER} / nullif(avg(amount) OVER {frame(-384, -355)}, 0) - 1, 6) AS year_trend FROM daily) SELECT * FROM x WHERE lag_385 IS NOT NULL")
+@Q("w23_block_lags", f"WITH {DAILY}, x AS (SELECT grp, day, {', '.join(f'lag(amount, {k}) OVER {OVER} AS lag_{k}' for k in range(386))}, round(amount / nullif(lag(amount, 5) OVER {OVER}, 0) - 1, 6) AS target, " + ", ".join(f"round(stddev_samp(amount) OVER {frame(-(k + 4), -k)}, 4) AS std_{k}, round(lag(amount, 5) OVER {OVER} / nullif(avg(amount) OVER {frame(-(k + 4), -k)}, 0) - 1, 6) AS distance_{k}" for k in BLOCKS) + f", round(lag(amount, 5) OVER {OVER} / nullif(avg(amount) OVER {frame(-384, -355)}, 0) - 1, 6) AS year_trend FROM daily) SELECT * FROM x WHERE lag_385 IS NOT NULL")
 def _(s: SparkSession, d: str) -> DataFrame:
     return block_lags(daily(Tables(s, d)))
 
@@ -576,6 +545,6 @@ def rolling_correlation(rows: DataFrame, n: int = 360) -> DataFrame:
     return rows.select("grp", "day", win.complete(F.round(correlation("amount", "qty", f), 5), amount(), f, n).alias("r"))
 
 
-@Q("w24_rolling_correlation_360", f"WITH {DAILY} SELECT grp, day, CASE WHEN count(*) OVER {frame(-359, 0)} = 360 THEN round(corr(amount, qty) OVER {frame(-359, 0)}, 5) END AS r FROM daily")
+@Q("w24_rolling_correlation", f"WITH {DAILY} SELECT grp, day, CASE WHEN count(*) OVER {frame(-359, 0)} = 360 THEN round(corr(amount, qty) OVER {frame(-359, 0)}, 5) END AS r FROM daily")
 def _(s: SparkSession, d: str) -> DataFrame:
     return rolling_correlation(daily(Tables(s, d)))
