@@ -93,10 +93,23 @@ def release() -> None:
         _LIBC.malloc_trim(0)
 
 
-def trimmed(run):
-    """A function over Arrow batches that gives memory back after each batch and at its end."""
+#: What operators keep in a Python process for later tasks: a name, and how to drop it. Processes are used again by other
+#: operators' tasks, which need the memory.
+KEPT: dict = {}
+
+
+def drop_kept(but: str) -> None:
+    """In this process. (Functions sent to it would take a copy of KEPT along, but call this one by its name.)"""
+    for name in [k for k in KEPT if k != but]:
+        KEPT.pop(name)()
+
+
+def trimmed(run, own: str = ""):
+    """A function over Arrow batches that drops what other operators keep in this process, and gives memory back after
+    each batch and at its end."""
 
     def wrapped(batches):
+        drop_kept(own)
         for batch in run(batches):
             yield batch
             release()

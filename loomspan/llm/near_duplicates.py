@@ -46,7 +46,7 @@ SKETCH_FLOOR = 0.55
 FILTER_WORDS, FILTER_ROW = 1 << 20, 64
 _SPLIT = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-_CACHE_MAX = 200_000
+_CACHE_MAX = 30_000
 _U32 = np.uint32
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xD6E8FEB86659FD93)

@@ -25,7 +25,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from loomspan.llm.common import beside, bound_batches, read_documents, trimmed
+from loomspan.llm.common import KEPT, beside, bound_batches, read_documents, trimmed
 
 MARK = "▁"
 _CACHE_MAX, _CACHED_LEN = 400_000, 48
@@ -251,7 +251,8 @@ def _utf8(data: bytes) -> str:
 
 @cache
 def tokenizer(model_file: str, units: int | None = None) -> PieceTokenizer:
-    """One for each Python process, so that reused workers keep their caches."""
+    """One for each Python process, so that reused workers keep their caches, until another operator runs in them."""
+    KEPT["tokenizer"] = tokenizer.cache_clear
     return PieceTokenizer(model_file, units)
 
 
@@ -269,7 +270,7 @@ def encode(documents: DataFrame, keep: list[str], model_file: str | None = None)
             rows = [tok.encode(x) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(rows, pa.list_(pa.int32())), pa.array([tok.decode(r) for r in rows], pa.string())], names=[*keep, "ids", "decoded"])
 
-    return given.mapInArrow(trimmed(run), f"{schema}ids array<int>, decoded string")
+    return given.mapInArrow(trimmed(run, "tokenizer"), f"{schema}ids array<int>, decoded string")
 
 
 def digest(documents: DataFrame, keep: list[str], model_file: str | None = None, units: int | None = None) -> DataFrame:
@@ -296,7 +297,7 @@ def digest(documents: DataFrame, keep: list[str], model_file: str | None = None,
                 gc.enable()
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return given.mapInArrow(trimmed(run), f"{schema}n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return given.mapInArrow(trimmed(run, "tokenizer"), f"{schema}n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

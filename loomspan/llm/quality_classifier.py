@@ -34,7 +34,7 @@ ROWS_PER_CLASS, SAMPLE_FEATURES = 4000, 20_000_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 1e-6, 1e-6
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
-_CACHE_MAX = 150_000
+_CACHE_MAX = 30_000
 _MASK = np.uint64((1 << BITS) - 1)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 

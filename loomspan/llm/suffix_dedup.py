@@ -37,7 +37,7 @@ from loomspan.llm.common import beside, bound_batches, read_documents, release,
 BATCH = 1 << 20
 #: A batch is stored as so many rows, so that rows stay small, and so many batches make a group: one file, which no two
 #: tasks share. A group meets a shard in one row, so where shards are very many, groups should be larger.
-ROWS, FILE_BATCHES = 2, 8
+ROWS, FILE_BATCHES = 2, 4
 #: Suffixes of a shard, about, as far as a task has no more than MOST_SHARDS of them, one after the other.
 SHARD_ENTRIES, MOST_SHARDS = 250_000, 8
 _NO_ID = np.iinfo(np.int64).max

@@ -1,5 +1,6 @@
 import hashlib
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import HealthCheck, given, settings
@@ -72,3 +73,20 @@ def test_clashing_names(spark, docs):
     assert r.decoded == "a b" and len(r.ids) == 2 and r.n_tokens == 6
     r = pt.digest(df, df.columns).first()
     assert r.n_tokens == 2 and r.ids == 5 and r.source == "s"
+
+
+def test_tokenizers_are_dropped_when_another_operator_uses_the_process(spark, docs):
+    from loomspan.llm import common
+
+    def kept(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(common.KEPT)] * batch.num_rows})
+
+    one = docs([(1, "a b")]).coalesce(1)
+    counts = []
+    for _ in range(2):
+        pt.digest(one, ["doc_id"]).collect()
+        counts.append(one.mapInArrow(kept, "n int").first().n)
+        one.mapInArrow(common.trimmed(lambda b: b), one.schema).collect()
+        counts.append(one.mapInArrow(kept, "n int").first().n)
+    assert counts[1::2] == [0, 0] and max(counts) <= 1
