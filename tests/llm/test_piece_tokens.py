@@ -3,11 +3,10 @@ import hashlib
 import pyarrow as pa
 import pytest
 import sentencepiece
+from compare import SF
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from compare import SF
-
 from loomspan.llm import piece_tokens as pt
 
 
@@ -86,7 +85,7 @@ def test_tokenizers_are_dropped_when_another_operator_uses_the_process(spark, do
     counts = []
     for _ in range(2):
         pt.digest(one, ["doc_id"]).collect()
-        counts.append(one.mapInArrow(kept, "n int").first().n)
+        counts.append(one.mapInArrow(kept, "n bigint").first().n)
         one.mapInArrow(common.trimmed(lambda b: b), one.schema).collect()
-        counts.append(one.mapInArrow(kept, "n int").first().n)
+        counts.append(one.mapInArrow(kept, "n bigint").first().n)
     assert counts[1::2] == [0, 0] and max(counts) <= 1
