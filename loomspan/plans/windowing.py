@@ -503,19 +503,29 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 def trailing_stats(rows: DataFrame) -> DataFrame:
     """Means and deviations of the last 1, 5, .. 189 closes and volumes and the close's distance to each mean (also to
-    that of volumes, as the reference has it) and to the closes 2 to 24 back, of bars that have 191 before them."""
+    that of volumes, as the reference has it) and to the closes 2 to 24 back, of bars that have 191 before them. All
+    from running sums, which are decimal, so that what is taken off is exact: a frame costs the same however long it is."""
     w, out = by_bar(), {}
+    before = w.rowsBetween(W.unboundedPreceding, -1)
+    sums = {f"__{n}_{x}": F.coalesce(F.sum(v.cast("decimal(28,8)")).over(before), F.lit(0).cast("decimal(38,8)")) for x in ("close", "volume") for n, v in (("s", F.col(x)), ("q", F.col(x) * F.col(x)))}
+    run = rows.where("close > 0").select("asset", "bar", "close", *(v.alias(k) for k, v in sums.items()))
     for m in MEANS:
-        f = win.trailing(w, m, 1)
         for x in ("close", "volume"):
-            mean = F.avg(x).over(f)
-            out |= {f"mean_{x}_{m}": F.round(mean, 6), f"std_{x}_{m}": F.round(F.stddev_samp(x).over(f), 4), f"delta_{x}_mean_{m}": F.round(fx.ratio(close(), mean) - 1, 6)}
-    out |= {f"delta_close_{k}": F.round(fx.ratio(close(), F.lag("close", k).over(w)) - 1, 6) for k in range(2, 25)}
-    full = rows.where("close > 0").select("asset", "bar", F.lag("close", LAGS[-1]).over(w).alias("__far"), *(v.alias(k) for k, v in out.items()))
-    return full.where("__far is not null").drop("__far")
+            s, q = ((F.col(f"__{n}_{x}") - F.lag(f"__{n}_{x}", m).over(w)).cast("double") for n in "sq")
+            out |= {f"s_{x}_{m}": s, f"q_{x}_{m}": q}
+    back = {f"delta_close_{k}": fx.ratio(close(), F.lag("close", k).over(w)) - 1 for k in range(2, 25)}
+    full = run.select("asset", "bar", "close", F.lag("close", LAGS[-1]).over(w).alias("__far"), *(v.alias(k) for k, v in (out | back).items())).where("__far is not null")
 
+    def stats(x: str, m: int) -> list[Column]:
+        s, q = F.col(f"s_{x}_{m}"), F.col(f"q_{x}_{m}")
+        spread = F.sqrt(F.greatest(q - s * s / m, F.lit(0.0)) / (m - 1)) if m > 1 else F.lit(None).cast("double")
+        off = fx.ratio(close(), s / m) - 1
+        return [F.round(s / m, 6).alias(f"mean_{x}_{m}"), F.round(spread, 4).alias(f"std_{x}_{m}"), off.alias(f"delta_{x}_mean_{m}")]
 
-@Q("w19_trailing_stats", f"WITH {BARS_15}, x AS (SELECT asset, bar, lag(close, 191) OVER {BW} AS far, " + ", ".join(f"round(avg({x}) OVER {bframe(-m, -1)}, 6) AS mean_{x}_{m}, round(stddev_samp({x}) OVER {bframe(-m, -1)}, 4) AS std_{x}_{m}, round(close / nullif(avg({x}) OVER {bframe(-m, -1)}, 0) - 1, 6) AS delta_{x}_mean_{m}" for m in MEANS for x in ("close", "volume")) + ", " + ", ".join(f"round(close / lag(close, {k}) OVER {BW} - 1, 6) AS delta_close_{k}" for k in range(2, 25)) + " FROM priced) SELECT * EXCLUDE (far) FROM x WHERE far IS NOT NULL")
+    return full.select("asset", "bar", *(c for m in MEANS for x in ("close", "volume") for c in stats(x, m)), *back)
+
+
+@Q("w19_trailing_stats", f"WITH {BARS_15}, x AS (SELECT asset, bar, lag(close, 191) OVER {BW} AS far, " + ", ".join(f"round(avg({x}) OVER {bframe(-m, -1)}, 6) AS mean_{x}_{m}, round(stddev_samp({x}) OVER {bframe(-m, -1)}, 4) AS std_{x}_{m}, close / nullif((sum({x}::DECIMAL(28, 8)) OVER {bframe(-m, -1)})::DOUBLE / {m}, 0) - 1 AS delta_{x}_mean_{m}" for m in MEANS for x in ("close", "volume")) + ", " + ", ".join(f"close / lag(close, {k}) OVER {BW} - 1 AS delta_close_{k}" for k in range(2, 25)) + " FROM priced) SELECT * EXCLUDE (far) FROM x WHERE far IS NOT NULL")
 def _(s: SparkSession, d: str) -> DataFrame:
     return trailing_stats(bars(Tables(s, d), 15))
 
