@@ -49,8 +49,9 @@ def spread(rows: DataFrame, column: str, table: DataFrame, how: str = "inner", r
     HOT_KEYS of them, so their list is broadcast) are dealt to many tasks. rows should be a staged table, or rows_of a
     staged one with as many rows and the same keys."""
     counted = rows if rows_of is None else rows_of
-    most = max(counted.count() // HOT_KEYS, HOT_ROWS)
-    if counted.count() <= most:
+    n = counted.count()
+    most = max(n // HOT_KEYS, HOT_ROWS)
+    if n <= most:
         return rows.join(table, column, how)
     hot = counted.groupBy(column).agg(F.count("*").alias("__n")).where(F.col("__n") > most)
     hot = F.broadcast(hot.select(F.col(column).alias("__key"), F.ceil(F.col("__n") / most).cast("int").alias("__parts")))
