@@ -45,16 +45,20 @@ HOT_KEYS, HOT_ROWS = 1000, 10_000
 
 
 def spread(rows: DataFrame, column: str, table: DataFrame, how: str = "inner", rows_of: DataFrame | None = None) -> DataFrame:
-    """rows joined with a table that is unique by the column. Keys that more than a thousandth of the rows have (less than
-    HOT_KEYS of them, so their list is broadcast) are dealt to many tasks. rows should be a staged table, or rows_of a
-    staged one with as many rows and the same keys."""
+    """rows joined with a table that is unique by the column. Keys that more than a thousandth of the rows have (no more than
+    HOT_KEYS of them, so the driver lists them) are dealt to many tasks, and so are rows without a key. rows should be a
+    staged table, or rows_of a staged one with as many rows and the same keys."""
     counted = rows if rows_of is None else rows_of
     n = counted.count()
     most = max(n // HOT_KEYS, HOT_ROWS)
     if n <= most:
         return rows.join(table, column, how)
-    hot = counted.groupBy(column).agg(F.count("*").alias("__n")).where(F.col("__n") > most)
-    hot = F.broadcast(hot.select(F.col(column).alias("__key"), F.ceil(F.col("__n") / most).cast("int").alias("__parts")))
+    # no more than HOT_KEYS rows, whatever the table is; mostly none, and then the plan stays a plain join
+    hot = counted.groupBy(F.col(column).alias("__key")).agg(F.count("*").alias("__n")).where(F.col("__n") > most).collect()
+    if not hot:
+        return rows.join(table, column, how)
+    listed = [(r["__key"], -(-r["__n"] // most)) for r in hot if r["__key"] is not None]
+    hot = F.broadcast(rows.sparkSession.createDataFrame(listed, f"__key {counted.schema[column].dataType.simpleString()}, __parts int"))
     parts = F.coalesce("__parts", F.lit(1))
     # rows without a key find nothing, and are dealt out too
     dealt = F.when(F.col(column).isNull(), HOT_KEYS).otherwise(parts)
