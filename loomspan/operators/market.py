@@ -58,10 +58,11 @@ def temporal_folds(df: DataFrame, day: str, first: str, folds: int, days: int) -
 
 
 def order_check(df: DataFrame, side: str, price: str, bid: str, ask: str, volume: str, least: float) -> DataFrame:
-    """Limit prices of orders and whether they are sent: close to the market and large enough."""
+    """Limit prices of orders and whether they are sent: close to the market and large enough. Nothing is close to a price
+    of zero, so such orders are not sent."""
     limit = F.when(F.col(side) == "buy", F.least(F.col(bid), F.col(price) * 0.9975)).otherwise(F.greatest(F.col(ask), F.col(price) * 1.002))
-    off = F.abs(limit - F.col(price)) / F.col(price)
-    return df.withColumn("limit_price", limit).withColumn("sent", (off <= 0.015) & (F.col(volume) >= least))
+    close = F.when(F.col(price) == 0, F.lit(False)).otherwise(F.abs(limit - F.col(price)) / F.col(price) <= 0.015)
+    return df.withColumn("limit_price", limit).withColumn("sent", close & (F.col(volume) >= least))
 
 
 def simulate(series: DataFrame, sector: str, asset: str, at: str, x: str, rounds: int, seed: int, top: int = 5) -> DataFrame:

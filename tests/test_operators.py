@@ -1,7 +1,9 @@
 import datetime as dt
 import random
 
+import duckdb
 import pytest
+from compare import same_rows
 from pyspark.sql import functions as F
 
 from loomspan.functions import calendar
@@ -10,6 +12,7 @@ from loomspan.operators import aggregates as ag
 from loomspan.operators import demand, joins, market, panel, store
 from loomspan.operators import recurrences as rec
 from loomspan.operators import windows as win
+from loomspan.plans import catalog
 from loomspan.sources import files
 from loomspan.streaming.bars import extend, fresh, stream_bars
 
@@ -227,3 +230,15 @@ def test_correlation_without_variance_is_null(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 1.0, 3.0), ("b", 1.0, 2.0), ("b", 2.0, 4.0), ("b", None, 9.0), ("c", 1.0, 1.0)], "k string, x double, y double")
     got = {r.k: r.r for r in df.groupBy("k").agg(ag.correlation("x", "y").alias("r")).collect()}
     assert got["a"] is None and got["c"] is None and got["b"] == pytest.approx(1.0)
+
+
+def test_orders_at_a_price_of_zero_are_not_sent(spark, tmp_path):
+    """A price of zero is no error: the SQL says false for it, and so does the query."""
+    nan = float("nan")
+    rows = [(i, v, u) for i, (v, u) in enumerate((v, u) for v in (0.0, -0.0, None, nan, 2.0) for u in (5, 20, None) for _ in range(2))]
+    spark.createDataFrame(rows, "event_id long, value double, user_id long").write.parquet(str(tmp_path / "events.parquet"))
+    df = catalog.queries()["m_orders_checked"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    same_rows(df, con, catalog.oracle_sql()["m_orders_checked"])
+    assert [r.sent for r in df.where("limit_price = 0").collect()] == [False] * 12
